@@ -31,18 +31,26 @@ def _audited(df: DataFrame, table: str, **expressions: str) -> DataFrame:
     return conform(selected, staged_schema(table)) if table != "customers" else selected
 
 
-def customer_places(read: Callable[[str], DataFrame]) -> DataFrame:
-    """Nation and region of each customer, one row per customer key.
+def nation_places(read: Callable[[str], DataFrame]) -> DataFrame:
+    """Nation and region name of each nation key."""
+    return (
+        read("nation")
+        .join(read("region"), F.expr("n_regionkey = r_regionkey"))
+        .groupBy(F.col("n_nationkey").alias("nation_key"))
+        .agg(F.max("n_name").alias("n_name"), F.max("r_name").alias("r_name"))
+    )
+
 
-    Grouping by the key states that it is unique, so Catalyst can drop the join
-    to this frame wherever no address column is used.
+def customer_nations(read: Callable[[str], DataFrame]) -> DataFrame:
+    """Nation key of each customer key.
+
+    Here and above, grouping by the key states that it is unique, so Catalyst
+    drops the joins to these frames wherever no address column is used.
     """
     return (
         read("customer")
-        .join(read("nation"), F.expr("c_nationkey = n_nationkey"))
-        .join(read("region"), F.expr("n_regionkey = r_regionkey"))
-        .groupBy(F.col("c_custkey").alias("place_key"))
-        .agg(F.max("n_name").alias("n_name"), F.max("r_name").alias("r_name"))
+        .groupBy(F.col("c_custkey").alias("customer_key"))
+        .agg(F.max("c_nationkey").alias("customer_nation"))
     )
 
 
@@ -130,8 +138,10 @@ def orders(read) -> DataFrame:
             " cast(o_custkey % 40 as string), ', ', n_name, ', ', r_name) end"
         )
 
-    rows = read("orders").join(
-        customer_places(read), F.expr("o_custkey = place_key"), "left"
+    rows = (
+        read("orders")
+        .join(customer_nations(read), F.expr("o_custkey = customer_key"), "left")
+        .join(nation_places(read), F.expr("customer_nation = nation_key"), "left")
     )
     return _audited(
         rows,
