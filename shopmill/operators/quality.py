@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ERROR, WARN = "error", "warn"
+KINDS = ("unique", "not_null", "relationship")
 
 
 def unique_violations(df: DataFrame, column: str) -> DataFrame:
@@ -52,7 +53,7 @@ def orphan_violations(
 @dataclass(frozen=True)
 class Check:
     table: str
-    kind: str  # unique, not_null or relationship
+    kind: str  # one of KINDS
     column: str
     parent: str | None = None
     field: str | None = None
@@ -77,26 +78,13 @@ def run_checks(tables: Mapping[str, DataFrame], checks: Iterable[Check]) -> Data
     """One row per check: violations and pass, warn or fail.
 
     ``unique`` counts repeated values, the other two count rows. Table names are
-    matched in any case. The not-null checks of a table share one pass.
+    matched in any case. All checks of a table share one pass over it.
     """
     frames = {name.lower(): df for name, df in tables.items()}
-    checks = list(checks)
-    results = []
-    for table in dict.fromkeys(c.table.lower() for c in checks):
-        nullable = [c for c in checks if c.table.lower() == table and c.kind == "not_null"]
-        if nullable:
-            results.append(_null_results(frames[table], nullable))
+    by_table: dict[str, list[Check]] = {}
     for check in checks:
-        df = frames[check.table.lower()]
-        if check.kind == "unique":
-            found = unique_violations(df, check.column).agg(F.count(F.lit(1)).alias("violations"))
-            results.append(_labelled(found, check))
-        elif check.kind == "relationship":
-            parent = frames[check.parent.lower()]
-            found = orphan_violations(df, check.column, parent, check.field).agg(
-                F.coalesce(F.sum("row_count"), F.lit(0)).alias("violations")
-            )
-            results.append(_labelled(found, check))
+        by_table.setdefault(check.table.lower(), []).append(check)
+    results = [_check_table(frames, table, group) for table, group in by_table.items()]
     return reduce(DataFrame.unionAll, results).withColumn(
         "status",
         F.when(F.col("violations") == 0, "pass")
@@ -105,25 +93,85 @@ def run_checks(tables: Mapping[str, DataFrame], checks: Iterable[Check]) -> Data
     )
 
 
-def _null_results(df: DataFrame, checks: list[Check]) -> DataFrame:
-    found = null_violations(df, [c.column for c in checks])
-    return found.select(
-        F.lit(checks[0].table).alias("table_name"),
-        F.col("column").alias("column_name"),
-        F.lit("not_null").alias("check_name"),
-        F.lit(ERROR).alias("severity"),
-        F.col("row_count").cast("bigint").alias("violations"),
+def _check_table(frames: Mapping[str, DataFrame], table: str, checks: list[Check]) -> DataFrame:
+    """Count the checked columns' values in one pass and read all verdicts off the counts.
+
+    A column that is only checked for NULLs contributes its NULL rows alone.
+    Values are counted on the map side first, so neither a frequent value nor a
+    frequent orphan reaches one task as single rows.
+    """
+    slots = _slots(checks)
+    marks = []
+    for slot, (column, group) in enumerate(slots):
+        value = F.col(column)
+        mark = F.struct(F.lit(slot).alias("slot"), value.cast("string").alias("value"))
+        if all(c.kind == "not_null" for c in group):
+            mark = F.when(value.isNull(), mark)
+        marks.append(mark)
+    counts = (
+        frames[table]
+        .select(F.inline(F.array_compact(F.array(*marks))))
+        .groupBy("slot", "value")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    parents = [
+        frames[check.parent.lower()].select(
+            F.lit(slot).alias("slot"), F.col(check.field).cast("string").alias("value")
+        )
+        for slot, (_, group) in enumerate(slots)
+        for check in group
+        if check.kind == "relationship"
+    ]
+    if parents:
+        known = reduce(DataFrame.unionAll, parents).where("value IS NOT NULL").distinct()
+        counts = counts.join(known.withColumn("known", F.lit(True)), ["slot", "value"], "left")
+    else:
+        counts = counts.withColumn("known", F.lit(True))
+
+    n, absent = F.col("n"), F.col("value").isNull()
+    verdicts = counts.groupBy("slot").agg(
+        F.sum(F.when(absent, n)).alias("not_null"),
+        F.count_if(~absent & (n > 1)).alias("unique"),
+        F.sum(F.when(~absent & F.col("known").isNull(), n)).alias("relationship"),
+    )
+    listed = F.array(
+        *[
+            F.struct(
+                F.lit(slot).alias("slot"),
+                F.lit(check.table).alias("table_name"),
+                F.lit(check.column).alias("column_name"),
+                F.lit(check.kind).alias("check_name"),
+                F.lit(check.severity).alias("severity"),
+            )
+            for slot, (_, group) in enumerate(slots)
+            for check in group
+        ]
+    )
+    asked = frames[table].sparkSession.range(1).select(F.inline(listed))
+    violations = F.coalesce(
+        *[F.when(F.col("check_name") == kind, F.col(kind)) for kind in KINDS], F.lit(0)
+    )
+    return asked.join(verdicts, "slot", "left").select(
+        "table_name",
+        "column_name",
+        "check_name",
+        "severity",
+        violations.cast("bigint").alias("violations"),
     )
 
 
-def _labelled(found: DataFrame, check: Check) -> DataFrame:
-    return found.select(
-        F.lit(check.table).alias("table_name"),
-        F.lit(check.column).alias("column_name"),
-        F.lit(check.kind).alias("check_name"),
-        F.lit(check.severity).alias("severity"),
-        F.col("violations").cast("bigint").alias("violations"),
-    )
+def _slots(checks: list[Check]) -> list[tuple[str, list[Check]]]:
+    """Checks by column; a second relationship of a column gets a slot of its own."""
+    slots: list[tuple[str, list[Check]]] = []
+    for check in checks:
+        for column, group in slots:
+            taken = check.kind == "relationship" and any(c.kind == check.kind for c in group)
+            if column == check.column and not taken:
+                group.append(check)
+                break
+        else:
+            slots.append((check.column, [check]))
+    return slots
 
 
 def enforce(results: DataFrame) -> None:

@@ -29,12 +29,17 @@ def csv_path(root: str, table: str) -> str:
 
 
 def read_envelopes(
-    spark: SparkSession, path: str, table: str | None = None, rows: T.StructType | None = None
+    spark: SparkSession,
+    path: str,
+    table: str | None = None,
+    rows: T.StructType | None = None,
+    one_per_line: bool = False,
 ) -> DataFrame:
-    """Rows of ``{"metadata": {...}, "data": [...]}`` documents, one per file.
+    """Rows of ``{"metadata": {...}, "data": [...]}`` documents.
 
-    A document is read by one task, so ``path`` should be a folder or glob of
-    many moderate documents. For one huge export use JSON lines.
+    A file holds one document, or one per line. A document is read by one task,
+    so ``path`` should be a folder of many moderate documents; a huge table
+    belongs into JSON lines without envelope.
     """
     rows = rows or landing_schema(table)
     schema = T.StructType(
@@ -43,7 +48,7 @@ def read_envelopes(
             T.StructField("data", T.ArrayType(rows)),
         ]
     )
-    documents = spark.read.schema(schema).json(path, multiLine=True)
+    documents = spark.read.schema(schema).json(path, multiLine=not one_per_line)
     return documents.select(F.inline("data"))
 
 
@@ -63,10 +68,10 @@ def read_csv(
 ) -> DataFrame:
     """CSV with a header line. Rows hold the columns of ``rows`` in order.
 
-    Quotes inside a value are doubled, as in RFC 4180. A value may hold line
-    breaks, so a file is one task and a table should be a folder of files, as
-    ``write_csv`` makes it. Where no value holds one, ``line_breaks=False``
-    lets a single huge file split over many tasks.
+    Quotes inside a value are doubled, as in RFC 4180. An empty value, quoted
+    or not, is NULL. A value may hold line breaks, so a file is one task and a
+    table should be a folder of files, as ``write_csv`` makes it. Where no value
+    holds one, ``line_breaks=False`` lets a single huge file split over tasks.
     """
     rows = rows or landing_schema(table, audit=True)
     return (

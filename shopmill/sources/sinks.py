@@ -40,6 +40,8 @@ def write_csv(df: DataFrame, path: str, rows_per_file: int = 1_000_000) -> None:
         .option("maxRecordsPerFile", rows_per_file)
         .option("header", True)
         .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]")
         .csv(path)
     )
