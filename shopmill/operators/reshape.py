@@ -163,12 +163,11 @@ def _as_iso_text(column: Column, dtype: T.DataType) -> Column:
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Columns of ``schema`` in order; absent ones are typed NULLs."""
-    present = {c.lower(): c for c in df.columns}
-    return df.select(
+    present = {c.lower(): f"`{c}`" for c in df.columns}
+    return df.selectExpr(
         *[
-            (F.col(present[f.name.lower()]) if f.name.lower() in present else F.lit(None))
-            .cast(f.dataType)
-            .alias(f.name)
+            f"cast({present.get(f.name.lower(), 'null')} as {f.dataType.simpleString()})"
+            f" as `{f.name}`"
             for f in schema.fields
         ]
     )

@@ -16,14 +16,13 @@ def stage(raw: DataFrame, table: str, strict: bool = True) -> DataFrame:
     value becomes NULL. Words for "missing" in lenient columns always do.
     """
     lenient = LENIENT_STAMPS.get(base_name(table), ())
+    cast = "cast" if strict else "try_cast"
     columns = []
     for field in staged_schema(table).fields:
-        column = F.col(field.name)
-        if field.name in lenient:
-            column = temporal.lenient_stamp(temporal.blank_words_to_null(column))
-        elif strict:
-            column = column.cast(field.dataType)
+        name, dtype = field.name, field.dataType.simpleString()
+        if name in lenient:
+            words = temporal.blank_words_to_null(F.col(name))
+            columns.append(temporal.lenient_stamp(words).alias(name))
         else:
-            column = column.try_cast(field.dataType)
-        columns.append(column.alias(field.name))
+            columns.append(F.expr(f"{cast}({name} as {dtype}) as {name}"))
     return raw.select(*columns)

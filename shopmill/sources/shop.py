@@ -8,11 +8,12 @@ the columns a caller uses.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from shopmill.operators.reshape import conform
 from shopmill.registry import staged_schema
 
 AS_OF = "2001-08-01"
@@ -27,8 +28,14 @@ def _audited(df: DataFrame, table: str, **expressions: str) -> DataFrame:
         "loaded_at": f"timestamp_ntz'{LOADED_AT}'",
     }
     columns = {**audit, **expressions}
-    selected = df.select(*[F.expr(text).alias(name) for name, text in columns.items()])
-    return conform(selected, staged_schema(table)) if table != "customers" else selected
+    return df.selectExpr(
+        *[
+            f"{columns[f.name]} as {f.name}"
+            if f.name in columns
+            else f"cast(null as {f.dataType.simpleString()}) as {f.name}"
+            for f in staged_schema(table).fields
+        ]
+    )
 
 
 def nation_places(read: Callable[[str], DataFrame]) -> DataFrame:
@@ -102,20 +109,17 @@ def customers(read) -> DataFrame:
         .join(read("nation"), F.expr("c_nationkey = n_nationkey"))
         .join(read("region"), F.expr("n_regionkey = r_regionkey"))
     )
-    named = _audited(
+    return _audited(
         rows,
         "customers",
         customer_id="cast(c_custkey as string)",
         email="lower(concat(c_name, '@example.com'))",
-        first_name="cast(null as string)",
-        last_name="cast(null as string)",
         age="cast(18 + c_custkey % 73 as int)",
         gender="case c_custkey % 3 when 0 then 'M' when 1 then 'F' else 'Other' end",
         annual_income="cast(c_acctbal + 15000 as decimal(12,2))",
         marital_status="case c_custkey % 4 when 0 then 'Single' when 1 then 'Married'"
         " when 2 then 'Divorced' else 'Widowed' end",
         education="c_mktsegment",
-        location_type="cast(null as string)",
         city="case when c_custkey % 97 = 0 then '' when c_custkey % 89 = 0 then cast(null as string)"
         " else concat(' City ', cast(c_custkey % 40 as string)) end",
         state="n_name",
@@ -123,10 +127,7 @@ def customers(read) -> DataFrame:
         signup_date="cast(date'1994-01-01' + cast(c_custkey % 365 as int) as timestamp_ntz)",
         last_login="case when c_custkey % 11 = 0 then 'null' when c_custkey % 13 = 0 then ''"
         " else cast(date'1995-01-01' + cast(c_custkey % 300 as int) as string) end",
-        preferred_channel="cast(null as string)",
-        is_active="cast(null as boolean)",
     )
-    return named.select(*[f.name for f in staged_schema("customers").fields])
 
 
 def orders(read) -> DataFrame:
@@ -224,8 +225,19 @@ BUILDERS = {
 }
 
 
+@cache
+def _schema(application: str, path: str) -> T.StructType:
+    """Schema from the file footer, read once per application and path."""
+    return SparkSession.active().read.parquet(path).schema
+
+
 def reader(spark: SparkSession, folder: str) -> Callable[[str], DataFrame]:
-    return lambda name: spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    def read(name: str) -> DataFrame:
+        path = f"{folder.rstrip('/')}/{name}.parquet"
+        schema = _schema(spark.sparkContext.applicationId, path)
+        return spark.read.schema(schema).parquet(path)
+
+    return read
 
 
 def raw_table(spark: SparkSession, folder: str, table: str) -> DataFrame:
