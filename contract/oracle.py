@@ -7,6 +7,8 @@ equal result proves the rewrite.
 
 from __future__ import annotations
 
+import re
+
 NOW = "timestamp '2001-08-01 00:00:00'"
 AUDIT = f"'historic' AS data_source, 'batch-1' AS batch_id, {NOW} AS loaded_at"
 
@@ -400,7 +402,7 @@ MARTS = {
                {money("sum(shipping_cost)", "total_shipping")},
                {money("sum(total_amount) - sum(shipping_cost)", "net_revenue")},
                {avg("total_amount", "avg_order_value")},
-               cast(sum(total_amount) AS double) / count(DISTINCT customer_id)
+               cast(sum(total_amount) AS double) / nullif(count(DISTINCT customer_id), 0)
                    AS revenue_per_customer,
                {NOW} AS updated_at
         FROM int_orders GROUP BY 1""",
@@ -424,24 +426,25 @@ MARTS = {
 CTE |= MARTS
 
 
-def with_tables(body: str, extra: dict[str, str] | None = None) -> str:
-    """``body`` behind those of the shared tables that it needs, directly or not."""
-    tables = {**CTE, **(extra or {})}
+def with_tables(body: str, given: frozenset[str] = frozenset()) -> str:
+    """``body`` behind those of the shared tables that it needs, directly or not.
+
+    ``given`` names tables that the database already has.
+    """
     needed: list[str] = []
 
     def visit(text: str) -> None:
-        words = set(text.replace("(", " ").replace(")", " ").replace(",", " ").split())
-        words |= {w.split(".")[0] for w in words}
-        for name in tables:
-            if name in words and name not in needed:
-                visit(tables[name])
+        words = {w.split(".")[0] for w in re.findall(r"[\w.]+", text)}
+        for name in CTE:
+            if name in words and name not in given and name not in needed:
+                visit(CTE[name])
                 if name not in needed:
                     needed.append(name)
 
     visit(body)
     if not needed:
         return body
-    return "WITH " + ",\n".join(f"{n} AS MATERIALIZED ({tables[n]})" for n in needed) + "\n" + body
+    return "WITH " + ",\n".join(f"{n} AS MATERIALIZED ({CTE[n]})" for n in needed) + "\n" + body
 
 
 def table(name: str) -> str:
