@@ -28,9 +28,15 @@ def replace_overlap(historic: DataFrame, latest: DataFrame, date_column: str) ->
 
 
 def newer_than(df: DataFrame, target: DataFrame, column: str) -> DataFrame:
-    """Rows past the target's high-water mark; everything if the target is empty."""
-    mark = target.select(F.max(column)).scalar()
-    return df.where(F.coalesce(F.col(column) > mark, mark.isNull()))
+    """Dated rows past the target's high-water mark; all of them if it is empty.
+
+    The bare comparison with a scalar subquery is pushed into the scan, so
+    files and row groups that are already loaded are skipped.
+    """
+    # Fixed value: an earlier day than any date of a shop.
+    never = F.lit("0001-01-01").cast(df.schema[column].dataType)
+    mark = target.select(F.coalesce(F.max(column), never)).scalar()
+    return df.where(F.col(column) > mark)
 
 
 def upsert(existing: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:

@@ -163,7 +163,7 @@ def test_history_stays_without_latest_dates(spark):
 def test_newer_than(spark):
     df = days(spark, "2024-01-01", "2024-01-02", None)
     assert [r.id for r in combine.newer_than(df, df.where("id = 0"), "d").collect()] == [1]
-    assert combine.newer_than(df, df.where("false"), "d").count() == 3
+    assert combine.newer_than(df, df.where("false"), "d").count() == 2
 
 
 def test_upsert_replaces_equal_keys(spark):
