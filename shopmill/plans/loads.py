@@ -11,7 +11,7 @@ from shopmill.operators import ingest
 from shopmill.operators.ingest import HISTORIC, LATEST, PART, Batch
 from shopmill.registry import TABLES
 from shopmill.sources import sinks
-from shopmill.sources.raw import BATCH, raw_path
+from shopmill.sources.sinks import BATCH, raw_path
 
 Read = Callable[[str, str], DataFrame]
 STATUS = "table_name string, status string, error string"

@@ -27,17 +27,51 @@ def write_view(df: DataFrame, name: str) -> None:
     df.createOrReplaceTempView(name)
 
 
-def write_table(df: DataFrame, layer: str, name: str) -> None:
-    """Full refresh."""
-    df.write.mode("overwrite").format("parquet").saveAsTable(f"`{layer}`.`{name}`")
+# The key most joins of a large table use. Tables bucketed alike on it join and
+# group without a shuffle.
+CLUSTER_KEYS = {
+    "orders": "order_id",
+    "order_items": "order_id",
+    "reviews_enriched": "order_id",
+    "customers_enriched": "customer_id",
+    "customer_interactions": "customer_id",
+}
+
+
+def write_table(
+    df: DataFrame, layer: str, name: str, key: str | None = None, buckets: int = 0
+) -> None:
+    """Full refresh, on request bucketed by a key with one file per bucket."""
+    writer = df.write
+    if key and buckets:
+        # one task per bucket, so that a bucket is one file
+        writer = df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
+    writer.mode("overwrite").format("parquet").saveAsTable(f"`{layer}`.`{name}`")
 
 
 def refresh(
-    spark: SparkSession, build: Callable[[str], DataFrame], layer: str, names: Iterable[str]
+    build: Callable[[str], DataFrame], layer: str, names: Iterable[str], buckets: int = 0
 ) -> None:
-    """Write the named tables of a layer, one after the other."""
+    """Write the named tables of a layer, one after the other.
+
+    ``buckets`` buckets the large tables by their join key. All of them must use
+    the same number; aim at some hundred MB per bucket. Leave it out if a single
+    key holds a large share of a table: its bucket would be one task.
+    """
     for name in names:
-        write_table(build(name), layer, name)
+        write_table(build(name), layer, name, CLUSTER_KEYS.get(name), buckets)
+
+
+def refresh_customer_activity(
+    customers: DataFrame, interactions: DataFrame, path: str, since, as_of
+) -> None:
+    """Recompute the activity of the month of ``since`` and later; older months stay.
+
+    A month is recomputed from all its events, so late events are counted.
+    """
+    recent = interactions.where(F.col("event_date") >= F.trunc(F.lit(str(since)).cast("date"), "MM"))
+    activity = facts.fct_customer_activity(customers, recent, as_of)
+    upsert_path(activity, path, ["customer_id", "activity_month"], "activity_month")
 
 
 def upsert_path(

@@ -55,23 +55,29 @@ def street_book(stg_orders: DataFrame) -> DataFrame:
     return parsed_addresses(stg_orders).groupBy("street_address").agg(best)
 
 
-def order_addresses(stg_orders: DataFrame) -> DataFrame:
-    """Shipping and billing address of each order, found by street text.
+def asked_streets(stg_orders: DataFrame) -> DataFrame:
+    """Order addresses that may be the street of a known address, one row per role.
 
     The *whole* order address is compared with the *street* of a known address.
     A street holds no comma, so only addresses without one can match, and only
-    those are shuffled. Both roles go through one join.
+    those are shuffled.
     """
     roles = F.array(
-        F.struct(F.lit("shipping").alias("role"), F.col("shipping_address").alias("street_address")),
-        F.struct(F.lit("billing").alias("role"), F.col("billing_address").alias("street_address")),
+        *[
+            F.struct(F.lit(role).alias("role"), F.col(f"{role}_address").alias("street_address"))
+            for role in ("shipping", "billing")
+        ]
     )
-    asked = (
+    return (
         stg_orders.where(F.col("order_id").isNotNull())
         .select("order_id", F.inline(roles))
         .where(F.col("street_address").isNotNull() & ~has_parts(F.col("street_address")))
     )
-    found = asked.join(street_book(stg_orders), "street_address")
+
+
+def order_addresses(stg_orders: DataFrame) -> DataFrame:
+    """Shipping and billing address of each order; both roles go through one join."""
+    found = asked_streets(stg_orders).join(street_book(stg_orders), "street_address")
     hit = F.struct("best.address_id", "street_address", "best.city", "best.state")
     per_order = found.groupBy("order_id").agg(
         F.max(F.when(F.col("role") == "shipping", hit)).alias("shipping"),
@@ -128,6 +134,25 @@ def orders(
     return order_measures(stg_orders, stg_order_items, stg_reviews).select(*ORDER_COLUMNS)
 
 
+def orders_with_every_address(
+    stg_orders: DataFrame, stg_order_items: DataFrame, stg_reviews: DataFrame
+) -> DataFrame:
+    """``orders`` with one row per combination of matching addresses.
+
+    ``orders`` keeps its declared key, ``order_id``, by taking one address where
+    several share the street. This is the unreduced join. Its output grows with
+    the number of matches, so no other table is built on it.
+    """
+    known = parsed_addresses(stg_orders).select("street_address", "address_id")
+    found = asked_streets(stg_orders).join(known, "street_address")
+    rows = orders(stg_orders, stg_order_items, stg_reviews)
+    for role in ("shipping", "billing"):
+        name = f"{role}_address_id"
+        match = found.where(F.col("role") == role).select("order_id", F.col("address_id").alias(name))
+        rows = rows.drop(name).join(match, "order_id", "left")
+    return rows.select(*ORDER_COLUMNS)
+
+
 def newest_scores(stg_reviews: DataFrame) -> DataFrame:
     """Score of the newest rated review per order and product; ties: highest review id.
 

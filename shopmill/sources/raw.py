@@ -7,12 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from shopmill.operators.ingest import PART
 from shopmill.operators.latest import latest_by_key
 from shopmill.registry import primary_keys
-
-BATCH = "INGEST_BATCH"
-
-
-def raw_path(root: str, table: str) -> str:
-    return f"{root.rstrip('/')}/{table}"
+from shopmill.sources.sinks import BATCH, append_batch, raw_path
 
 
 def read_raw(spark: SparkSession, root: str, table: str, newest: bool = True) -> DataFrame:
@@ -25,3 +20,11 @@ def read_raw(spark: SparkSession, root: str, table: str, newest: bool = True) ->
     if newest and set(keys) <= set(df.columns):
         df = latest_by_key(df, keys, ["LOADED_AT", PART])
     return df.drop(BATCH, PART)
+
+
+def compact(spark: SparkSession, root: str, table: str, new_root: str, batch_id: str) -> None:
+    """Write the newest rows as the only batch of a raw table below ``new_root``.
+
+    Rows keep their load time, so batches appended later still supersede them.
+    """
+    append_batch(read_raw(spark, root, table), new_root, table, batch_id)

@@ -17,7 +17,7 @@ import pytest
 
 from check import rows as frame_rows
 from contract import oracle
-from shopmill.plans import facts, tables
+from shopmill.plans import tables, transactions
 from shopmill.plans.warehouse import MARTS, NORMALIZED, VARIANTS, Warehouse
 from shopmill.registry import TABLES, staged_schema
 
@@ -216,13 +216,40 @@ def test_variants(small):
     assert set(VARIANTS) >= {"orders_by_load_time"}
 
 
+def test_every_address_match(small):
+    warehouse, connection = small
+    staged = [warehouse.staged(t) for t in ("orders", "order_items", "reviews")]
+    every = oracle.CTE["int_orders"].replace("street_addresses", "addresses")
+    result = connection.sql(oracle.with_tables(f"SELECT * FROM ({every})", GIVEN))
+    wanted = frame_rows(pd.DataFrame(result.fetchall(), columns=result.columns, dtype=object))
+    assert len(wanted) > 80
+    assert found(transactions.orders_with_every_address(*staged)) == wanted
+
+
+def test_bucketed_tables_join_without_shuffle(small, spark, path):
+    warehouse, connection = small
+    layer = f"bucketed_{abs(hash(path))}"
+    tables.create_layers(spark, path, [layer])
+    names = ["orders", "order_items", "reviews_enriched"]
+    tables.refresh(warehouse.table, layer, names, buckets=4)
+    marts = tables.marts_over_tables(lambda t: spark.table(f"{layer}.{t}"), AS_OF)
+    df = marts["fct_customer_orders"]()
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert found(df) == expected(connection, "fct_customer_orders")
+
+
 def test_incremental_activity_equals_full_rebuild(small, path):
     warehouse, connection = small
-    events = warehouse.staged("interactions")
-    keys = ["customer_id", "activity_month"]
-    for part in (events.where("event_date < '2001-02-03'"), events.where("event_date >= '2001-02-01'")):
-        activity = facts.fct_customer_activity(warehouse.customers_named, part, AS_OF)
-        tables.upsert_path(activity, f"{path}/activity", keys, "activity_month")
+    events, customers = warehouse.staged("interactions"), warehouse.customers_named
+    target = f"{path}/activity"
+    early = events.where("event_date < '2001-02-03'")
+    tables.refresh_customer_activity(customers, early, target, "1990-01-01", AS_OF)
+    tables.refresh_customer_activity(customers, events, target, "2001-02-02", AS_OF)
     assert found(tables.read_upserted(warehouse.table("dim_dates").sparkSession, f"{path}/activity")) == (
         expected(connection, "fct_customer_activity")
     )

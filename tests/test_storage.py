@@ -101,6 +101,9 @@ def test_append_is_repeatable_and_reads_newest(spark, path):
         sinks.append_batch(df, path, "interactions", batch.batch_id)
     assert raw.read_raw(spark, path, "interactions", newest=False).count() == 3
     assert kinds(raw.read_raw(spark, path, "interactions")) == [("1", "a"), ("2", "c")]
+    raw.compact(spark, path, "interactions", f"{path}/compacted", "c1")
+    assert raw.read_raw(spark, f"{path}/compacted", "interactions", newest=False).count() == 2
+    assert kinds(raw.read_raw(spark, f"{path}/compacted", "interactions")) == [("1", "a"), ("2", "c")]
 
 
 def test_append_rows_creates_and_extends_a_table(spark):
@@ -242,7 +245,7 @@ def test_layers_tables_and_views(spark, path):
     tables.create_layers(spark, path, ["layer_test"])
     tables.create_layers(spark, path, ["layer_test"])
     build = {"one": spark.range(3), "two": spark.range(5)}
-    tables.refresh(spark, build.__getitem__, "layer_test", build)
+    tables.refresh(build.__getitem__, "layer_test", build)
     tables.write_table(spark.range(4), "layer_test", "one")
     assert spark.table("layer_test.one").count() == 4
     assert Path(path, "layer_test", "two").exists()
