@@ -50,6 +50,11 @@ def _orders_of(spark: SparkSession, folder: str, part: str) -> DataFrame:
     return _landed(spark, folder, "orders").where(limit)
 
 
+def _fresh(spark: SparkSession, name: str) -> str:
+    """A new folder per call, so that a call on other data finds nothing old."""
+    return session.work_path(spark, name, uuid.uuid4().hex)
+
+
 # --- sources and sinks --------------------------------------------------------------------
 
 
@@ -58,14 +63,14 @@ def _orders_of(spark: SparkSession, folder: str, part: str) -> DataFrame:
     with_tables("SELECT * REPLACE (nullif(city, '') AS city) FROM s_customers"),
 )
 def source_csv_customers(spark, folder):
-    path = session.work_path(spark, "source_csv_customers")
+    path = _fresh(spark, "source_csv_customers")
     sinks.write_csv(shop.raw_table(spark, folder, "customers"), path)
     return stage(files.read_csv(spark, path, "customers"), "customers")
 
 
 @query("source_json_lines_reviews", with_tables("SELECT * FROM s_reviews"))
 def source_json_lines_reviews(spark, folder):
-    path = session.work_path(spark, "source_json_lines_reviews")
+    path = _fresh(spark, "source_json_lines_reviews")
     rows = shop.raw_table(spark, folder, "reviews")
     sinks.write_json_lines(rows, path)
     return stage(
@@ -79,7 +84,7 @@ def source_json_lines_reviews(spark, folder):
 )
 def source_json_envelopes_products(spark, folder):
     """Envelopes of at most 500 products, the bound being the width of a key range."""
-    path = session.work_path(spark, "source_json_envelopes_products")
+    path = _fresh(spark, "source_json_envelopes_products")
     rows = _landed(spark, folder, "products")
     documents = rows.groupBy(F.floor(F.col("product_id").cast("bigint") / 500)).agg(
         F.struct(
@@ -105,7 +110,7 @@ def source_json_envelopes_products(spark, folder):
 )
 def raw_append_orders(spark, folder):
     """Two overlapping batches, the second appended twice, read as newest rows."""
-    root = session.work_path(spark, "raw_append_orders")
+    root = _fresh(spark, "raw_append_orders")
     old = ingest.transform(_orders_of(spark, folder, HISTORIC), "orders", FIRST)
     new = ingest.transform(_orders_of(spark, folder, LATEST), "orders", SECOND)
     sinks.append_batch(old, root, "orders", FIRST.batch_id)
@@ -119,7 +124,7 @@ def raw_append_orders(spark, folder):
 
 @query(
     "flatten_nested",
-    """SELECT event_id, json_array(event_type, props) AS tags, user_id AS who_id, ts AS who_seen_at,
+    """SELECT event_id, cast(json_array(event_type, props) AS varchar) AS tags, user_id AS who_id, ts AS who_seen_at,
               value AS who_score_value, props AS who_score_props FROM events""",
 )
 def flatten_nested(spark, folder):
@@ -385,32 +390,57 @@ def load_incremental_interactions(spark, folder):
     return ingest.incremental_load(events.where(odd), events.where(~odd & late), "interactions", SECOND)
 
 
+def _flat_metadata(metadata: DataFrame) -> DataFrame:
+    """Arrays and maps as text and size, so that every engine can compare them."""
+    return metadata.withColumns(
+        {"columns": F.array_join("columns", ","), "data_types": F.size("data_types")}
+    )
+
+
+def _metadata_statement(batch: Batch, counts: str, column: str) -> str:
+    names = ",".join(f.name.upper() for f in staged_schema("orders").fields)
+    return with_tables(
+        f"""SELECT 'orders' AS table_name, '{batch.batch_id}' AS batch_id,
+                   timestamp '{batch.loaded_at}' AS "timestamp", *,
+                   historic_records + latest_records AS total_records,
+                   '{column}' AS date_column_used, '{names}' AS columns, 14 AS data_types
+            FROM (SELECT {counts} FROM s_orders)"""
+    )
+
+
+_LATE = f"order_date >= date '{LATEST_FROM}'"
+
+
 @query(
-    "batch_metadata",
-    with_tables(
-        f"""SELECT 'orders' AS table_name, 'batch-1' AS batch_id, {NOW} AS "timestamp",
-                   count(*) FILTER (order_date < date '{LATEST_FROM}') AS historic_records,
-                   count(*) FILTER (order_date >= date '{LATEST_FROM}') AS latest_records,
-                   count(*) AS total_records, 'ORDER_DATE' AS date_column_used,
-                   '{",".join(f.name.upper() for f in staged_schema("orders").fields)}' AS columns,
-                   14 AS type_count, min(order_date) AS min_date
-            FROM s_orders"""
+    "metadata_initial_orders",
+    _metadata_statement(
+        FIRST,
+        f"count(*) FILTER (order_date < date '{HISTORIC_TO}') AS historic_records,"
+        f" count(*) FILTER ({_LATE}) AS latest_records,"
+        f" min(order_date) FILTER ({_LATE}) AS min_date",
+        "order_date",
     ),
 )
-def batch_metadata(spark, folder):
-    loaded = load_initial_orders(spark, folder)
-    return ingest.batch_metadata(loaded, "orders", FIRST).select(
-        "table_name",
-        "batch_id",
-        "timestamp",
-        "historic_records",
-        "latest_records",
-        "total_records",
-        "date_column_used",
-        F.array_join("columns", ",").alias("columns"),
-        F.size("data_types").alias("type_count"),
-        "min_date",
-    )
+def metadata_initial_orders(spark, folder):
+    parts = [_orders_of(spark, folder, part) for part in (HISTORIC, LATEST)]
+    extracted = ingest.tagged_parts(*parts)
+    loaded = ingest.transform(extracted, "orders", FIRST)
+    return _flat_metadata(ingest.batch_metadata(loaded, "orders", FIRST, extracted))
+
+
+@query(
+    "metadata_incremental_orders",
+    _metadata_statement(
+        SECOND,
+        "count(*) FILTER (order_date < (SELECT min(order_date) FROM s_orders"
+        f" WHERE {_LATE})) AS historic_records, count(*) FILTER ({_LATE}) AS latest_records,"
+        " min(order_date) AS min_date",
+        "ORDER_DATE",
+    ),
+)
+def metadata_incremental_orders(spark, folder):
+    loaded = load_incremental_orders(spark, folder)
+    return _flat_metadata(ingest.batch_metadata(loaded, "orders", SECOND))
 
 
 @query(
@@ -445,7 +475,7 @@ def upsert_customer_activity(spark, folder):
 def upsert_table_customer_activity(spark, folder):
     """The same through a written table, partitioned by month."""
     w = warehouse(spark, folder)
-    path = session.work_path(spark, "upsert_table_customer_activity")
+    path = _fresh(spark, "upsert_table_customer_activity")
     events, middle = w.staged("interactions"), "2024-01-05 12:00:00"
     for part in (events.where(F.col("event_date") < middle), events):
         activity = facts.fct_customer_activity(w.customers_named, part, shop.AS_OF)
@@ -462,7 +492,7 @@ def upsert_table_customer_activity(spark, folder):
 )
 def stream_interactions(spark, folder):
     """Two deliveries through the file stream; the second corrects later events."""
-    root = session.work_path(spark, "stream_interactions", uuid.uuid4().hex)
+    root = _fresh(spark, "stream_interactions")
     events = _landed(spark, folder, "interactions")
     late = F.col("event_date") >= "2024-01-03"
     deliveries = (

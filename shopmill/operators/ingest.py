@@ -51,10 +51,13 @@ def transform(df: DataFrame, table: str, batch: Batch) -> DataFrame:
     )
 
 
+def tagged_parts(historic: DataFrame, latest: DataFrame) -> DataFrame:
+    return combine.union_parts(tag_part(historic, HISTORIC), tag_part(latest, LATEST))
+
+
 def initial_load(historic: DataFrame, latest: DataFrame, table: str, batch: Batch) -> DataFrame:
     """First load: both parts in one frame, then transformed."""
-    both = combine.union_parts(tag_part(historic, HISTORIC), tag_part(latest, LATEST))
-    return transform(both, table, batch)
+    return transform(tagged_parts(historic, latest), table, batch)
 
 
 def incremental_load(
@@ -71,18 +74,28 @@ def incremental_load(
     return combine.union_parts(old, new).transform(reshape.coerce_stamps, date_columns(table))
 
 
-def batch_metadata(loaded: DataFrame, table: str, batch: Batch) -> DataFrame:
-    """One row about a loaded batch, from one pass over its part and date columns."""
-    column = pick_date_column(loaded.columns, table)
-    columns = [c for c in loaded.columns if c != PART]
+def batch_metadata(
+    loaded: DataFrame, table: str, batch: Batch, extracted: DataFrame | None = None
+) -> DataFrame:
+    """One row about a loaded batch, from one pass over its part and date columns.
+
+    By default the loaded rows are counted and their first date is given. An
+    initial load passes its ``extracted`` rows instead (``tagged_parts``): it
+    reports them before repeated keys go, and the first date of the latest part.
+    """
+    counted = loaded if extracted is None else extracted
+    column = pick_date_column(counted.columns, table)
+    names = [c for c in loaded.columns if c != PART]
     types = {name: kind for name, kind in loaded.dtypes if name != PART}
     part = F.col(PART)
-    first = F.min(column) if column else F.lit(None).cast("timestamp_ntz")
-    return loaded.agg(
+    dates = temporal.try_stamp(F.col(column)) if column else F.lit(None).cast("timestamp_ntz")
+    if extracted is not None:
+        dates = F.when(part == LATEST, dates)
+    return counted.agg(
         F.count_if(part == HISTORIC).alias("historic_records"),
         F.count_if(part == LATEST).alias("latest_records"),
         F.count(F.lit(1)).alias("total_records"),
-        first.alias("min_date"),
+        F.min(dates).alias("min_date"),
     ).select(
         F.lit(table).alias("table_name"),
         F.lit(batch.batch_id).alias("batch_id"),
@@ -91,7 +104,7 @@ def batch_metadata(loaded: DataFrame, table: str, batch: Batch) -> DataFrame:
         "latest_records",
         "total_records",
         F.lit(column).cast("string").alias("date_column_used"),
-        F.array(*[F.lit(c) for c in columns]).alias("columns"),
+        F.array(*[F.lit(c) for c in names]).alias("columns"),
         F.create_map(*[F.lit(x) for pair in types.items() for x in pair]).alias("data_types"),
         "min_date",
     )

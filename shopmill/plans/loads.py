@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,11 +22,12 @@ def load_initial(
     spark: SparkSession, read: Read, table: str, root: str, batch: Batch, copies: str | None = None
 ) -> None:
     """Historic and latest part into the raw table; optionally CSV and metadata copies."""
-    both = ingest.initial_load(read(table, HISTORIC), read(table, LATEST), table, batch)
-    sinks.append_batch(both, root, table, batch.batch_id)
+    extracted = ingest.tagged_parts(read(table, HISTORIC), read(table, LATEST))
+    loaded = ingest.transform(extracted, table, batch)
+    sinks.append_batch(loaded, root, table, batch.batch_id)
     if copies:
         written = spark.read.parquet(raw_path(root, table)).where(F.col(BATCH) == batch.batch_id)
-        write_copies(written.drop(BATCH), copies, table, batch)
+        write_copies(written.drop(BATCH), copies, table, batch, extracted)
 
 
 def load_increment(
@@ -51,11 +53,14 @@ def _copy_folder(copies: str, table: str, batch: Batch) -> str:
     return f"{copies.rstrip('/')}/{table}/{batch.batch_id}"
 
 
-def write_copies(rows: DataFrame, copies: str, table: str, batch: Batch) -> None:
+def write_copies(
+    rows: DataFrame, copies: str, table: str, batch: Batch, extracted: DataFrame | None = None
+) -> None:
     """CSV and metadata of already written rows."""
     folder = _copy_folder(copies, table, batch)
     sinks.write_csv(rows.drop(PART), f"{folder}/csv")
-    sinks.write_metadata(ingest.batch_metadata(rows, table, batch), f"{folder}/metadata")
+    metadata = ingest.batch_metadata(rows, table, batch, extracted)
+    sinks.write_metadata(metadata, f"{folder}/metadata")
 
 
 def run_loads(
@@ -66,16 +71,23 @@ def run_loads(
     batch: Batch,
     tables: Iterable[str] = TABLES,
     copies: str | None = None,
+    parallel: int = 4,
 ) -> DataFrame:
-    """One status row per table: loaded or failed, with the error."""
-    outcome = []
-    for table in tables:
+    """One status row per table: loaded or failed, with the error.
+
+    Tables do not depend on each other; ``parallel`` of them are submitted at a
+    time, so that small ones do not leave the cluster idle.
+    """
+
+    def outcome(table: str) -> tuple[str, str, str | None]:
         try:
             load(spark, read, table, root, batch, copies)
-            outcome.append((table, "loaded", None))
         except Exception as error:
-            outcome.append((table, "failed", f"{type(error).__name__}: {str(error)[:500]}"))
-    return spark.createDataFrame(outcome, STATUS)
+            return table, "failed", f"{type(error).__name__}: {str(error)[:500]}"
+        return table, "loaded", None
+
+    with ThreadPoolExecutor(parallel) as pool:
+        return spark.createDataFrame(list(pool.map(outcome, tables)), STATUS)
 
 
 def require_loaded(status: DataFrame) -> None:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -50,16 +51,26 @@ def write_table(
 
 
 def refresh(
-    build: Callable[[str], DataFrame], layer: str, names: Iterable[str], buckets: int = 0
+    build: Callable[[str], DataFrame],
+    layer: str,
+    names: Iterable[str],
+    buckets: int = 0,
+    parallel: int = 4,
 ) -> None:
-    """Write the named tables of a layer, one after the other.
+    """Write the named tables of a layer, ``parallel`` at a time.
 
-    ``buckets`` buckets the large tables by their join key. All of them must use
-    the same number; aim at some hundred MB per bucket. Leave it out if a single
-    key holds a large share of a table: its bucket would be one task.
+    They must not be built on each other. ``buckets`` buckets the large tables
+    by their join key. All of them must use the same number; aim at some hundred
+    MB per bucket. Leave it out if a single key holds a large share of a table:
+    its bucket would be one task.
     """
-    for name in names:
-        write_table(build(name), layer, name, CLUSTER_KEYS.get(name), buckets)
+    frames = {name: build(name) for name in names}
+
+    def write(name: str) -> None:
+        write_table(frames[name], layer, name, CLUSTER_KEYS.get(name), buckets)
+
+    with ThreadPoolExecutor(parallel) as pool:
+        list(pool.map(write, frames))
 
 
 def refresh_customer_activity(

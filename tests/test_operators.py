@@ -207,11 +207,16 @@ def test_incremental_load_has_no_history_in_the_overlap(spark):
 
 def test_batch_metadata(spark):
     old = landed(spark, ("1", "2024-01-01", "a"), ("2", "2024-01-03", "b"))
-    loaded = ingest.initial_load(old, landed(spark, ("3", "2024-01-02", "c")), "interactions", BATCH)
+    new = landed(spark, ("2", "2024-01-02", "c"))
+    loaded = ingest.initial_load(old, new, "interactions", BATCH)
     row = ingest.batch_metadata(loaded, "interactions", BATCH).first()
-    assert (row.historic_records, row.latest_records, row.total_records) == (2, 1, 3)
+    assert (row.historic_records, row.latest_records, row.total_records) == (1, 1, 2)
     assert row.date_column_used == "EVENT_DATE" and row.min_date == dt.datetime(2024, 1, 1)
     assert row.data_types["EVENT_DATE"] == "timestamp_ntz" and PART not in row.columns
+    extracted = ingest.tagged_parts(old, new)
+    row = ingest.batch_metadata(loaded, "interactions", BATCH, extracted).first()
+    assert (row.historic_records, row.latest_records, row.total_records) == (2, 1, 3)
+    assert row.min_date == dt.datetime(2024, 1, 2)
 
 
 # --- checks -------------------------------------------------------------------------------
