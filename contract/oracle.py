@@ -31,6 +31,10 @@ def big(expression: str, name: str) -> str:
     return f"cast({expression} AS bigint) AS {name}"
 
 
+def units(expression: str, name: str) -> str:
+    return f"cast({expression} AS decimal(38,0)) AS {name}"
+
+
 def avg(expression: str, name: str) -> str:
     return f"cast(sum({expression}) AS double) / nullif(count({expression}), 0) AS {name}"
 
@@ -241,7 +245,7 @@ CTE |= {
         SELECT o.order_id, o.customer_id, o.order_date, st.status_id, pm.payment_method_id,
                sa.address_id AS shipping_address_id, ba.address_id AS billing_address_id,
                o.total_amount, o.shipping_cost, count(DISTINCT i.product_id) AS unique_products,
-               {big("sum(i.quantity)", "total_items")}, count(r.review_score) > 0 AS has_review,
+               {units("sum(i.quantity)", "total_items")}, count(r.review_score) > 0 AS has_review,
                {avg("r.review_score", "avg_review_score")}, o.created_at
         FROM s_orders o LEFT JOIN order_statuses st ON st.status_name = o.status
              LEFT JOIN payment_methods pm ON pm.method_name = o.payment_method
@@ -338,7 +342,7 @@ MARTS = {
     "fct_customer_orders": f"""
         SELECT o.customer_id, o.order_id, o.order_date, o.total_amount,
                count(DISTINCT i.product_id) AS unique_products,
-               {big("sum(i.quantity)", "total_items")}, {avg("r.review_score", "avg_review_score")}
+               {units("sum(i.quantity)", "total_items")}, {avg("r.review_score", "avg_review_score")}
         FROM int_orders o LEFT JOIN int_order_items i ON i.order_id = o.order_id
              LEFT JOIN reviews_enriched r ON r.order_id = o.order_id
         GROUP BY o.customer_id, o.order_id, o.order_date, o.total_amount""",
@@ -388,7 +392,7 @@ MARTS = {
         FROM customer_interactions i GROUP BY 1, 2""",
     "fct_product_performance": f"""
         SELECT p.product_id, {month("o.order_date")} AS month,
-               count(DISTINCT o.order_id) AS total_orders, {big("sum(i.quantity)", "units_sold")},
+               count(DISTINCT o.order_id) AS total_orders, {units("sum(i.quantity)", "units_sold")},
                {money("sum(i.total_price)", "revenue")}, {avg("r.review_score", "avg_rating")},
                count(DISTINCT r.review_score) AS review_count
         FROM products_enriched p LEFT JOIN int_order_items i ON i.product_id = p.product_id

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 TOTAL = T.DecimalType(38, 2)
+# Units times reviews of one hot product can exceed a 64-bit integer.
+UNITS = T.DecimalType(38, 0)
 
 
 def ratio(total: Column, count: Column) -> Column:

@@ -86,7 +86,7 @@ def dim_categories(
         "category_name",
         "subcategory_count",
         "product_count",
-        repeated(F.col("revenue"), F.col("subcategory_count")).cast(TOTAL).alias("category_revenue"),
+        repeated(F.col("revenue"), F.col("subcategory_count"), TOTAL).alias("category_revenue"),
     )
 
 

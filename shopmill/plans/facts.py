@@ -260,7 +260,7 @@ def fct_product_performance(
             "month",
             F.coalesce("total_orders", zero).alias("total_orders"),
             repeated(F.col("units"), F.col("reviews")).alias("units_sold"),
-            repeated(F.col("sold"), F.col("reviews")).cast(TOTAL).alias("revenue"),
+            repeated(F.col("sold"), F.col("reviews"), TOTAL).alias("revenue"),
             "avg_rating",
             F.coalesce("review_count", zero).alias("review_count"),
         )

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shopmill.functions.keys import key_if_present
-from shopmill.functions.numbers import mean
+from shopmill.functions.numbers import UNITS, mean
 from shopmill.functions.text import has_parts
 from shopmill.plans.entities import brand_key, parsed_addresses
 
@@ -41,12 +42,14 @@ def reviews_per_order(reviews: DataFrame) -> DataFrame:
     )
 
 
-def repeated(total: Column, times: Column) -> Column:
+def repeated(total: Column, times: Column, dtype: T.DecimalType = UNITS) -> Column:
     """A sum over rows that a join to ``times`` partner rows would repeat.
 
-    Without partners an outer join keeps each row once.
+    Without partners an outer join keeps each row once. The product is decimal,
+    because it can be far larger than either factor.
     """
-    return total * F.greatest(F.coalesce(times, F.lit(0)), F.lit(1))
+    partners = F.greatest(F.coalesce(times, F.lit(0)), F.lit(1)).cast("decimal(20,0)")
+    return (total.cast(T.DecimalType(32, dtype.scale)) * partners).cast(dtype)
 
 
 def street_book(stg_orders: DataFrame) -> DataFrame:

@@ -159,3 +159,11 @@ def test_ratios_and_means(spark):
     assert [(r.r, r.z) for r in found] == [(0.5, 0.5), (None, 0.0), (None, 0.0)]
     assert df.agg(numbers.mean(F.col("a")).alias("m")).first().m == 2.0
     assert df.where("false").agg(numbers.mean(F.col("a")).alias("m")).first().m is None
+
+
+def test_repeated_units_exceed_64_bits(spark):
+    from shopmill.plans.transactions import repeated
+
+    df = spark.createDataFrame([(10**12, 10**11), (5, None), (None, 7)], "u bigint, n bigint")
+    found = df.select(repeated(F.col("u"), F.col("n")).alias("x")).collect()
+    assert [r.x and int(r.x) for r in found] == [10**23, 5, None]
