@@ -14,7 +14,7 @@ from shopmill.functions import temporal
 from shopmill.operators import combine, ingest, quality, reshape
 from shopmill.operators.ingest import HISTORIC, LATEST, PART, Batch
 from shopmill.operators.latest import latest_by_key
-from shopmill.plans import checks, facts, tables
+from shopmill.plans import checks, dimensions, facts, tables
 from shopmill.plans.staging import stage
 from shopmill.registry import landing_schema, staged_schema
 from shopmill.sources import files, raw, shop, sinks
@@ -453,6 +453,53 @@ def newer_than_orders(spark, folder):
     return combine.newer_than(orders, orders.where(f"o_orderdate < '{LATEST_FROM}'"), "o_orderdate")
 
 
+@query(
+    "newer_than_customer_orders",
+    with_tables(
+        "SELECT * FROM fct_customer_orders WHERE order_date >"
+        f" (SELECT max(order_date) FROM s_orders WHERE order_date < date '{LATEST_FROM}')"
+    ),
+)
+def newer_than_customer_orders(spark, folder):
+    """The rows an incremental run adds to a fact that holds the earlier orders."""
+    w = warehouse(spark, folder)
+    lines = facts.known_product_lines(w.staged("order_items"), w.staged("products"))
+    orders, reviews = w.staged("orders"), w.staged("reviews")
+    held = facts.fct_customer_orders(orders.where(f"order_date < '{LATEST_FROM}'"), lines, reviews)
+    return facts.new_customer_orders(orders, lines, reviews, held)
+
+
+@query(
+    "newer_than_customer_reviews",
+    with_tables(
+        """SELECT r.customer_id, r.product_id, r.order_id, r.review_score, r.review_text,
+                  p.category_id, p.subcategory_id
+           FROM s_reviews r JOIN s_products p ON p.product_id = r.product_id
+           WHERE r.loaded_at > (SELECT max(loaded_at) FROM s_reviews
+                                WHERE loaded_at < timestamp '2001-01-01')"""
+    ),
+)
+def newer_than_customer_reviews(spark, folder):
+    w = warehouse(spark, folder)
+    reviews = w.staged("reviews")
+    held = reviews.where("loaded_at < timestamp_ntz'2001-01-01 00:00:00'")
+    return facts.new_customer_reviews(reviews, w.staged("products"), held)
+
+
+@query(
+    "dim_dates_by_day",
+    """SELECT DISTINCT d AS date_day, cast(year(d) AS integer) AS year,
+              cast(month(d) AS integer) AS month, cast(isodow(d) AS integer) AS day_of_week,
+              cast(date_trunc('month', d) AS date) AS first_day_of_month,
+              last_day(d) AS last_day_of_month
+       FROM (SELECT cast(o_orderdate AS date) AS d FROM orders
+             UNION ALL SELECT cast(ts AS date) FROM events)""",
+)
+def dim_dates_by_day(spark, folder):
+    w = warehouse(spark, folder)
+    return dimensions.dim_dates(w.staged("orders"), w.staged("interactions"), as_date=True)
+
+
 _ACTIVITY = table("fct_customer_activity")
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from shopmill.functions import temporal
 from shopmill.functions.numbers import TOTAL, mean, money_total, ratio
+from shopmill.operators.combine import newer_than
 from shopmill.plans.transactions import lines_per_order, repeated, reviews_per_order
 
 
@@ -35,6 +36,27 @@ def fct_customer_orders(
     )
 
 
+def new_customer_orders(
+    orders: DataFrame, order_items: DataFrame, reviews: DataFrame, held: DataFrame
+) -> DataFrame:
+    """The rows an incremental run adds to the fact ``held``: orders after its last one.
+
+    Lines and reviews are cut to those orders before they are summed.
+    """
+    new = newer_than(orders, held, "order_date")
+    ids = new.select("order_id")
+    return fct_customer_orders(
+        new,
+        order_items.join(ids, "order_id", "left_semi"),
+        reviews.join(ids, "order_id", "left_semi"),
+    )
+
+
+def new_customer_reviews(reviews: DataFrame, products: DataFrame, held: DataFrame) -> DataFrame:
+    """Reviews loaded after the last one in ``held``, in the columns of the fact."""
+    return fct_customer_reviews(newer_than(reviews, held, "loaded_at"), products)
+
+
 def known_product_lines(order_items: DataFrame, products: DataFrame) -> DataFrame:
     """Order lines whose product exists."""
     return order_items.join(products.select("product_id"), "product_id", "left_semi")
