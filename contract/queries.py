@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shopmill.plans.warehouse import MARTS, NORMALIZED, STAGING, VARIANTS, Warehouse
+from shopmill.plans.warehouse import MARTS, NORMALIZED, STAGING, Warehouse
 from shopmill.sources import shop
 
 Query = Callable[[SparkSession, str], DataFrame]

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -47,7 +46,3 @@ def shared_folder(spark: SparkSession) -> str:
 def work_path(spark: SparkSession, *parts: str) -> str:
     """A path of this application below the shared folder."""
     return "/".join([shared_folder(spark), "shopmill", spark.sparkContext.applicationId, *parts])
-
-
-def local_cores(default: int = 8) -> int:
-    return int(os.environ.get("BENCH_CPUS", default))
