@@ -144,8 +144,8 @@ def _cutter(vocabulary: str, end_id: int, window: int):
             for at in range(0, batch.num_rows, TEXTS):
                 some = batch.slice(at, TEXTS)
                 rows = []
-                for doc_id, ids in zip(some.column("doc_id").to_pylist(), encoder.encode(some.column("text").to_pylist())):
-                    ids += end
+                for doc_id, text in zip(some.column("doc_id").to_pylist(), some.column("text").to_pylist()):
+                    ids = encoder.encode(text) + end
                     total = len(ids) // wide
                     for start in range(0, total, window):
                         own = ids[start * wide : (start + window) * wide]

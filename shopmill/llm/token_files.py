@@ -30,10 +30,10 @@ from shopmill.llm.huffman import Code, code_lengths
 BLOCK_TOKENS = 1 << 16
 #: Ids between two checkpoints.
 EVERY = 256
-#: Documents that are tokenized, and blocks that are decoded, in one go.
-TEXTS, BLOCKS = 256, 16
+#: Blocks that are decoded in one go.
+BLOCKS = 16
 
-PLAIN = "part int, before long, doc_ids array<long>, lengths array<long>, n_tokens long, ids binary"
+PLAIN = "part int, before long, doc_ids array<long>, lengths array<long>, n_tokens long, ids binary, counts binary"
 CODED = (
     "first_token long, doc_ids array<long>, lengths array<long>, n_tokens long, payload binary,"
     " checkpoints binary"
@@ -52,7 +52,8 @@ def write(docs: DataFrame, path: str, vocabulary: str | None = None, end_id: int
         .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), tie)
     )
     plain = store.settle(ordered.mapInArrow(_tokenizer(vocabulary, end_id), PLAIN), "ids")
-    counted = plain.select("ids").mapInArrow(_counter(vocabulary), "id int, n long")
+    counted = plain.select("counts").where("counts IS NOT NULL").mapInArrow(_counter, "id int, n long")
+    blocks = plain.where("ids IS NOT NULL").drop("counts")
     counts = np.zeros(0, np.int64)
     # Bounded: one row per id of the vocabulary, one per partition.
     if rows := counted.groupBy("id").agg(F.sum("n").alias("n")).collect():
@@ -60,11 +61,11 @@ def write(docs: DataFrame, path: str, vocabulary: str | None = None, end_id: int
         counts[[r.id for r in rows]] = [r.n for r in rows]
     lengths = code_lengths(counts)
     base, total = {}, 0
-    for row in plain.groupBy("part").agg(F.sum("n_tokens").alias("n")).orderBy("part").collect():
+    for row in blocks.groupBy("part").agg(F.sum("n_tokens").alias("n")).orderBy("part").collect():
         base[row.part], total = total, total + row.n
     codes = [(int(i), int(lengths[i])) for i in np.flatnonzero(lengths)]
     spark.createDataFrame(codes, "id int, bits int").coalesce(1).write.parquet(f"{path}/codes")
-    plain.mapInArrow(_packer(lengths, base, vocabulary), CODED).write.parquet(f"{path}/blocks")
+    blocks.mapInArrow(_packer(lengths, base, vocabulary), CODED).write.parquet(f"{path}/blocks")
     store.drop(plain)
 
 
@@ -94,49 +95,51 @@ def _tokenizer(vocabulary: str, end_id: int):
     schema = arrow_schema(PLAIN)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Blocks of ids, and at the end how often the task met each id."""
         encoder = tokens.encoder(vocabulary)
-        end = np.asarray([end_id], encoder.dtype).tobytes()
-        part, before, n = TaskContext.get().partitionId(), 0, 0
+        end, wide = np.asarray([end_id], encoder.dtype).tobytes(), encoder.dtype.itemsize
+        part, before, n, counts = TaskContext.get().partitionId(), 0, 0, np.zeros(0, np.int64)
         ids, owners, lengths = [], [], []
 
         def block():
-            return pa.RecordBatch.from_pylist(
-                [{"part": part, "before": before, "doc_ids": owners, "lengths": lengths, "n_tokens": n, "ids": b"".join(ids)}], schema
-            )
+            nonlocal counts, before, n, ids, owners, lengths
+            joined = b"".join(ids)
+            more = np.bincount(np.frombuffer(joined, encoder.dtype), minlength=len(counts))
+            more[: len(counts)] += counts
+            row = (part, before, owners, lengths, n, joined, None)
+            counts, before, n, ids, owners, lengths = more, before + n, 0, [], [], []
+            return _row(row, schema)
 
         for batch in batches:
-            for at in range(0, batch.num_rows, TEXTS):
-                some = batch.slice(at, TEXTS)
-                found = encoder.encode(some.column("text").to_pylist())
-                for doc_id, coded in zip(some.column("doc_id").to_pylist(), found):
-                    ids.append(coded + end)
-                    owners.append(doc_id)
-                    lengths.append(len(ids[-1]) // encoder.dtype.itemsize)
-                    n += lengths[-1]
-                    if n >= BLOCK_TOKENS:
-                        yield block()
-                        before, n = before + n, 0
-                        ids, owners, lengths = [], [], []
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
+                ids.append(encoder.encode(text.as_py()) + end)
+                owners.append(doc_id)
+                lengths.append(len(ids[-1]) // wide)
+                n += lengths[-1]
+                if n >= BLOCK_TOKENS:
+                    yield block()
         if owners:
             yield block()
+        yield _row((part, before, None, None, 0, None, counts.astype("<i8").tobytes()), schema)
 
     return run
 
 
-def _counter(vocabulary: str):
-    schema = arrow_schema("id int, n long")
+def _row(values: tuple, schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, schema.types)], schema=schema)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        dtype, counts = tokens.encoder(vocabulary).dtype, np.zeros(0, np.int64)
-        for batch in batches:
-            for ids in batch.column(0):
-                more = np.bincount(np.frombuffer(ids.as_buffer(), dtype), minlength=len(counts))
-                more[: len(counts)] += counts
-                counts = more
-        present = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(present, pa.int32()), pa.array(counts[present])], schema=schema)
 
-    return run
+def _counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    schema, total = arrow_schema("id int, n long"), np.zeros(0, np.int64)
+    for batch in batches:
+        for counts in batch.column(0):
+            counts = np.frombuffer(counts.as_buffer(), "<i8")
+            wider = np.zeros(max(len(total), len(counts)), np.int64)
+            wider[: len(total)] += total
+            wider[: len(counts)] += counts
+            total = wider
+    present = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(present, pa.int32()), pa.array(total[present])], schema=schema)
 
 
 def _packer(lengths: np.ndarray, base: dict[int, int], vocabulary: str):

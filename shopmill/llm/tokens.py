@@ -14,8 +14,8 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 
@@ -48,6 +48,36 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
+class NoCut(Exception):
+    """The split after a part is not certain."""
+
+
+class Parts(dict):
+    """Ids by part; a missing one is encoded and, if there is room, kept."""
+
+    def __init__(self, tokenizer, kind: str):
+        super().__init__()
+        self.tokenizer, self.kind = tokenizer, kind
+        self.letters = _byte_letters()
+
+    def __missing__(self, part: str) -> bytes:
+        bare = part[1:] if part[0] == " " else part
+        if bare.isalpha() or SINGLE.fullmatch(part):
+            if part.isascii():
+                word = part if bare is part else "Ġ" + bare
+            else:
+                word = part.encode().decode("latin-1").translate(self.letters)
+            ids = array(self.kind, [t.id for t in self.tokenizer.model.tokenize(word)]).tobytes()
+        elif part[-1].isspace() and part[-1] not in " \n":
+            raise NoCut
+        else:
+            found = self.tokenizer.encode(part, add_special_tokens=False)
+            ids = array(self.kind, found.ids).tobytes()
+        if len(part) <= KEPT_LENGTH and len(self) < KEPT_PARTS:
+            self[part] = ids
+        return ids
+
+
 class Encoder:
     """Ids of texts; strings of special tokens are ordinary text."""
 
@@ -59,58 +89,22 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.dtype = np.dtype("<u2") if size <= 1 << 16 else np.dtype("<u4")
-        self.letters = _byte_letters()
-        self.kept: dict[str, bytes] = {}
+        self.parts = Parts(self.tokenizer, "H" if size <= 1 << 16 else "I")
 
     def whole(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, from the library's encoder at one go."""
         found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
         return [np.asarray(e.ids, self.dtype).tobytes() for e in found]
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text, through its parts; none for a null."""
-        sections = [s for text in texts for s in _sections(text or "")]
-        parts = [PARTS.findall(s) for s in sections]
-        flat = list(chain.from_iterable(parts))
-        found = list(map(self.kept.get, flat))
-        if None in found:
-            gaps = [i for i, ids in enumerate(found) if ids is None]
-            fresh = self._parts({flat[i]: None for i in gaps})
-            for i in gaps:
-                found[i] = fresh[flat[i]]
-        out, at = [], 0
-        for section, own in zip(sections, parts):
-            ids = found[at : at + len(own)]
-            at += len(own)
-            out.append(self.whole([section])[0] if None in ids else b"".join(ids))
-        if len(sections) == len(texts):
-            return out
-        joined, at = [], 0
-        for text in texts:
-            n = sum(1 for _ in _sections(text or ""))
-            joined.append(b"".join(out[at : at + n]))
-            at += n
-        return joined
-
-    def _parts(self, fresh: dict[str, bytes | None]) -> dict[str, bytes | None]:
-        """Ids of new parts; null where the split after one is not certain."""
-        tokenize, dtype = self.tokenizer.model.tokenize, self.dtype
-        others = []
-        for part in fresh:
-            if SINGLE.fullmatch(part):
-                if part.isascii():
-                    word = "Ġ" + part[1:] if part[0] == " " else part
-                else:
-                    word = part.encode().decode("latin-1").translate(self.letters)
-                fresh[part] = np.array([t.id for t in tokenize(word)], dtype).tobytes()
-            elif not (part[-1].isspace() and part[-1] not in " \n"):
-                others.append(part)
-        fresh.update(zip(others, self.whole(others)))
-        room = KEPT_PARTS - len(self.kept)
-        if room > 0:
-            short = (p for p in fresh if len(p) <= KEPT_LENGTH and fresh[p] is not None)
-            self.kept.update((p, fresh[p]) for p, _ in zip(short, range(room)))
-        return fresh
+    def encode(self, text: str | None) -> bytes:
+        """Ids of a text, through its parts; none for a null."""
+        return b"".join(self._section(s) for s in _sections(text or ""))
+
+    def _section(self, text: str) -> bytes:
+        try:
+            return b"".join(map(self.parts.__getitem__, PARTS.findall(text)))
+        except NoCut:
+            return self.whole([text])[0]
 
 
 def _sections(text: str):
