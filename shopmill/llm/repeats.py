@@ -65,7 +65,8 @@ def apply(docs: DataFrame, found: DataFrame, carry: Sequence[str] = ()) -> DataF
     """
     keyed = docs.select("doc_id", "text", *carry, F.xxhash64("text").alias("key")).alias("d")
     same = F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("d.key") == F.col("c.key"))
-    joined = keyed.join(found.alias("c"), same, "left").select("d.*", "c.begins", "c.ends").drop("key")
+    # The intervals grow with the corpus: never broadcast them.
+    joined = keyed.join(found.hint("merge").alias("c"), same, "left").select("d.*", "c.begins", "c.ends").drop("key")
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
     schema = ", ".join(
         ["doc_id bigint", "text string", *(f"`{c}` {kinds[c]}" for c in carry), "n_words bigint", "n_removed bigint", "kept_sha256 string"]
