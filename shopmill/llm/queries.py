@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from shopmill.llm import packing, repeats, token_files
+from shopmill.llm import packing, repeats, shingle_join, token_files
 
 QUERIES = {
     "op1_token_files": token_files.op1_token_files,
     "op6_packing": packing.op6_packing,
+    "op8_shingle_join": shingle_join.op8_shingle_join,
     "op9_substring_dedup": repeats.op9_substring_dedup,
 }
 

@@ -83,7 +83,7 @@ def op9_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
-def _packed_steps(places: np.ndarray) -> bytes:
+def packed_steps(places: np.ndarray) -> bytes:
     """Ascending places as their differences, a byte each; 255 means that more follows."""
     steps = np.diff(places, prepend=0)
     more = steps // 255
@@ -93,7 +93,7 @@ def _packed_steps(places: np.ndarray) -> bytes:
     return out.tobytes()
 
 
-def _places(steps: bytes) -> np.ndarray:
+def places_of(steps: bytes) -> np.ndarray:
     steps = np.frombuffer(steps, np.uint8)
     return np.cumsum(steps, dtype=np.int64)[steps < 255]
 
@@ -123,7 +123,7 @@ def _sender(window: int, buckets: int):
                 heads = np.flatnonzero(np.diff(owners[own], prepend=-1))
                 sizes = np.diff(heads, append=bounds[b + 1] - bounds[b]).astype("<u4")
                 ids = doc_ids[owners[own][heads]]
-                rows.append((number, int(b), hashes[own].tobytes(), _packed_steps(places[own]), sizes.tobytes(), ids.tobytes(), None))
+                rows.append((number, int(b), hashes[own].tobytes(), packed_steps(places[own]), sizes.tobytes(), ids.tobytes(), None))
             keys = batch.column("key").to_numpy(zero_copy_only=False)
             there = np.packbits(batch.column("doc_id").is_valid().to_numpy(zero_copy_only=False))
             rows.append((number, number % buckets, None, there.tobytes(), counts.astype("<u4").tobytes(), doc_ids.tobytes(), keys.tobytes()))
@@ -160,7 +160,7 @@ def _marker(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     marks[order] = ordered > np.repeat(least, np.diff(heads, append=len(hashes)))
     for number, step, own in zip(numbers, steps, np.split(marks, np.cumsum(lengths)[:-1])):
         if own.any():
-            row = (number, _places(step)[own].astype("<u4").tobytes(), None, None, None)
+            row = (number, places_of(step)[own].astype("<u4").tobytes(), None, None, None)
             yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, schema.types)], schema=schema)
 
 
