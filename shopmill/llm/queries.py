@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from shopmill.llm import packing, repeats, shingle_join, token_files
+from shopmill.llm import decontaminate, licenses, packing, quality, repeats, shingle_join, token_files
 
 QUERIES = {
     "op1_token_files": token_files.op1_token_files,
+    "op2_decontaminate": decontaminate.op2_decontaminate,
     "op6_packing": packing.op6_packing,
+    "op7_licenses": licenses.op7_licenses,
     "op8_shingle_join": shingle_join.op8_shingle_join,
     "op9_substring_dedup": repeats.op9_substring_dedup,
+    "op10_quality": quality.op10_quality,
 }
 
 STATEMENTS: dict[str, str] = {}
