@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from shopmill.llm import decontaminate, licenses, packing, quality, repeats, shingle_join, token_files
+from shopmill.llm import (
+    decontaminate, licenses, neighbours, packing, quality, repeats, shingle_join, token_counts, token_files, url_rules,
+)
 
 QUERIES = {
     "op1_token_files": token_files.op1_token_files,
     "op2_decontaminate": decontaminate.op2_decontaminate,
+    "op3_url_rules": url_rules.op3_url_rules,
+    "op4_token_counts": token_counts.op4_token_counts,
+    "op5_neighbours": neighbours.op5_neighbours,
     "op6_packing": packing.op6_packing,
     "op7_licenses": licenses.op7_licenses,
     "op8_shingle_join": shingle_join.op8_shingle_join,
@@ -14,4 +19,8 @@ QUERIES = {
     "op10_quality": quality.op10_quality,
 }
 
-STATEMENTS: dict[str, str] = {}
+STATEMENTS = {
+    "op3_url_rules": url_rules.STATEMENT,
+    "op4_token_counts": token_counts.STATEMENT,
+    "op5_neighbours": neighbours.STATEMENT,
+}

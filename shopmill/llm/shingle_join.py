@@ -34,7 +34,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from shopmill.llm import store
 from shopmill.llm.arrow import arrow_schema
@@ -49,39 +49,60 @@ SLICE, BUCKET, BLOCK = 4 << 20, 16 << 20, 1 << 20
 #: Classes that all blocks of a group have in common, on average.
 COMMON = 32
 
-SENT = "slice long, bucket int, hashes binary, owners binary, counts binary, doc_ids binary, sets binary"
-SHARED = "slice long, hashes binary, owners binary, counts binary, doc_ids binary, sets binary"
-SETS = "doc_id long, n_shingles long, set_a long, set_b long, prefix int, shared binary"
+SENT = "slice long, bucket int, hashes binary, owners binary, counts binary, doc_ids binary, keys binary, sets binary"
+SHARED = "slice long, hashes binary, owners binary, counts binary, doc_ids binary, keys binary, sets binary"
+SETS = "doc_id long, key long, n_shingles long, set_a long, set_b long, prefix int, shared binary"
 POSTINGS = "element long, class long"
 STARS = "a long, b long"
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` for each document."""
+    """``doc_id, key, n_shingles, component_id, root`` for each document.
+
+    ``key`` is the hash of doc_id and text. ``root`` tells components apart
+    even where all their doc_ids are null; it is null for an empty set.
+    """
     sets = _sets(docs, shingle, percent)
     classes = _classes(sets)
-    edges = _links(classes, percent)
-    roots = components(edges)
+    roots = components(_links(classes, percent))
     named = (
         classes.join(roots.withColumnRenamed("id", "class"), "class", "left")
         .select("set_a", "set_b", "least", F.coalesce("root", "class").alias("root"))
     )
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = named.join(least, "root").select("set_a", "set_b", "component_id")
+    named = named.join(least, "root").select("set_a", "set_b", "component_id", "root")
     # A class may hold a third of all documents; it is one row on the right.
-    found = sets.select("doc_id", "n_shingles", "set_a", "set_b").join(named, ["set_a", "set_b"], "left")
+    found = sets.drop("prefix", "shared").join(named, ["set_a", "set_b"], "left")
+    some = F.col("n_shingles") > 0
     return found.select(
-        "doc_id", "n_shingles", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
-    )
+        "doc_id", "key", "n_shingles", F.when(some, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        F.when(some, F.col("root")).alias("root"),
+    )
+
+
+def keep_one(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """The documents, one of each group of near duplicates (the smallest doc_id); empty ones all stay."""
+    found = near_duplicates(docs, shingle, percent)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key"))
+    chosen = found.where("root IS NOT NULL").groupBy("root").agg(first["key"].alias("key"))
+    chosen = chosen.select("key", F.lit(False).alias("every"))
+    empty = found.where("root IS NULL").select("key", F.lit(True).alias("every"))
+    chosen = chosen.unionByName(empty).groupBy("key").agg(F.max("every").alias("every"))
+    # The chosen keys grow with the corpus: never broadcast them.
+    row, key = F.struct("*").alias("row"), F.xxhash64("doc_id", "text").alias("key")
+    joined = docs.select(row, key).join(chosen.hint("merge"), "key")
+    number = F.row_number().over(Window.partitionBy("key").orderBy("key"))
+    return joined.withColumn("number", number).where("number = 1 OR every").select("row.*")
 
 
 def op8_shingle_join(spark: SparkSession, folder: str) -> DataFrame:
-    return near_duplicates(spark.read.parquet(f"{folder}/documents.parquet"))
+    found = near_duplicates(spark.read.parquet(f"{folder}/documents.parquet"))
+    return found.select("doc_id", "n_shingles", "component_id")
 
 
 def _sets(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     """Per document its set's size and hash and, if it may link, its shared hashes, rarest first."""
-    texts = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
+    texts = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("key"), F.col("text").cast("binary").alias("text"))
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = 1 + total * 3 // 2 // BUCKET
     sent = texts.mapInArrow(_sender(shingle, buckets), SENT)
@@ -175,11 +196,12 @@ def _sender(shingle: int, buckets: int):
             rows = []
             for b in np.flatnonzero(np.diff(edges)):
                 own = slice(edges[b], edges[b + 1])
-                rows.append((number, int(b), by_bucket[own].tobytes(), packed_steps(owners[own]), None, None, None))
+                rows.append((number, int(b), by_bucket[own].tobytes(), packed_steps(owners[own]), None, None, None, None))
             doc_ids = batch.column("doc_id")
             there = np.packbits(doc_ids.is_valid().to_numpy(zero_copy_only=False)).tobytes()
             ids = doc_ids.fill_null(0).to_numpy(zero_copy_only=False).astype("<i8").tobytes()
-            rows.append((number, number % buckets, None, there, np.diff(bounds).astype("<u4").tobytes(), ids, sets))
+            keys = batch.column("key").to_numpy().tobytes()
+            rows.append((number, number % buckets, None, there, np.diff(bounds).astype("<u4").tobytes(), ids, keys, sets))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
             number += 1
 
@@ -192,14 +214,14 @@ def _sharer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     numbers, hashes, owners, lengths = [], [], [], []
     for batch in batches:
         rows = batch.to_pydict()
-        for number, own, steps, counts, ids, sets in zip(*(rows[c] for c in ("slice", "hashes", "owners", "counts", "doc_ids", "sets"))):
+        for number, own, *others in zip(*(rows[c] for c in ("slice", "hashes", "owners", "counts", "doc_ids", "keys", "sets"))):
             if own is None:
-                row = (number, None, steps, counts, ids, sets)
+                row = (number, None, *others)
                 yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, schema.types)], schema=schema)
                 continue
             numbers.append(number)
             hashes.append(np.frombuffer(own, np.uint64))
-            owners.append(steps)
+            owners.append(others[0])
             lengths.append(len(hashes[-1]))
     if not numbers:
         return
@@ -214,7 +236,7 @@ def _sharer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         several = count > 1
         if several.any():
             places = places_of(steps)[several]
-            row = (number, own[several].tobytes(), packed_steps(places), count[several].tobytes(), None, None)
+            row = (number, own[several].tobytes(), packed_steps(places), count[several].tobytes(), None, None, None)
             yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, schema.types)], schema=schema)
 
 
@@ -225,7 +247,7 @@ def _ranker(percent: int):
         """A slice's documents; with their shared hashes, rarest first, if these are enough to link."""
         rows = table.to_pydict()
         at = next(i for i, sets in enumerate(rows["sets"]) if sets is not None)
-        doc_ids = np.frombuffer(rows["doc_ids"][at], "<i8")
+        doc_ids, keys = (np.frombuffer(rows[c][at], "<i8") for c in ("doc_ids", "keys"))
         sizes = np.frombuffer(rows["counts"][at], "<u4").astype(np.int64)
         there = np.unpackbits(np.frombuffer(rows["owners"][at], np.uint8))[: len(doc_ids)] == 0
         sets = np.frombuffer(rows["sets"][at], "<i8").reshape(-1, 2)
@@ -241,7 +263,7 @@ def _ranker(percent: int):
         able = (shared >= needed) & (sizes > 0)
         kept = [hashes[bounds[i] : bounds[i + 1]].tobytes() if able[i] else None for i in range(len(doc_ids))]
         prefix = np.where(able, shared - needed + 1, 0)
-        columns = [pa.array(doc_ids, mask=there), sizes, sets[:, 0], sets[:, 1], prefix, kept]
+        columns = [pa.array(doc_ids, mask=there), keys, sizes, sets[:, 0], sets[:, 1], prefix, kept]
         return pa.table([pa.array(c, t) if not isinstance(c, pa.Array) else c for c, t in zip(columns, schema.types)], schema=schema)
 
     return run
