@@ -33,7 +33,7 @@ SLICE = 4 << 20
 SHRINKAGE, FLOOR = 0.1, 0.5
 #: Scores from here on are label 1.
 THRESHOLD = 0.3
-SUMS = "quality int, n double, sums binary, products binary"
+SUMS = "quality int, at int, value double"
 
 
 def statistics(column: pa.Array) -> np.ndarray:
@@ -118,13 +118,11 @@ def fit(docs: DataFrame, labels: DataFrame, shrinkage: float = SHRINKAGE) -> Dis
     known = labels.where("quality IS NOT NULL").groupBy("doc_id").agg(F.max(F.col("quality").cast("int")).alias("quality"))
     known = known.where(~held_out())
     summed = vectors.join(known, "doc_id").select("quality", "x").mapInArrow(_sum, SUMS)
-    # Bounded: a task gives one row per class.
-    classes: dict[int, list] = {}
-    for row in summed.toLocalIterator():
-        own = classes.setdefault(int(row.quality > 0), [0.0, 0.0, 0.0])
-        s = np.frombuffer(row.sums)
-        for i, more in enumerate((row.n, s, np.frombuffer(row.products).reshape(len(s), -1))):
-            own[i] = own[i] + more
+    # Bounded: two classes by the numbers of a mean and a covariance.
+    classes: dict[int, dict[int, float]] = {}
+    for row in summed.groupBy("quality", "at").agg(F.sum("value").alias("value")).collect():
+        classes.setdefault(row.quality, {})[row.at] = row.value
+    classes = {k: _split(np.array([v for _, v in sorted(own.items())])) for k, own in classes.items()}
     if len(classes) < 2:
         return Discriminant(float(next(iter(classes), 0.5)))
     n, sums, products = (classes[0][i] + classes[1][i] for i in range(3))
@@ -162,20 +160,28 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sum(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Count, sum and sum of outer products of a task's vectors, by class."""
-    classes: dict[int, list] = {}
+    """Count, sum and sum of outer products of a task's vectors, by class, as numbered values."""
+    classes: dict[int, np.ndarray] = {}
     for batch in batches:
-        quality = batch.column("quality").to_numpy()
-        x = np.stack([np.frombuffer(v) for v in batch.column("x").to_pylist()]) if batch.num_rows else np.zeros((0, 1))
-        for k in np.unique(quality):
+        if not batch.num_rows:
+            continue
+        quality = batch.column("quality").to_numpy() > 0
+        x = np.stack([np.frombuffer(v) for v in batch.column("x").to_pylist()])
+        for k in (0, 1):
             own = x[quality == k]
-            found = classes.setdefault(int(k), [0.0, 0.0, 0.0])
-            for i, more in enumerate((float(len(own)), own.sum(axis=0), own.T @ own)):
-                found[i] = found[i] + more
-    if classes:
-        rows = [(k, n, s.tobytes(), p.tobytes()) for k, (n, s, p) in classes.items()]
-        schema = arrow_schema(SUMS)
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
+            more = np.concatenate([[len(own)], own.sum(axis=0), (own.T @ own).ravel()])
+            classes[k] = classes.get(k, 0) + more
+    schema = arrow_schema(SUMS)
+    for k, values in classes.items():
+        if values[0]:
+            columns = np.full(len(values), k), np.arange(len(values)), values
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, schema.types)], schema=schema)
+
+
+def _split(values: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+    """Count, sum and sum of outer products from their numbered values."""
+    d = int((np.sqrt(4 * len(values) - 3) - 1) / 2 + 0.5)
+    return values[0], values[1 : d + 1], values[d + 1 :].reshape(d, d)
 
 
 def _scorer(model: Discriminant, threshold: float, carry: tuple[str, ...]):
