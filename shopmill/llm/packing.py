@@ -26,7 +26,7 @@ from shopmill.llm.arrow import arrow_schema
 
 WINDOW = 1024
 #: Rests that one shard packs, on average; it holds their ids in memory.
-SHARD_PIECES = 8192
+SHARD_PIECES = 4096
 TEXTS = 256
 
 PIECES = "doc_id long, start long, length int, doc_tokens long, ids binary"

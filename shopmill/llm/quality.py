@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from shopmill.llm.arrow import arrow_schema
 from shopmill.llm.words import Texts, buffers, slices
 
-SLICE = 4 << 20
+SLICE = 1 << 20
 #: Share of the diagonal in a class's covariance, and least variance of a standardised statistic.
 SHRINKAGE, FLOOR = 0.1, 0.5
 #: Scores from here on are label 1.
@@ -141,10 +141,10 @@ def fit(docs: DataFrame, labels: DataFrame, shrinkage: float = SHRINKAGE) -> Dis
 
 
 def score(docs: DataFrame, model: Discriminant, threshold: float = THRESHOLD, carry: Sequence[str] = ()) -> DataFrame:
-    """Documents with ``score`` and ``predicted``."""
+    """Documents with ``score`` and ``predicted``; ``text`` may be carried, too."""
     kinds = dict(docs.dtypes)
     schema = ", ".join(["doc_id bigint", *(f"`{c}` {kinds[c]}" for c in carry), "score double", "predicted int"])
-    columns = ["doc_id", *carry, F.col("text").cast("binary").alias("__text")]
+    columns = dict.fromkeys(["doc_id", "text", *carry])
     return docs.select(*columns).mapInArrow(_scorer(model, threshold, tuple(carry)), schema)
 
 
@@ -186,8 +186,8 @@ def _split(values: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
 
 def _scorer(model: Discriminant, threshold: float, carry: tuple[str, ...]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "__text", SLICE):
-            found = model.scores(statistics(batch.column("__text")))
+        for batch in slices(batches, "text", SLICE):
+            found = model.scores(statistics(batch.column("text")))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"), *(batch.column(c) for c in carry), pa.array(found),

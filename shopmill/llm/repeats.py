@@ -37,7 +37,7 @@ from shopmill.llm.words import Texts, buffers, slices, windows
 #: Words of a window.
 WINDOW = 50
 #: Bytes of text of one slice, and of packed windows in one bucket on average.
-SLICE, BUCKET = 4 << 20, 16 << 20
+SLICE, BUCKET = 2 << 20, 16 << 20
 
 #: A bucket's windows of a slice; or, without hashes, the slice's documents.
 SENT = "slice long, bucket int, hashes binary, steps binary, sizes binary, doc_ids binary, keys binary"

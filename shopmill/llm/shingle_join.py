@@ -45,7 +45,7 @@ from shopmill.llm.words import Texts, slices, windows
 
 SHINGLE, PERCENT = 5, 75
 #: Bytes of text of one slice, of packed hashes in one bucket on average, of one searched block.
-SLICE, BUCKET, BLOCK = 4 << 20, 16 << 20, 1 << 20
+SLICE, BUCKET, BLOCK = 2 << 20, 16 << 20, 1 << 20
 #: Classes that all blocks of a group have in common, on average.
 COMMON = 32
 

@@ -30,7 +30,7 @@ PARTS = re.compile(
 #: A part that is a single word or run of punctuation to the tokenizer.
 SINGLE = re.compile(rf" ?(?:[{_LETTER}]+|[{_MARK}]+)")
 #: Entries and characters of an entry that a process keeps; others are encoded again.
-KEPT_PARTS, KEPT_LENGTH = 500_000, 24
+KEPT_PARTS, KEPT_LENGTH = 300_000, 24
 #: Characters of a text that are cut into parts at once.
 SECTION = 1 << 20
 

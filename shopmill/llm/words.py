@@ -11,7 +11,7 @@ import pyarrow as pa
 BLANKS = bytes([32, 9, 10, 11, 12, 13])
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 #: Bytes whose words are hashed at once.
-SEGMENT = 1 << 21
+SEGMENT = 1 << 18
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
