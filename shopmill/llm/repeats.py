@@ -37,7 +37,7 @@ from shopmill.llm.words import Texts, buffers, slices, windows
 #: Words of a window.
 WINDOW = 50
 #: Bytes of text of one slice, and of packed windows in one bucket on average.
-SLICE, BUCKET = 2 << 20, 16 << 20
+SLICE, BUCKET = 2 << 20, 8 << 20
 
 #: A bucket's windows of a slice; or, without hashes, the slice's documents.
 SENT = "slice long, bucket int, hashes binary, steps binary, sizes binary, doc_ids binary, keys binary"
@@ -133,27 +133,34 @@ def _sender(window: int, buckets: int):
     return run
 
 
+def _view(value: pa.Scalar, kind) -> np.ndarray:
+    """A binary value's numbers, not copied."""
+    return np.frombuffer(value.as_buffer(), kind)
+
+
 def _marker(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Mark a bucket's windows that also start in a document with a smaller doc_id."""
     schema = arrow_schema(MARKED)
     numbers, hashes, steps, doc_ids, lengths = [], [], [], [], []
     for batch in batches:
-        rows = batch.to_pydict()
-        for number, own, step, sizes, ids, keys in zip(*(rows[c] for c in ("slice", "hashes", "steps", "sizes", "doc_ids", "keys"))):
-            if own is None:
-                row = (number, step, sizes, ids, keys)
+        for i, number in enumerate(batch.column("slice").to_pylist()):
+            own = batch.column("hashes")[i]
+            if not own.is_valid:
+                row = (number, *(batch.column(c)[i].as_py() for c in ("steps", "sizes", "doc_ids", "keys")))
                 yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, schema.types)], schema=schema)
                 continue
             numbers.append(number)
-            hashes.append(np.frombuffer(own, np.uint64))
-            steps.append(step)
-            doc_ids.append(np.repeat(np.frombuffer(ids, np.int64), np.frombuffer(sizes, "<u4")))
+            hashes.append(_view(own, np.uint64))
+            steps.append(batch.column("steps")[i].as_py())
+            doc_ids.append((_view(batch.column("doc_ids")[i], np.int64), _view(batch.column("sizes")[i], "<u4")))
             lengths.append(len(hashes[-1]))
     if not numbers:
         return
-    hashes, doc_ids = np.concatenate(hashes), np.concatenate(doc_ids)
+    hashes = np.concatenate(hashes)
+    doc_ids = np.concatenate([np.repeat(ids, sizes) for ids, sizes in doc_ids])
     order = np.argsort(hashes, kind="stable")
-    heads = np.flatnonzero(np.diff(hashes[order], prepend=~hashes[order[0]]))
+    hashes = hashes[order]
+    heads = np.concatenate([[0], np.flatnonzero(hashes[1:] != hashes[:-1]) + 1])
     ordered = doc_ids[order]
     least = np.minimum.reduceat(ordered, heads)
     marks = np.zeros(len(hashes), bool)

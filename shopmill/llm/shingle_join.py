@@ -45,7 +45,7 @@ from shopmill.llm.words import Texts, slices, windows
 
 SHINGLE, PERCENT = 5, 75
 #: Bytes of text of one slice, of packed hashes in one bucket on average, of one searched block.
-SLICE, BUCKET, BLOCK = 2 << 20, 16 << 20, 1 << 20
+SLICE, BUCKET, BLOCK = 2 << 20, 8 << 20, 1 << 20
 #: Classes that all blocks of a group have in common, on average.
 COMMON = 32
 
@@ -213,24 +213,26 @@ def _sharer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = arrow_schema(SHARED)
     numbers, hashes, owners, lengths = [], [], [], []
     for batch in batches:
-        rows = batch.to_pydict()
-        for number, own, *others in zip(*(rows[c] for c in ("slice", "hashes", "owners", "counts", "doc_ids", "keys", "sets"))):
-            if own is None:
-                row = (number, None, *others)
+        for i, number in enumerate(batch.column("slice").to_pylist()):
+            own = batch.column("hashes")[i]
+            if not own.is_valid:
+                row = (number, None, *(batch.column(c)[i].as_py() for c in ("owners", "counts", "doc_ids", "keys", "sets")))
                 yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, schema.types)], schema=schema)
                 continue
             numbers.append(number)
-            hashes.append(np.frombuffer(own, np.uint64))
-            owners.append(others[0])
+            hashes.append(np.frombuffer(own.as_buffer(), np.uint64))
+            owners.append(batch.column("owners")[i].as_py())
             lengths.append(len(hashes[-1]))
     if not numbers:
         return
     hashes = np.concatenate(hashes)
     order = np.argsort(hashes, kind="stable")
-    heads = np.flatnonzero(np.diff(hashes[order], prepend=~hashes[order[0]]))
+    ordered = hashes[order]
+    heads = np.concatenate([[0], np.flatnonzero(ordered[1:] != ordered[:-1]) + 1])
     sizes = np.diff(heads, append=len(hashes))
     counts = np.empty(len(hashes), "<u4")
     counts[order] = np.repeat(sizes, sizes)
+    del ordered, order
     cuts = np.cumsum(lengths)[:-1]
     for number, steps, own, count in zip(numbers, owners, np.split(hashes, cuts), np.split(counts, cuts)):
         several = count > 1
