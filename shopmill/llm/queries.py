@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from shopmill.llm import (
-    decontaminate, licenses, neighbours, packing, quality, repeats, shingle_join, token_counts, token_files, url_rules,
+    decontaminate, licenses, neighbours, packing, quality, repeats, shingle_join, store, token_counts, token_files, url_rules,
 )
 
 QUERIES = {
@@ -19,6 +19,8 @@ QUERIES = {
     "op10_quality": quality.op10_quality,
 }
 
+QUERIES = {name: store.importable(query) for name, query in QUERIES.items()}
+
 STATEMENTS = {
     "op3_url_rules": url_rules.STATEMENT,
     "op4_token_counts": token_counts.STATEMENT,

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
+from functools import wraps
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,3 +33,17 @@ def drop(df: DataFrame) -> None:
 def remove(spark: SparkSession, path: str) -> None:
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def importable(query: Callable) -> Callable:
+    """The query, with this package on the path of Python workers where it is not installed."""
+
+    @wraps(query)
+    def run(spark: SparkSession, *rest):
+        root = str(Path(__file__).resolve().parents[2])
+        own = spark.sparkContext.environment
+        if root not in own.get("PYTHONPATH", "").split(":"):
+            own["PYTHONPATH"] = ":".join(filter(None, [root, own.get("PYTHONPATH")]))
+        return query(spark, *rest)
+
+    return run

@@ -61,21 +61,20 @@ class Rollup:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
 
-    def _read(self, table: str, schema: str) -> DataFrame:
-        return self.spark.read.schema(schema).option("recursiveFileLookup", True).parquet(f"{self.path}/{table}")
-
     def _marks(self) -> dict[str, int]:
         """Committed batches; one row each."""
         folder = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/marks")
         system = folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
         if not system.exists(folder):
             return {}
-        return {r.batch_id: r.batch for r in self._read("marks", MARKS).collect()}
+        marks = self.spark.read.schema(MARKS).option("recursiveFileLookup", True).parquet(f"{self.path}/marks")
+        return {r.batch_id: r.batch for r in marks.collect()}
 
     def _committed(self, table: str, schema: str, batches: list[int]) -> DataFrame:
+        """The rows of committed batches; the folder of another may be rewritten at any time."""
         if not batches:
             return self.spark.createDataFrame([], schema)
-        return self._read(table, schema).where(F.col("batch").isin(batches))
+        return self.spark.read.schema(schema).parquet(*(f"{self.path}/{table}/{n}" for n in batches))
 
     def commit(self, batch_id: str, changes: DataFrame) -> bool:
         """Apply a batch of changes (doc_id, change, source, lang, tokenizer, tokens); False if it was applied before."""
