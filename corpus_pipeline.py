@@ -17,20 +17,20 @@ from shopmill.llm import decontaminate, packing, quality, repeats, shingle_join,
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-@store.importable
+@store.prepared
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject."""
     model = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return quality.score(docs, model, carry=COLUMNS[1:]).where("predicted = 1").select(COLUMNS)
 
 
-@store.importable
+@store.prepared
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
     return shingle_join.keep_one(docs.select(COLUMNS))
 
 
-@store.importable
+@store.prepared
 def repeat_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without passages of 50 words that stand in an earlier one; ``n_chars`` follows the text."""
     found = repeats.remove_repeats(docs, carry=COLUMNS[2:])
@@ -38,14 +38,14 @@ def repeat_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return found.withColumn("n_chars", n_chars).select(COLUMNS)
 
 
-@store.importable
+@store.prepared
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without passages of the benchmark."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return decontaminate.find(docs, benchmark, carry=COLUMNS[2:]).where(F.size("begins") == 0).select(COLUMNS)
 
 
-@store.importable
+@store.prepared
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of token ids, with the documents that each holds."""
     return packing.pack(docs)

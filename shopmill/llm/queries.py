@@ -19,7 +19,7 @@ QUERIES = {
     "op10_quality": quality.op10_quality,
 }
 
-QUERIES = {name: store.importable(query) for name, query in QUERIES.items()}
+QUERIES = {name: store.prepared(query) for name, query in QUERIES.items()}
 
 STATEMENTS = {
     "op3_url_rules": url_rules.STATEMENT,

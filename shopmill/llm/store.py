@@ -35,8 +35,13 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def importable(query: Callable) -> Callable:
-    """The query, with this package on the path of Python workers where it is not installed."""
+#: Rows that go to a Python worker at a time. Texts may be long: Spark's 10,000 of them
+#: would take a large part of an executor's memory.
+ROWS_A_BATCH = 500
+
+
+def prepared(query: Callable) -> Callable:
+    """The query, with this package on the path of Python workers and small batches for them."""
 
     @wraps(query)
     def run(spark: SparkSession, *rest):
@@ -44,6 +49,7 @@ def importable(query: Callable) -> Callable:
         own = spark.sparkContext.environment
         if root not in own.get("PYTHONPATH", "").split(":"):
             own["PYTHONPATH"] = ":".join(filter(None, [root, own.get("PYTHONPATH")]))
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_A_BATCH)
         return query(spark, *rest)
 
     return run
