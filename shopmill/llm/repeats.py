@@ -54,7 +54,7 @@ def cuts(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     sent = keyed.mapInArrow(_sender(window, buckets), SENT)
     marked = sent.repartitionById(buckets, F.col("bucket")).mapInArrow(_marker, MARKED)
     found = marked.groupBy("slice").applyInArrow(_merger(window), CUTS)
-    return store.settle(found.dropDuplicates(["doc_id", "key"]), "cuts")
+    return store.settle(found.dropDuplicates(["doc_id", "key"]), "cuts", free=True)
 
 
 def apply(docs: DataFrame, found: DataFrame, carry: Sequence[str] = ()) -> DataFrame:

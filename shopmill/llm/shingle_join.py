@@ -107,7 +107,7 @@ def _sets(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     buckets = 1 + total * 3 // 2 // BUCKET
     sent = texts.mapInArrow(_sender(shingle, buckets), SENT)
     shared = sent.repartitionById(buckets, F.col("bucket")).mapInArrow(_sharer, SHARED)
-    return store.settle(shared.groupBy("slice").applyInArrow(_ranker(percent), SETS), "sets")
+    return store.settle(shared.groupBy("slice").applyInArrow(_ranker(percent), SETS), "sets", free=True)
 
 
 def _classes(sets: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Callable
 from functools import wraps
@@ -17,10 +18,17 @@ def new_path(spark: SparkSession, name: str) -> str:
     return session.work_path(spark, "llm", f"{name}-{uuid.uuid4().hex}")
 
 
-def settle(df: DataFrame, name: str) -> DataFrame:
-    """The frame, written once and read back, so that later jobs do not compute it again."""
+def settle(df: DataFrame, name: str, free: bool = False) -> DataFrame:
+    """The frame, written once and read back, so that later jobs do not compute it again.
+
+    ``free`` asks for a collection on the driver, after which Spark removes the
+    shuffle files that only this write needed.
+    """
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
+    if free:
+        gc.collect()
+        df.sparkSession.sparkContext._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
