@@ -14,8 +14,9 @@ from shopmill.functions import temporal
 from shopmill.operators import combine, ingest, quality, reshape
 from shopmill.operators.ingest import HISTORIC, LATEST, PART, Batch
 from shopmill.operators.latest import latest_by_key
-from shopmill.plans import checks, dimensions, facts, tables
+from shopmill.plans import checks, dimensions, facts, loads, tables, transactions
 from shopmill.plans.staging import stage
+from shopmill.plans.warehouse import Warehouse
 from shopmill.registry import landing_schema, staged_schema
 from shopmill.sources import files, raw, shop, sinks
 from shopmill.streaming.ingest import stream_into_raw
@@ -119,6 +120,99 @@ def raw_append_orders(spark, folder):
     return stage(raw.read_raw(spark, root, "orders"), "orders")
 
 
+# Written loads: the history ends before the first day; each delivery has a range of days and
+# lacks the orders whose number its divisor divides.
+_HISTORY_TO = "2001-01-01"
+_DELIVERIES = (
+    (Batch("rerun-2", "2001-08-02 00:00:00"), "2000-06-01", "2001-04-01", 7),
+    (Batch("3", "2001-08-03 00:00:00"), "2000-12-01", "9999-01-01", 5),
+)
+_START = Batch("20010201", shop.LOADED_AT)
+
+
+def _delivered(number: int) -> str:
+    _, begin, end, without = _DELIVERIES[number]
+    return (
+        f"order_date >= '{begin}' AND order_date < '{end}'"
+        f" AND CAST(order_id AS bigint) % {without} <> 0"
+    )
+
+
+def _stamped(batch: Batch) -> str:
+    return f"* REPLACE ('{batch.batch_id}' AS batch_id, timestamp '{batch.loaded_at}' AS loaded_at)"
+
+
+@query(
+    "load_written_two_increments_orders",
+    with_tables(
+        f"""SELECT {_stamped(_START)} FROM s_orders
+            WHERE order_date < timestamp '{_HISTORY_TO}'
+              AND order_date < (SELECT min(order_date) FROM s_orders WHERE {_delivered(0)})
+              AND order_date < (SELECT min(order_date) FROM s_orders WHERE {_delivered(1)})
+            UNION ALL SELECT {_stamped(_DELIVERIES[0][0])} FROM s_orders WHERE {_delivered(0)}
+              AND order_date < (SELECT min(order_date) FROM s_orders WHERE {_delivered(1)})
+            UNION ALL SELECT {_stamped(_DELIVERIES[1][0])} FROM s_orders WHERE {_delivered(1)}"""
+    ),
+)
+def load_written_two_increments_orders(spark, folder):
+    """An initial load, run again without its latest part, and two increments, the second run twice.
+
+    Each increment lacks orders that the history holds inside the overlap; they
+    go and stay away. The jobs run while the query is built.
+    """
+    root = _fresh(spark, "load_written_two_increments_orders")
+    landed = _landed(spark, folder, "orders")
+    history = landed.where(f"order_date < '{_HISTORY_TO}'")
+
+    def load(how, batch, latest):
+        parts = {HISTORIC: history, LATEST: latest}
+        status = loads.run_loads(spark, how, lambda _, part: parts[part], root, batch, ["orders"])
+        loads.require_loaded(status)
+
+    load(loads.load_initial, _START, landed.where(f"order_date >= '{_HISTORY_TO}'"))
+    load(loads.load_initial, _START, landed.where("false"))
+    for number in (0, 1, 1):
+        load(loads.load_increment, _DELIVERIES[number][0], landed.where(_delivered(number)))
+    return stage(raw.read_raw(spark, root, "orders"), "orders")
+
+
+@query(
+    "order_address_matches",
+    with_tables(
+        """SELECT o.order_id, r.role, count(a.address_id) AS n_addresses
+           FROM s_orders o CROSS JOIN (VALUES ('shipping'), ('billing')) r(role)
+                LEFT JOIN addresses a ON a.street_address =
+                    CASE r.role WHEN 'shipping' THEN o.shipping_address ELSE o.billing_address END
+           GROUP BY o.order_id, r.role"""
+    ),
+)
+def order_address_matches(spark, folder):
+    """All matches that ``int_orders`` takes one of, counted against the plain joins."""
+    return transactions.order_address_matches(warehouse(spark, folder).staged("orders"))
+
+
+@query("marts_over_written_sales_by_region", table("fct_sales_by_region"))
+def marts_over_written_sales_by_region(spark, folder):
+    """A mart over normalized tables that were written first."""
+    w, root = warehouse(spark, folder), _fresh(spark, "marts_over_written")
+    for name in ("orders", "customers_enriched", "locations", "education_types", "marital_statuses"):
+        w.table(name).write.parquet(f"{root}/{name}")
+    read = tables.marts_over_tables(lambda name: spark.read.parquet(f"{root}/{name}"), shop.AS_OF)
+    return read["fct_sales_by_region"]()
+
+
+@query("staged_newest_orders", with_tables("SELECT * FROM s_orders"))
+def staged_newest_orders(spark, folder):
+    """Staging a raw table with repeated keys, older rows among them."""
+
+    def read(name):
+        rows = shop.raw_table(spark, folder, name)
+        older = rows.withColumn("loaded_at", F.col("loaded_at") - F.expr("INTERVAL 1 DAY"))
+        return rows.unionByName(older.withColumn("status", F.lit("old")))
+
+    return Warehouse(read, shop.AS_OF).staged("orders")
+
+
 # --- ingest operators ---------------------------------------------------------------------
 
 
@@ -373,21 +467,21 @@ def load_incremental_orders(spark, folder):
     "load_incremental_interactions",
     with_tables(
         f"""SELECT {_upper('interactions', SECOND)},
-                   CASE WHEN cast(event_id AS bigint) % 2 = 0 THEN '{LATEST}' ELSE '{HISTORIC}' END
-                       AS {PART}
+                   CASE WHEN cast(event_id AS bigint) % 2 = 0 AND event_date >= timestamp '2024-01-03'
+                       THEN '{LATEST}' ELSE '{HISTORIC}' END AS {PART}
             FROM s_interactions
             WHERE cast(event_id AS bigint) % 2 = 0 AND event_date >= timestamp '2024-01-03'
-               OR cast(event_id AS bigint) % 2 = 1 AND event_date < (
+               OR (cast(event_id AS bigint) % 2 = 1 OR event_date < timestamp '2024-01-03') AND event_date < (
                    SELECT min(event_date) FROM s_interactions
                    WHERE cast(event_id AS bigint) % 2 = 0 AND event_date >= timestamp '2024-01-03')"""
     ),
 )
 def load_incremental_interactions(spark, folder):
-    """Odd events are history, even ones from the third day on are the latest part."""
+    """Even events from the third day on are the latest part, all others are history."""
     events = _landed(spark, folder, "interactions")
     odd = F.col("event_id").cast("bigint") % 2 == 1
     late = F.col("event_date") >= "2024-01-03"
-    return ingest.incremental_load(events.where(odd), events.where(~odd & late), "interactions", SECOND)
+    return ingest.incremental_load(events.where(odd | ~late), events.where(~odd & late), "interactions", SECOND)
 
 
 def _flat_metadata(metadata: DataFrame) -> DataFrame:

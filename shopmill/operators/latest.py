@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+ROW = "_row_without_key"
+
+
 def latest_by_key(
     df: DataFrame,
     keys: Sequence[str],
@@ -30,17 +33,16 @@ def latest_by_key(
     if unordered:
         raise ValueError(f"map columns have no order, flatten them first: {unordered}")
 
-    keyed = _all(F.col(k).isNotNull() for k in keys)
+    group = list(keys)
+    if any(df.schema[k].nullable for k in keys):
+        # A row without key is a group of its own, so that one pass serves all rows.
+        keyed = _all(F.col(k).isNotNull() for k in keys)
+        df = df.withColumn(ROW, F.when(~keyed, F.monotonically_increasing_id()))
+        group.append(ROW)
+    names = [c for c in df.columns if c != ROW]
     best = F.max(F.struct(*versions, *rest)).alias("_best")
-    newest = (
-        df.where(keyed)
-        .groupBy(*keys)
-        .agg(best)
-        .select(*[c if c in keys else F.col(f"_best.{c}").alias(c) for c in df.columns])
-    )
-    if not any(df.schema[k].nullable for k in keys):
-        return newest
-    return newest.unionAll(df.where(~keyed))
+    newest = df.groupBy(*group).agg(best)
+    return newest.select(*[c if c in keys else F.col(f"_best.{c}").alias(c) for c in names])
 
 
 def _all(conditions) -> Column:

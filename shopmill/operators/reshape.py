@@ -113,10 +113,6 @@ def upper_names(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.upper() for c in df.columns])
 
 
-def lower_names(df: DataFrame) -> DataFrame:
-    return df.toDF(*[c.lower() for c in df.columns])
-
-
 def require_distinct_names(df: DataFrame) -> DataFrame:
     """Spark ignores case in names, so names that differ only by case clash too."""
     clashes = sorted(n for n, k in Counter(c.lower() for c in df.columns).items() if k > 1)
@@ -159,15 +155,3 @@ def _as_iso_text(column: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         return temporal.iso_millis(column)
     return F.lit(None).cast("string")
-
-
-def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Columns of ``schema`` in order; absent ones are typed NULLs."""
-    present = {c.lower(): f"`{c}`" for c in df.columns}
-    return df.selectExpr(
-        *[
-            f"cast({present.get(f.name.lower(), 'null')} as {f.dataType.simpleString()})"
-            f" as `{f.name}`"
-            for f in schema.fields
-        ]
-    )

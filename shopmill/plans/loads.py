@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from shopmill.operators import ingest
 from shopmill.operators.ingest import HISTORIC, LATEST, PART, Batch
-from shopmill.registry import TABLES
+from shopmill.registry import TABLES, pick_date_column
 from shopmill.sources import sinks
-from shopmill.sources.sinks import BATCH, raw_path
+from shopmill.sources.raw import read_raw
+from shopmill.sources.sinks import BATCH, CUT, batch_path
 
 Read = Callable[[str, str], DataFrame]
 STATUS = "table_name string, status string, error string"
@@ -26,27 +27,29 @@ def load_initial(
     loaded = ingest.transform(extracted, table, batch)
     sinks.append_batch(loaded, root, table, batch.batch_id)
     if copies:
-        written = spark.read.parquet(raw_path(root, table)).where(F.col(BATCH) == batch.batch_id)
-        write_copies(written.drop(BATCH), copies, table, batch, extracted)
+        written = spark.read.parquet(batch_path(root, table, batch.batch_id))
+        write_copies(written.drop(BATCH, CUT), copies, table, batch, extracted)
 
 
 def load_increment(
     spark: SparkSession, read: Read, table: str, root: str, batch: Batch, copies: str | None = None
 ) -> None:
-    """The latest part into the raw table, where it supersedes equal keys.
+    """The latest part into the raw table, where it supersedes equal keys and the overlap.
 
-    The history is already there and is not written again. The optional copy is
-    the whole combined table and gets a new folder per batch, because the
-    history it is made of must stay readable while it is written.
+    The history is already there and is not written again: the batch records
+    the date from which it replaces older rows, and readers leave those out. The
+    optional copy is the whole combined table and gets a new folder per batch,
+    because the history it is made of must stay readable while it is written.
     """
-    before = spark.read.parquet(raw_path(root, table)).where(F.col(BATCH) != batch.batch_id)
-    history = ingest.drop_repeated_keys(before, table).drop(BATCH, PART)
+    history = read_raw(spark, root, table, before=batch.batch_id)
     combined = ingest.incremental_load(history, read(table, LATEST), table, batch)
     if copies:
         snapshot = f"{_copy_folder(copies, table, batch)}/rows"
         combined.write.mode("overwrite").parquet(snapshot)
         write_copies(spark.read.parquet(snapshot), copies, table, batch)
-    sinks.append_batch(combined.where(F.col(PART) == LATEST), root, table, batch.batch_id)
+    latest = combined.where(F.col(PART) == LATEST)
+    column = pick_date_column(latest.columns, table)
+    sinks.append_batch(latest, root, table, batch.batch_id, replaces_from=column)
 
 
 def _copy_folder(copies: str, table: str, batch: Batch) -> str:
@@ -83,7 +86,7 @@ def run_loads(
         try:
             load(spark, read, table, root, batch, copies)
         except Exception as error:
-            return table, "failed", f"{type(error).__name__}: {str(error)[:500]}"
+            return table, "failed", f"{type(error).__name__}: {error}"
         return table, "loaded", None
 
     with ThreadPoolExecutor(parallel) as pool:

@@ -94,8 +94,10 @@ def upsert_path(
     partitions. Without one, rows are spread over hash buckets of the key.
 
     The merged partitions are first written to the shared folder and then
-    replace the old ones from there. A run that dies in between leaves the
-    table as it was, and a repeated run gives the same table.
+    replace the old ones from there, partition by partition. A run that dies
+    before that leaves the table as it was; one that dies while it replaces them
+    is mended by running it again, which gives the same table. The scratch
+    folder goes when the table is written.
     """
     if partition is not None and partition not in keys:
         raise ValueError(f"{partition} is not part of the key {keys}")
@@ -117,6 +119,7 @@ def upsert_path(
         .partitionBy(by)
         .parquet(path)
     )
+    session.remove(spark, scratch)
 
 
 def read_upserted(spark: SparkSession, path: str) -> DataFrame:

@@ -137,23 +137,19 @@ def orders(
     return order_measures(stg_orders, stg_order_items, stg_reviews).select(*ORDER_COLUMNS)
 
 
-def orders_with_every_address(
-    stg_orders: DataFrame, stg_order_items: DataFrame, stg_reviews: DataFrame
-) -> DataFrame:
-    """``orders`` with one row per combination of matching addresses.
+def order_address_matches(stg_orders: DataFrame) -> DataFrame:
+    """How many known addresses share the street of each order's address, per role.
 
-    ``orders`` keeps its declared key, ``order_id``, by taking one address where
-    several share the street. This is the unreduced join. Its output grows with
-    the number of matches, so no other table is built on it.
+    ``orders`` takes one of them. Addresses are counted per street and joined
+    once; all of them are found through ``addresses.street_address``.
     """
-    known = parsed_addresses(stg_orders).select("street_address", "address_id")
-    found = asked_streets(stg_orders).join(known, "street_address")
-    rows = orders(stg_orders, stg_order_items, stg_reviews)
-    for role in ("shipping", "billing"):
-        name = f"{role}_address_id"
-        match = found.where(F.col("role") == role).select("order_id", F.col("address_id").alias(name))
-        rows = rows.drop(name).join(match, "order_id", "left")
-    return rows.select(*ORDER_COLUMNS)
+    known = parsed_addresses(stg_orders).groupBy("street_address").agg(F.count("*").alias("n"))
+    found = asked_streets(stg_orders).join(known, "street_address").select("order_id", "role", "n")
+    roles = F.explode(F.array(F.lit("shipping"), F.lit("billing"))).alias("role")
+    every = stg_orders.where(F.col("order_id").isNotNull()).select("order_id", roles)
+    return every.join(found, ["order_id", "role"], "left").select(
+        "order_id", "role", F.coalesce("n", F.lit(0).cast("long")).alias("n_addresses")
+    )
 
 
 def newest_scores(stg_reviews: DataFrame) -> DataFrame:

@@ -43,6 +43,12 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, wherever it is stored."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def work_path(spark: SparkSession, *parts: str) -> str:
     """A path of this application below the shared folder."""
     return "/".join([shared_folder(spark), "shopmill", spark.sparkContext.applicationId, *parts])

@@ -52,8 +52,12 @@ def read_table(
     part: str = "historic",
     key: str | None = None,
     partitions: int = 64,
+    single_task: bool = False,
     **connection: str,
 ) -> DataFrame:
+    """A table, read in parallel by an integer ``key``; without one a single task must be asked for."""
+    if key is None and not single_task:
+        raise ValueError("name an integer key to read by, or ask for a single task")
     bounds = key_bounds(spark, url, table, part, key) if key else None
     options = read_options(url, table, part, key, bounds, partitions)
     return spark.read.format("jdbc").options(**options, **connection).load()

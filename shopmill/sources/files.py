@@ -1,4 +1,4 @@
-"""File sources: JSON envelopes, JSON lines, CSV and parquet."""
+"""File sources: JSON envelopes, JSON lines and CSV."""
 
 from __future__ import annotations
 
@@ -64,14 +64,14 @@ def read_csv(
     path: str,
     table: str | None = None,
     rows: T.StructType | None = None,
-    line_breaks: bool = True,
+    line_breaks: bool = False,
 ) -> DataFrame:
     """CSV with a header line. Rows hold the columns of ``rows`` in order.
 
     Quotes inside a value are doubled, as in RFC 4180. An empty value, quoted
-    or not, is NULL. A value may hold line breaks, so a file is one task and a
-    table should be a folder of files, as ``write_csv`` makes it. Where no value
-    holds one, ``line_breaks=False`` lets a single huge file split over tasks.
+    or not, is NULL. A huge file splits over tasks. Where values may hold line
+    breaks, ``line_breaks=True`` reads them, with one task per file: such a table
+    should be a folder of bounded files, as ``write_csv`` makes it.
     """
     rows = rows or landing_schema(table, audit=True)
     return (
@@ -83,7 +83,3 @@ def read_csv(
         .option("escape", '"')
         .csv(path)
     )
-
-
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)

@@ -3,27 +3,61 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from shopmill.functions import temporal
 from shopmill.operators.ingest import PART
 from shopmill.operators.latest import latest_by_key
-from shopmill.registry import primary_keys
-from shopmill.sources.sinks import BATCH, append_batch, raw_path
+from shopmill.registry import pick_date_column, primary_keys
+from shopmill.sources.sinks import BATCH, CUT, append_batch, raw_path
 
 
-def read_raw(spark: SparkSession, root: str, table: str, newest: bool = True) -> DataFrame:
-    """Rows of all batches; by default one row per key, the newest load first.
+def read_raw(
+    spark: SparkSession, root: str, table: str, newest: bool = True, before: str | None = None
+) -> DataFrame:
+    """The current rows: without what later batches replaced, one per key, the newest load first.
 
-    At equal load time the latest part beats the historic one.
+    At equal load time the latest part beats the historic one. ``newest=False``
+    gives the rows of all batches as they were appended. ``before`` leaves one
+    batch out, whose load is being repeated. A column that came with a later
+    batch is NULL in rows of earlier ones.
     """
-    df = spark.read.parquet(raw_path(root, table))
-    keys = [k.upper() for k in primary_keys(table)]
-    if newest and set(keys) <= set(df.columns):
-        df = latest_by_key(df, keys, ["LOADED_AT", PART])
-    return df.drop(BATCH, PART)
+    df = (
+        spark.read.option("mergeSchema", True)
+        .option("recursiveFileLookup", True)
+        .parquet(raw_path(root, table))
+    )
+    if before is not None:
+        df = df.where(F.col(BATCH) != before)
+    if newest:
+        df = _without_replaced(df, table)
+        keys = [k.upper() for k in primary_keys(table)]
+        if keys and set(keys) <= set(df.columns):
+            df = latest_by_key(df, keys, ["LOADED_AT", PART])
+    return df.drop(BATCH, PART, CUT)
+
+
+def _without_replaced(df: DataFrame, table: str) -> DataFrame:
+    """Rows that no batch loaded later replaces: it does so from a date on, and undated ones.
+
+    The cuts are one small row per batch, computed by a scalar subquery.
+    """
+    column = pick_date_column(df.columns, table)
+    if column is None or "LOADED_AT" not in df.columns:
+        return df
+    batches = df.where(F.col(CUT).isNotNull()).groupBy(BATCH).agg(
+        F.max("LOADED_AT").alias("at"), F.max(CUT).alias("cut")
+    )
+    cuts = batches.select(F.collect_list(F.struct("at", "cut"))).scalar()
+    date = temporal.try_stamp(F.col(column))
+    replaced = F.exists(
+        CUT, lambda c: (c["at"] > F.col("LOADED_AT")) & F.coalesce(date >= c["cut"], F.lit(True))
+    )
+    return df.withColumn(CUT, cuts).where(~F.coalesce(replaced, F.lit(False)))
 
 
 def compact(spark: SparkSession, root: str, table: str, new_root: str, batch_id: str) -> None:
-    """Write the newest rows as the only batch of a raw table below ``new_root``.
+    """Write the current rows as the only batch of a raw table below ``new_root``.
 
     Rows keep their load time, so batches appended later still supersede them.
     """

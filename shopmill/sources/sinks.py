@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import quote
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,32 +12,47 @@ from shopmill.operators.ingest import PART
 from shopmill.registry import storage_type
 
 BATCH = "INGEST_BATCH"
+#: The date from which a batch replaces rows of earlier ones; NULL: from none.
+CUT = "REPLACES_FROM"
 
 
 def raw_path(root: str, table: str) -> str:
     return f"{root.rstrip('/')}/{table}"
 
 
+def batch_path(root: str, table: str, batch_id: str) -> str:
+    return f"{raw_path(root, table)}/batch-{quote(batch_id, safe='')}"
+
+
 def append_batch(
-    df: DataFrame, root: str, table: str, batch_id: str, rows_per_file: int = 0
+    df: DataFrame,
+    root: str,
+    table: str,
+    batch_id: str,
+    rows_per_file: int = 0,
+    replaces_from: str | None = None,
 ) -> str:
     """Add one batch to a raw table.
 
-    A batch owns its partitions and replaces only those, so a rerun after a
-    failure leaves one copy. ``rows_per_file`` bounds the files where a consumer
-    needs it (0: no bound; small files slow every later scan).
+    A batch owns its folder and replaces it whole, so a rerun after a failure
+    leaves one copy, also where a part has become empty. ``replaces_from`` names
+    the date column from whose first value on the batch replaces all rows
+    loaded before it; it is stored with each row (``CUT``). The batch id is a
+    text column, whatever it looks like. ``rows_per_file`` bounds the files
+    where a consumer needs it (0: no bound; small files slow every later scan).
     """
-    path = raw_path(root, table)
     stored = df if PART in df.columns else df.withColumn(PART, F.lit("latest"))
+    cut = F.lit(None).cast("timestamp_ntz")
+    if replaces_from is not None:
+        cut = df.select(F.min(replaces_from)).scalar()
     (
-        stored.withColumn(BATCH, F.lit(batch_id))
+        stored.withColumns({BATCH: F.lit(batch_id), CUT: cut.cast("timestamp_ntz")})
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static")
         .option("maxRecordsPerFile", rows_per_file)
-        .partitionBy(BATCH, PART)
-        .parquet(path)
+        .parquet(batch_path(root, table, batch_id))
     )
-    return path
+    return raw_path(root, table)
 
 
 def write_csv(df: DataFrame, path: str, rows_per_file: int = 1_000_000) -> None:

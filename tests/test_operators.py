@@ -51,6 +51,13 @@ def test_latest_by_key_equals_brute_force_with_a_hot_key(spark, seed):
     assert "Window" not in plan(once)
 
 
+def test_latest_by_key_reads_once(spark, path):
+    spark.createDataFrame([("a", 1, "x"), (None, 2, "y"), (None, 2, "y")], "k string, v int, t string").write.parquet(path + "/t")
+    newest = latest_by_key(spark.read.parquet(path + "/t"), ["k"], ["v"])
+    assert newest._jdf.queryExecution().toString().split("Physical Plan")[-1].count("Scan parquet") == 1
+    assert newest.count() == 3
+
+
 def test_latest_by_key_refuses_maps(spark):
     df = spark.createDataFrame([("a", {"x": 1})], "k string, m map<string,int>")
     with pytest.raises(ValueError, match="map"):

@@ -43,7 +43,7 @@ def test_csv_keeps_quotes_commas_blanks_and_line_breaks(spark, path):
     data = [("1", 'say "hi", twice'), ("2", " padded "), ("3", "two\nlines"), ("4", None), ("5", "\\")]
     df = spark.createDataFrame(data, "CATEGORY_ID string, CATEGORY_NAME string")
     sinks.write_csv(df, f"{path}/csv", rows_per_file=2)
-    back = files.read_csv(spark, f"{path}/csv", rows=df.schema)
+    back = files.read_csv(spark, f"{path}/csv", rows=df.schema, line_breaks=True)
     assert rows(back) == rows(df)
     assert len(list(Path(f"{path}/csv").glob("part-*"))) > 1
 
@@ -89,6 +89,8 @@ def test_database_options():
     with pytest.raises(ValueError, match="bound"):
         database.read_options("jdbc:x", "orders", key="order_id")
     assert database.write_options("jdbc:x", "t")["truncate"] == "true"
+    with pytest.raises(ValueError, match="single task"):
+        database.read_table(None, "jdbc:x", "orders")
 
 
 # --- raw layer ----------------------------------------------------------------------------
@@ -106,6 +108,55 @@ def test_append_is_repeatable_and_reads_newest(spark, path):
     assert kinds(raw.read_raw(spark, f"{path}/compacted", "interactions")) == [("1", "a"), ("2", "c")]
 
 
+THIRD = Batch("20010203", "2024-05-03 10:00:00")
+
+
+def test_replaced_rows_stay_away(spark, path):
+    """A historic row inside the overlap that is not redelivered goes, and no later increment brings it back."""
+    rows_of = {
+        FIRST: [("1", "2024-01-01", "a"), ("9", "2024-01-02", "b"), ("2", "2024-02-05", "gone")],
+        SECOND: [("3", "2024-02-01", "c")],
+        THIRD: [("4", "2024-03-01", "d")],
+    }
+
+    def load(how, batch):
+        read = lambda _, part: events(spark, *(rows_of[batch] if (part == LATEST) == (batch is not FIRST) else []))
+        loads.require_loaded(loads.run_loads(spark, how, read, path, batch, ["interactions"], f"{path}-copies"))
+
+    load(loads.load_initial, FIRST)
+    for batch in (SECOND, THIRD, THIRD):
+        load(loads.load_increment, batch)
+    current = [("1", "a"), ("3", "c"), ("4", "d"), ("9", "b")]
+    assert kinds(raw.read_raw(spark, path, "interactions")) == current
+    copy = files.read_csv(spark, f"{path}-copies/interactions/{THIRD.batch_id}/csv", "interactions")
+    assert kinds(copy) == current
+    raw.compact(spark, path, "interactions", f"{path}-new", "all")
+    assert kinds(raw.read_raw(spark, f"{path}-new", "interactions")) == current
+
+
+def test_later_columns_odd_batch_ids_and_emptied_parts(spark, path):
+    first = ingest.transform(events(spark, ("1", "2024-01-01", "a")), "interactions", FIRST)
+    both = first.withColumn("SOURCE_PART", F.lit(HISTORIC)).unionByName(
+        first.withColumns({"EVENT_ID": F.lit("2"), "SOURCE_PART": F.lit(LATEST)})
+    )
+    sinks.append_batch(both, path, "interactions", "20010201")
+    sinks.append_batch(both.where(f"SOURCE_PART = '{HISTORIC}'"), path, "interactions", "20010201")
+    later = ingest.transform(events(spark, ("3", "2024-01-01", "c")), "interactions", SECOND)
+    sinks.append_batch(later.withColumn("EXTRA", F.lit(7)), path, "interactions", "rerun/2 = odd")
+    found = raw.read_raw(spark, path, "interactions")
+    assert sorted((r.EVENT_ID, r.EXTRA) for r in found.collect()) == [("1", None), ("3", 7)]
+    left = raw.read_raw(spark, path, "interactions", before="20010201")
+    assert [r.EVENT_ID for r in left.collect()] == ["3"]
+
+
+def test_the_whole_error_is_kept(spark, path):
+    def read(table, part):
+        raise OSError("x" * 2000 + " the cause")
+
+    status = loads.run_loads(spark, loads.load_initial, read, path, FIRST, ["orders"])
+    assert status.first().error.endswith("the cause")
+
+
 def test_append_rows_creates_and_extends_a_table(spark):
     spark.sql("CREATE DATABASE IF NOT EXISTS append_test")
     df = spark.createDataFrame([(1, 2.0, True)], "i int, d float, b boolean")
@@ -228,6 +279,13 @@ def test_upsert_rewrites_touched_partitions_only(spark, path):
     assert set(Path(path).glob("t/m=2024-01-01/*.parquet")) == untouched
 
 
+def test_upsert_leaves_no_scratch(spark, path):
+    for value in (1, 2):
+        tables.upsert_path(month(spark, ("a", "2024-01-01", value)), f"{path}/t", ["k", "m"], "m")
+    scratch = Path(session.work_path(spark, "upsert").removeprefix("file:"))
+    assert not scratch.exists() or not any(scratch.iterdir())
+
+
 def test_upsert_by_hash_bucket(spark, path):
     for value in (1, 2):
         df = spark.range(value * 50).select(F.col("id").cast("string").alias("k"), F.lit(value).alias("v"))
