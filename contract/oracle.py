@@ -191,13 +191,14 @@ CTE |= {
               FROM order_addresses) a
              LEFT JOIN locations l USING (city, state, country)
         WHERE a.city <> '' AND a.state <> '' AND a.country <> ''""",
-    "categories_enriched": """
-        SELECT c.category_id, c.category_name,
-               count(DISTINCT s.subcategory_id) AS subcategory_count,
-               count(DISTINCT p.product_id) AS product_count, c.created_at
-        FROM s_categories c LEFT JOIN s_subcategories s ON s.category_id = c.category_id
-             LEFT JOIN s_products p ON p.category_id = c.category_id
-        GROUP BY ALL""",
+    "categories_enriched": f"""
+        SELECT DISTINCT category_id, category_name,
+               (SELECT count(DISTINCT s.subcategory_id) FROM s_subcategories s
+                WHERE s.category_id = c.category_id) AS subcategory_count,
+               (SELECT count(DISTINCT p.product_id) FROM s_products p
+                WHERE p.category_id = c.category_id) AS product_count,
+               created_at
+        FROM s_categories c""",
     "subcategories_enriched": """
         SELECT s.subcategory_id, s.subcategory_name, s.category_id,
                count(DISTINCT p.product_id) AS product_count, s.created_at
@@ -270,10 +271,12 @@ CTE |= {
         FROM s_order_items i JOIN products_enriched p ON p.product_id = i.product_id
              LEFT JOIN s_orders o ON o.order_id = i.order_id
              LEFT JOIN newest_scores r ON r.order_id = i.order_id AND r.product_id = i.product_id""",
-    "customer_interactions": """
-        SELECT i.event_id, i.customer_id, i.product_id, p.category_id, p.subcategory_id,
-               i.event_type, i.event_date, i.device_type, i.session_id, i.created_at
-        FROM s_interactions i LEFT JOIN s_products p ON p.product_id = i.product_id""",
+    "customer_interactions": f"""
+        SELECT i.* EXCLUDE (data_source, batch_id, loaded_at, created_at),
+               known.place.c AS category_id, known.place.s AS subcategory_id, i.created_at
+        FROM s_interactions i
+             LEFT JOIN (SELECT product_id AS id, {{'c': category_id, 's': subcategory_id}} AS place
+                        FROM s_products) known ON known.id = i.product_id""",
 }
 
 # --- marts --------------------------------------------------------------------------------
@@ -283,8 +286,12 @@ def _distinct_if(kind: str, column: str, name: str) -> str:
     return f"count(DISTINCT CASE WHEN i.event_type = '{kind}' THEN i.{column} END) AS {name}"
 
 
-def _count_if(kind: str, name: str) -> str:
-    return f"count(*) FILTER (i.event_type = '{kind}') AS {name}"
+def _different(column: str, name: str, where: str = "") -> str:
+    return f"coalesce(len(list_distinct(list({column}){where})), 0) AS {name}"
+
+
+def _products(kind: str, name: str) -> str:
+    return _different("product_id", name, f" FILTER (event_type = '{kind}')")
 
 
 MARTS = {
@@ -295,20 +302,26 @@ MARTS = {
         FROM (SELECT order_date AS d FROM int_orders
               UNION ALL SELECT event_date FROM customer_interactions)""",
     "dim_locations": f"""
-        SELECT l.location_id, l.city, l.state, l.country,
-               count(DISTINCT c.customer_id) AS total_customers,
-               count(DISTINCT o.order_id) AS total_orders, {money("sum(o.total_amount)", "total_revenue")}
-        FROM locations l LEFT JOIN customers_enriched c ON c.location_id = l.location_id
-             LEFT JOIN int_orders o ON o.customer_id = c.customer_id
-        GROUP BY ALL""",
+        SELECT location_id, city, state, country, coalesce(there.people, 0) AS total_customers,
+               {big("coalesce(there.orders, 0)", "total_orders")}, {money("there.spent", "total_revenue")}
+        FROM locations LEFT JOIN (
+            SELECT location_id, count(DISTINCT customer_id) AS people, sum(orders) AS orders,
+                   sum(spent) AS spent
+            FROM customers_enriched LEFT JOIN (
+                SELECT customer_id, count(DISTINCT order_id) AS orders, sum(total_amount) AS spent
+                FROM int_orders GROUP BY customer_id) USING (customer_id)
+            GROUP BY location_id) there USING (location_id)""",
     "dim_categories": f"""
-        SELECT c.category_id, c.category_name, c.subcategory_count, c.product_count,
-               {money("sum(i.total_price)", "category_revenue")}
-        FROM categories_enriched c
-             LEFT JOIN subcategories_enriched s ON s.category_id = c.category_id
-             LEFT JOIN products_enriched p ON p.category_id = c.category_id
-             LEFT JOIN int_order_items i ON i.product_id = p.product_id
-        GROUP BY ALL""",
+        SELECT category_id, category_name, subcategory_count, product_count,
+               {money("sold.revenue", "category_revenue")}
+        FROM categories_enriched LEFT JOIN (
+            SELECT g.category_id,
+                   sum(i.total_price * cast(greatest(g.subcategories, 1) AS decimal(9,0))) AS revenue
+            FROM (SELECT p.product_id, p.category_id,
+                         (SELECT count(*) FROM subcategories_enriched s
+                          WHERE s.category_id = p.category_id) AS subcategories
+                  FROM products_enriched p) g JOIN int_order_items i USING (product_id)
+            GROUP BY g.category_id) sold USING (category_id)""",
     "dim_products": f"""
         SELECT p.product_id, p.product_name, p.description, p.base_price, p.sale_price,
                p.stock_quantity, c.category_name, s.subcategory_name, b.brand_name,
@@ -345,48 +358,53 @@ MARTS = {
                         FROM int_orders GROUP BY 1) o ON o.customer_id = c.customer_id""",
     "fct_customer_orders": f"""
         SELECT o.customer_id, o.order_id, o.order_date, o.total_amount,
-               count(DISTINCT i.product_id) AS unique_products,
-               {units("sum(i.quantity)", "total_items")}, {avg("r.review_score", "avg_review_score")}
-        FROM int_orders o LEFT JOIN int_order_items i ON i.order_id = o.order_id
-             LEFT JOIN reviews_enriched r ON r.order_id = o.order_id
-        GROUP BY o.customer_id, o.order_id, o.order_date, o.total_amount""",
+               coalesce(bought.products, 0) AS unique_products,
+               {units("bought.units * greatest(coalesce(said.n, 0), 1)", "total_items")},
+               said.avg_review_score
+        FROM int_orders o
+             LEFT JOIN (SELECT order_id, count(DISTINCT product_id) AS products, sum(quantity) AS units
+                        FROM int_order_items GROUP BY order_id) bought USING (order_id)
+             LEFT JOIN (SELECT order_id, count(*) AS n, {avg("review_score", "avg_review_score")}
+                        FROM reviews_enriched GROUP BY order_id) said USING (order_id)""",
     "fct_customer_activity": f"""
-        SELECT c.customer_id, c.email, {month("i.event_date")} AS activity_month,
-               {_count_if("view", "total_views")},
-               {_distinct_if("view", "product_id", "unique_products_viewed")},
-               {_count_if("cart_add", "cart_adds")},
-               {_distinct_if("cart_add", "product_id", "unique_products_added")},
-               {_count_if("purchase", "purchases")},
-               {_distinct_if("purchase", "product_id", "unique_products_purchased")},
-               count(DISTINCT i.session_id) AS total_sessions,
-               count(DISTINCT i.device_type) AS devices_used, {NOW} AS updated_at
-        FROM customers_enriched c
-             LEFT JOIN customer_interactions i ON i.customer_id = c.customer_id
-        WHERE i.event_date IS NOT NULL
-        GROUP BY 1, 2, 3""",
-    "fct_customer_reviews": """
-        SELECT r.customer_id, r.product_id, r.order_id, r.review_score, r.review_text,
-               p.category_id, p.subcategory_id
-        FROM reviews_enriched r JOIN products_enriched p ON p.product_id = r.product_id""",
+        SELECT customer_id, email, did.* EXCLUDE (id), {NOW} AS updated_at
+        FROM customers_enriched JOIN (
+            SELECT customer_id AS id, {month("event_date")} AS activity_month,
+                   count(*) FILTER (event_type = 'view') AS total_views,
+                   {_products("view", "unique_products_viewed")},
+                   count(*) FILTER (event_type = 'cart_add') AS cart_adds,
+                   {_products("cart_add", "unique_products_added")},
+                   count(*) FILTER (event_type = 'purchase') AS purchases,
+                   {_products("purchase", "unique_products_purchased")},
+                   {_different("session_id", "total_sessions")}, {_different("device_type", "devices_used")}
+            FROM customer_interactions WHERE event_date IS NOT NULL GROUP BY 1, 2) did
+             ON did.id = customer_id""",
+    "fct_customer_reviews": f"""
+        SELECT customer_id, product_id, order_id, review_score, review_text, category_id, subcategory_id
+        FROM s_reviews JOIN (SELECT product_id, category_id, subcategory_id FROM s_products)
+             USING (product_id)""",
     "fct_order_details": f"""
-        SELECT o.order_id, o.order_date, c.customer_id, c.email, lc.city AS customer_city,
-               lc.state AS customer_state, p.product_id, p.product_name, ca.category_name,
-               b.brand_name, st.status_name, pm.method_name AS payment_method,
-               sa.street_address AS shipping_address, ls.city AS shipping_city,
-               ls.state AS shipping_state, i.quantity, i.unit_price, i.total_price AS item_total,
-               o.shipping_cost, o.total_amount AS order_total, r.review_score, o.created_at,
-               {NOW} AS updated_at
-        FROM int_orders o JOIN int_order_items i ON i.order_id = o.order_id
-             JOIN customers_enriched c ON c.customer_id = o.customer_id
-             JOIN locations lc ON lc.location_id = c.location_id
-             JOIN products_enriched p ON p.product_id = i.product_id
-             JOIN categories_enriched ca ON ca.category_id = p.category_id
-             JOIN brands b ON b.brand_id = p.brand_id
-             LEFT JOIN order_statuses st ON st.status_id = o.status_id
-             LEFT JOIN payment_methods pm ON pm.payment_method_id = o.payment_method_id
-             LEFT JOIN addresses sa ON sa.address_id = o.shipping_address_id
-             LEFT JOIN locations ls ON ls.location_id = sa.location_id
-             LEFT JOIN reviews_enriched r ON r.order_id = o.order_id AND r.product_id = i.product_id""",
+        SELECT h.order_id, h.order_date, buyer.customer_id, buyer.email, buyer.city AS customer_city,
+               buyer.state AS customer_state, line.product_id, goods.product_name, goods.category_name,
+               goods.brand_name, h.status_name, h.method_name AS payment_method,
+               h.street_address AS shipping_address, h.city AS shipping_city, h.state AS shipping_state,
+               line.quantity, line.unit_price, line.total_price AS item_total, h.shipping_cost,
+               h.total_amount AS order_total, said.review_score, h.created_at, {NOW} AS updated_at
+        FROM (SELECT product_id, product_name, category_name, brand_name
+              FROM products_enriched JOIN brands USING (brand_id)
+                   JOIN (SELECT category_id, category_name FROM categories_enriched) USING (category_id)) goods
+             JOIN int_order_items line USING (product_id)
+             LEFT JOIN (SELECT order_id, product_id, review_score FROM reviews_enriched) said
+                  ON (said.order_id, said.product_id) = (line.order_id, line.product_id)
+             JOIN (SELECT o.*, status_name, method_name, sent.* EXCLUDE (address_id)
+                   FROM int_orders o LEFT JOIN order_statuses USING (status_id)
+                        LEFT JOIN payment_methods USING (payment_method_id)
+                        LEFT JOIN (SELECT address_id, street_address, city, state
+                                   FROM addresses LEFT JOIN locations USING (location_id)) sent
+                             ON sent.address_id = o.shipping_address_id) h ON h.order_id = line.order_id
+             JOIN (SELECT customer_id, email, city, state
+                   FROM customers_enriched JOIN locations USING (location_id)) buyer
+                  ON buyer.customer_id = h.customer_id""",
     "fct_product_interactions": f"""
         SELECT i.product_id, cast(i.event_date AS date) AS event_day,
                {_distinct_if("view", "event_id", "views")},
@@ -395,14 +413,20 @@ MARTS = {
                count(DISTINCT i.customer_id) AS unique_customers
         FROM customer_interactions i GROUP BY 1, 2""",
     "fct_product_performance": f"""
-        SELECT p.product_id, {month("o.order_date")} AS month,
-               count(DISTINCT o.order_id) AS total_orders, {units("sum(i.quantity)", "units_sold")},
-               {money("sum(i.total_price)", "revenue")}, {avg("r.review_score", "avg_rating")},
-               count(DISTINCT r.review_score) AS review_count
-        FROM products_enriched p LEFT JOIN int_order_items i ON i.product_id = p.product_id
-             LEFT JOIN int_orders o ON o.order_id = i.order_id
-             LEFT JOIN reviews_enriched r ON r.product_id = p.product_id
-        GROUP BY 1, 2""",
+        SELECT product_id, sold.month, coalesce(sold.orders, 0) AS total_orders,
+               {units("sold.units", "units_sold")}, {money("sold.revenue", "revenue")}, said.avg_rating,
+               coalesce(said.scores, 0) AS review_count
+        FROM products_enriched
+             LEFT JOIN (SELECT product_id, {avg("review_score", "avg_rating")},
+                               count(DISTINCT review_score) AS scores
+                        FROM reviews_enriched GROUP BY product_id) said USING (product_id)
+             LEFT JOIN (SELECT i.product_id, {month("o.order_date")} AS month,
+                               count(DISTINCT o.order_id) AS orders, sum(i.quantity * times) AS units,
+                               sum(i.total_price * cast(times AS decimal(9,0))) AS revenue
+                        FROM (SELECT *, greatest(1, (SELECT count(*) FROM reviews_enriched r
+                                                     WHERE r.product_id = l.product_id)) AS times
+                              FROM int_order_items l) i LEFT JOIN int_orders o USING (order_id)
+                        GROUP BY 1, 2) sold USING (product_id)""",
     "fct_sales_by_date": f"""
         SELECT cast(order_date AS date) AS sale_date, count(DISTINCT order_id) AS total_orders,
                count(DISTINCT customer_id) AS unique_customers,
@@ -422,13 +446,13 @@ MARTS = {
              JOIN int_orders o ON o.order_id = i.order_id
         GROUP BY 1, 2, 3""",
     "fct_sales_by_region": f"""
-        SELECT l.state, l.country, {month("o.order_date")} AS sales_month,
-               count(DISTINCT o.order_id) AS total_orders,
-               count(DISTINCT o.customer_id) AS unique_customers,
-               {money("sum(o.total_amount)", "total_revenue")},
-               {avg("o.total_amount", "avg_order_value")}
-        FROM int_orders o JOIN customers_enriched c ON c.customer_id = o.customer_id
-             JOIN locations l ON l.location_id = c.location_id
+        SELECT state, country, sales_month, {big("sum(orders)", "total_orders")},
+               count(*) AS unique_customers, {money("sum(spent)", "total_revenue")},
+               cast(sum(spent) AS double) / nullif(sum(priced), 0) AS avg_order_value
+        FROM (SELECT customer_id, {month("order_date")} AS sales_month, count(DISTINCT order_id) AS orders,
+                     sum(total_amount) AS spent, count(total_amount) AS priced
+              FROM int_orders GROUP BY 1, 2)
+             JOIN customers_enriched USING (customer_id) JOIN locations USING (location_id)
         GROUP BY 1, 2, 3""",
 }
 CTE |= MARTS
