@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 import uuid
 from collections.abc import Callable
 from functools import wraps
@@ -27,8 +28,10 @@ def settle(df: DataFrame, name: str, free: bool = False) -> DataFrame:
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     if free:
-        gc.collect()
-        df.sparkSession.sparkContext._jvm.System.gc()
+        for _ in range(2):  # the first round drops the plans, the second what they alone held
+            gc.collect()
+            df.sparkSession.sparkContext._jvm.System.gc()
+            time.sleep(0.5)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
