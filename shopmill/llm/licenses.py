@@ -5,7 +5,8 @@ characters beyond ASCII, and joined by single blanks. A notice that may have
 ``k`` edits is split into ``k + 1`` seeds; by the pigeonhole principle one of
 them stands unchanged in every occurrence. Seeds are located by exact search,
 and the regex library's bounded-error matching verifies the places around
-them, whole words only, and gives the spans. Exact occurrences of the base
+them, whole words only, and gives the spans: one occurrence after another, each
+with the fewest edits that any at its place has. Exact occurrences of the base
 phrases are all counted, overlapping ones too.
 
 Each text is searched whole and by itself. A null or empty text has no words
@@ -18,6 +19,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -58,9 +60,30 @@ class Notice:
         cuts = [n * i // k for i in range(k + 1)]
         return [(a, self.phrase[a:b]) for a, b in zip(cuts, cuts[1:])]
 
-    def pattern(self) -> regex.Pattern:
+    def pattern(self, flag: int) -> regex.Pattern:
         body = regex.escape(self.phrase.decode()).encode()
-        return regex.compile(rb"(?<![^ ])(?:" + body + rb"){e<=%d}(?![^ ])" % self.edits, regex.BESTMATCH)
+        return regex.compile(rb"(?<![^ ])(?:" + body + rb"){e<=%d}(?![^ ])" % self.edits, flag)
+
+
+class Matcher:
+    """Occurrences of a notice in a region of a text."""
+
+    def __init__(self, notice: Notice):
+        self.notice, self.first, self.best = notice, notice.pattern(regex.ENHANCEMATCH), notice.pattern(regex.BESTMATCH)
+
+    def find(self, joined: bytes, begin: int, end: int) -> Iterator[regex.Match]:
+        """One after another; the best match is looked for around the next one only.
+
+        That of the whole region would hide worse ones before it, and each search
+        would read the region to its end.
+        """
+        edits, least = self.notice.edits, len(self.notice.phrase) - self.notice.edits
+        while match := self.first.search(joined, begin, end):
+            better = self.best.search(joined, match.start(), _word_end(joined, min(end, match.end() + edits)))
+            if better and better.start() < match.start() + least:  # no occurrence fits in between
+                match = better
+            yield match
+            begin = match.end()
 
 
 def notices() -> list[Notice]:
@@ -69,21 +92,28 @@ def notices() -> list[Notice]:
 
 class Scanner:
     def __init__(self):
-        self.notices = [(n, n.seeds(), n.pattern()) for n in notices()]
+        self.notices = [(n, n.seeds(), Matcher(n)) for n in notices()]
 
     def scan(self, text: bytes | None) -> tuple:
         """Number of words, base places (label, word), and spans (label, begin, end, edits) of a text."""
         words = words_of(text)
         joined = b" ".join(words)
-        base = [(label, joined[:at].count(b" ")) for phrase, label in BASE for at in _exact(phrase.encode(), joined)]
-        spans = set()
-        for notice, seeds, pattern in self.notices:
-            for begin, end in self._regions(joined, notice, seeds):
-                for match in pattern.finditer(joined, begin, end):
-                    first = joined[: match.start()].count(b" ")
-                    last = first + match.group().count(b" ") + 1
-                    spans.add((notice.label, first, last, sum(match.fuzzy_counts)))
-        return len(words), base, sorted(spans)
+        base = [(label, at) for phrase, label in BASE for at in _exact(phrase.encode(), joined)]
+        spans = {
+            (notice.label, match.start(), match.end(), sum(match.fuzzy_counts))
+            for notice, seeds, matcher in self.notices
+            for begin, end in self._regions(joined, notice, seeds)
+            for match in matcher.find(joined, begin, end)
+        }
+        if not spans and not base:
+            return len(words), [], []
+        blanks = np.flatnonzero(np.frombuffer(joined, np.uint8) == 32)
+
+        def word(at: int) -> int:
+            return int(np.searchsorted(blanks, at))
+
+        spans = {(label, word(begin), word(end) + 1, edits) for label, begin, end, edits in spans}
+        return len(words), [(label, word(at)) for label, at in base], sorted(spans)
 
     @staticmethod
     def _regions(joined: bytes, notice: Notice, seeds: list[tuple[int, bytes]]) -> list[tuple[int, int]]:

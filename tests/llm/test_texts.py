@@ -147,6 +147,17 @@ def test_every_fuzzy_notice_is_found():
             assert notice.label in {s[0] for s in spans}, (notice, bytes(text))
 
 
+def test_notices_side_by_side_are_all_found():
+    """Worse matches beside better ones count, and long texts full of them take no quadratic time."""
+    scanner = licenses.Scanner()
+    _, base, spans = scanner.scan(b"mit licence mit license x licensed under the apache license mit licens")
+    assert base == [("mit", 2), ("apache", 8)]
+    assert spans == [("apache", 5, 10, 0), ("apache", 8, 10, 0), ("mit", 0, 2, 1), ("mit", 2, 4, 0), ("mit", 10, 12, 1)]
+    _, base, spans = scanner.scan(b"mit licence mit license " * 20_000)
+    assert len(base) == 20_000 and len(spans) == 40_000
+    assert [e for *_, e in spans[:4]] == [1, 0, 1, 0]
+
+
 def test_quality(spark, docs):
     rng = random.Random(3)
     good = [(i, " ".join(rng.choice(["lorem", "ipsum", "dolor", "sit,", "amet."]) + str(rng.randrange(50)) for _ in range(rng.randrange(20, 90)))) for i in range(300)]
