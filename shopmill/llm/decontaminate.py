@@ -27,8 +27,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from shopmill.llm import store
 
 WINDOW = 10
-#: Bytes of benchmark text that a task holds at a time.
-PART = 32 << 20
+#: Bytes of benchmark text that a task holds at a time; its tables take some 80 times as much memory.
+PART = 8 << 20
 #: Every byte that parts words becomes a blank, A to Z their small letters.
 FOLD = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b > 127 else 32 for b in range(256)
@@ -40,22 +40,22 @@ def words_of(text: bytes | None) -> list[bytes]:
 
 
 class WuManber:
-    """Occurrences of patterns of one length, each a list of words with its items."""
+    """Occurrences of patterns of one length, each a run of words with its item, or items."""
 
-    def __init__(self, length: int, patterns: dict[tuple[bytes, ...], set[str]]):
+    def __init__(self, length: int, patterns: dict[tuple[bytes, ...], str | set[str]]):
         self.length, self.block = length, min(2, length)
         self.default = length - self.block + 1
-        self.known: set[bytes] = set()
+        self.patterns, self.known = patterns, set[bytes]()
         self.shift: dict[tuple[bytes, ...], int] = {}
-        self.buckets: dict[tuple[bytes, ...], list[tuple[list[bytes], set[str]]]] = defaultdict(list)
-        for words, items in patterns.items():
+        self.buckets: dict[tuple[bytes, ...], list[tuple[bytes, ...]]] = defaultdict(list)
+        for words in patterns:
             self.known.update(words)
             for end in range(self.block, length + 1):
                 block = words[end - self.block : end]
                 self.shift[block] = min(self.shift.get(block, self.default), length - end)
-            self.buckets[words[-self.block :]].append((list(words), items))
+            self.buckets[words[-self.block :]].append(words)
 
-    def search(self, words: list[bytes]) -> Iterator[tuple[int, set[str]]]:
+    def search(self, words: list[bytes]) -> Iterator[tuple[int, str | set[str]]]:
         """Where an occurrence begins, and whose it is."""
         length, size, known, shift = self.length, self.block, self.known, self.shift
         at, n = length - 1, len(words)
@@ -69,9 +69,10 @@ class WuManber:
                 at += step
                 continue
             begin = at - length + 1
-            for pattern, items in self.buckets[block]:
-                if words[begin : at + 1] == pattern:
-                    yield begin, items
+            window = tuple(words[begin : at + 1])
+            for pattern in self.buckets[block]:
+                if window == pattern:
+                    yield begin, self.patterns[pattern]
             at += 1
 
 
@@ -79,12 +80,18 @@ class Patterns:
     """All windows of some items, by length."""
 
     def __init__(self, items: list[tuple[str, bytes]], window: int):
-        by_length: dict[int, dict[tuple[bytes, ...], set[str]]] = defaultdict(lambda: defaultdict(set))
+        by_length: dict[int, dict[tuple[bytes, ...], str | set[str]]] = defaultdict(dict)
         for item, text in items:
             words = words_of(text)
             length = min(window, len(words))
             for begin in range(len(words) - length + 1 if length else 0):
-                by_length[length][tuple(words[begin : begin + length])].add(item)
+                run, known = tuple(words[begin : begin + length]), by_length[length]
+                # Most windows are of one item: a set for each would take much of the memory.
+                own = known.setdefault(run, item)
+                if isinstance(own, set):
+                    own.add(item)
+                elif own != item:
+                    known[run] = {own, item}
         self.machines = [WuManber(length, found) for length, found in by_length.items()]
 
     def search(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[str]]:
@@ -92,7 +99,7 @@ class Patterns:
         hits, items = [], set()
         for machine in self.machines:
             for begin, own in machine.search(words):
-                items |= own
+                items |= {own} if isinstance(own, str) else own
                 if hits and hits[-1][1] >= begin >= hits[-1][0]:
                     hits[-1] = (hits[-1][0], begin + machine.length)
                 else:
