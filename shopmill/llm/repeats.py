@@ -52,7 +52,7 @@ def cuts(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = 1 + total * 3 // 2 // BUCKET
     sent = keyed.mapInArrow(_sender(window, buckets), SENT)
-    marked = sent.repartitionById(buckets, F.col("bucket")).mapInArrow(_marker, MARKED)
+    marked = store.deal(sent, buckets).mapInArrow(_marker, MARKED)
     found = marked.groupBy("slice").applyInArrow(_merger(window), CUTS)
     return store.settle(found.dropDuplicates(["doc_id", "key"]), "cuts", free=True)
 
@@ -98,6 +98,13 @@ def places_of(steps: bytes) -> np.ndarray:
     return np.cumsum(steps, dtype=np.int64)[steps < 255]
 
 
+def runs(ordered: np.ndarray) -> Iterator[tuple[int, slice]]:
+    """Each value of an ascending array, and where it stands."""
+    heads = np.flatnonzero(np.diff(ordered.astype(np.int64), prepend=-1))
+    for a, b in zip(heads, np.append(heads[1:], len(ordered))):
+        yield int(ordered[a]), slice(int(a), int(b))
+
+
 def _sender(window: int, buckets: int):
     schema = arrow_schema(SENT)
 
@@ -114,16 +121,13 @@ def _sender(window: int, buckets: int):
             owners = np.searchsorted(texts.first, places, "right") - 1
             bucket = (hashes >> np.uint64(32)).astype(np.int64) * buckets >> 32
             order = np.argsort(bucket.astype(np.uint16) if buckets <= 1 << 16 else bucket, kind="stable")
-            bounds = np.searchsorted(bucket[order], np.arange(buckets + 1))
             hashes, places, owners = hashes[order], places[order], owners[order]
-            used = np.flatnonzero(np.diff(bounds))
             rows = []
-            for b in used:
-                own = slice(bounds[b], bounds[b + 1])
+            for b, own in runs(bucket[order]):
                 heads = np.flatnonzero(np.diff(owners[own], prepend=-1))
-                sizes = np.diff(heads, append=bounds[b + 1] - bounds[b]).astype("<u4")
+                sizes = np.diff(heads, append=own.stop - own.start).astype("<u4")
                 ids = doc_ids[owners[own][heads]]
-                rows.append((number, int(b), hashes[own].tobytes(), packed_steps(places[own]), sizes.tobytes(), ids.tobytes(), None))
+                rows.append((number, b, hashes[own].tobytes(), packed_steps(places[own]), sizes.tobytes(), ids.tobytes(), None))
             keys = batch.column("key").to_numpy(zero_copy_only=False)
             there = np.packbits(batch.column("doc_id").is_valid().to_numpy(zero_copy_only=False))
             rows.append((number, number % buckets, None, there.tobytes(), counts.astype("<u4").tobytes(), doc_ids.tobytes(), keys.tobytes()))
@@ -139,25 +143,28 @@ def _view(value: pa.Scalar, kind) -> np.ndarray:
 
 
 def _marker(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Mark a bucket's windows that also start in a document with a smaller doc_id."""
+    """Mark the windows that also start in a document with a smaller doc_id, bucket by bucket."""
     schema = arrow_schema(MARKED)
-    numbers, hashes, steps, doc_ids, lengths = [], [], [], [], []
+    held, bucket = [], None
     for batch in batches:
-        for i, number in enumerate(batch.column("slice").to_pylist()):
-            own = batch.column("hashes")[i]
-            if not own.is_valid:
+        for i, (number, own) in enumerate(zip(batch.column("slice").to_pylist(), batch.column("bucket").to_pylist())):
+            if not batch.column("hashes")[i].is_valid:
                 row = (number, *(batch.column(c)[i].as_py() for c in ("steps", "sizes", "doc_ids", "keys")))
                 yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, schema.types)], schema=schema)
                 continue
-            numbers.append(number)
-            hashes.append(_view(own, np.uint64))
-            steps.append(batch.column("steps")[i].as_py())
-            doc_ids.append((_view(batch.column("doc_ids")[i], np.int64), _view(batch.column("sizes")[i], "<u4")))
-            lengths.append(len(hashes[-1]))
-    if not numbers:
+            if own != bucket:
+                yield from _marks(held, schema)
+                held, bucket = [], own
+            views = (_view(batch.column(c)[i], kind) for c, kind in (("hashes", np.uint64), ("doc_ids", np.int64), ("sizes", "<u4")))
+            held.append((number, batch.column("steps")[i].as_py(), *views))
+    yield from _marks(held, schema)
+
+
+def _marks(held: list[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    if not held:
         return
-    hashes = np.concatenate(hashes)
-    doc_ids = np.concatenate([np.repeat(ids, sizes) for ids, sizes in doc_ids])
+    hashes = np.concatenate([own for *_, own, _, _ in held])
+    doc_ids = np.concatenate([np.repeat(ids, sizes) for *_, ids, sizes in held])
     order = np.argsort(hashes, kind="stable")
     hashes = hashes[order]
     heads = np.concatenate([[0], np.flatnonzero(hashes[1:] != hashes[:-1]) + 1])
@@ -165,9 +172,10 @@ def _marker(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     least = np.minimum.reduceat(ordered, heads)
     marks = np.zeros(len(hashes), bool)
     marks[order] = ordered > np.repeat(least, np.diff(heads, append=len(hashes)))
-    for number, step, own in zip(numbers, steps, np.split(marks, np.cumsum(lengths)[:-1])):
+    cuts = np.cumsum([len(own) for *_, own, _, _ in held])[:-1]
+    for (number, steps, *_), own in zip(held, np.split(marks, cuts)):
         if own.any():
-            row = (number, places_of(step)[own].astype("<u4").tobytes(), None, None, None)
+            row = (number, places_of(steps)[own].astype("<u4").tobytes(), None, None, None)
             yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, schema.types)], schema=schema)
 
 

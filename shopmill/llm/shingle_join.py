@@ -40,7 +40,7 @@ from shopmill.llm import store
 from shopmill.llm.arrow import arrow_schema
 from shopmill.llm.graph import components
 from shopmill.llm.occurrence import Search
-from shopmill.llm.repeats import packed_steps, places_of
+from shopmill.llm.repeats import packed_steps, places_of, runs
 from shopmill.llm.words import Texts, slices, windows
 
 SHINGLE, PERCENT = 5, 75
@@ -106,7 +106,7 @@ def _sets(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = 1 + total * 3 // 2 // BUCKET
     sent = texts.mapInArrow(_sender(shingle, buckets), SENT)
-    shared = sent.repartitionById(buckets, F.col("bucket")).mapInArrow(_sharer, SHARED)
+    shared = store.deal(sent, buckets).mapInArrow(_sharer, SHARED)
     return store.settle(shared.groupBy("slice").applyInArrow(_ranker(percent), SETS), "sets", free=True)
 
 
@@ -191,12 +191,10 @@ def _sender(shingle: int, buckets: int):
             sets = b"".join(xxhash.xxh3_128_digest(hashes[a:b].tobytes()) for a, b in zip(bounds[:-1], bounds[1:]))
             bucket = (hashes >> np.uint64(32)).astype(np.int64) * buckets >> 32
             order = np.argsort(bucket.astype(np.uint16) if buckets <= 1 << 16 else bucket, kind="stable")
-            edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
             by_bucket, owners = hashes[order], owners[order]
             rows = []
-            for b in np.flatnonzero(np.diff(edges)):
-                own = slice(edges[b], edges[b + 1])
-                rows.append((number, int(b), by_bucket[own].tobytes(), packed_steps(owners[own]), None, None, None, None))
+            for b, own in runs(bucket[order]):
+                rows.append((number, b, by_bucket[own].tobytes(), packed_steps(owners[own]), None, None, None, None))
             doc_ids = batch.column("doc_id")
             there = np.packbits(doc_ids.is_valid().to_numpy(zero_copy_only=False)).tobytes()
             ids = doc_ids.fill_null(0).to_numpy(zero_copy_only=False).astype("<i8").tobytes()
@@ -209,23 +207,27 @@ def _sender(shingle: int, buckets: int):
 
 
 def _sharer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A bucket's hashes that stand in several documents, and in how many, back to their slices."""
+    """Hashes that stand in several documents, and in how many, bucket by bucket back to their slices."""
     schema = arrow_schema(SHARED)
-    numbers, hashes, owners, lengths = [], [], [], []
+    held, bucket = [], None
     for batch in batches:
-        for i, number in enumerate(batch.column("slice").to_pylist()):
+        for i, (number, place) in enumerate(zip(batch.column("slice").to_pylist(), batch.column("bucket").to_pylist())):
             own = batch.column("hashes")[i]
             if not own.is_valid:
                 row = (number, None, *(batch.column(c)[i].as_py() for c in ("owners", "counts", "doc_ids", "keys", "sets")))
                 yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, schema.types)], schema=schema)
                 continue
-            numbers.append(number)
-            hashes.append(np.frombuffer(own.as_buffer(), np.uint64))
-            owners.append(batch.column("owners")[i].as_py())
-            lengths.append(len(hashes[-1]))
-    if not numbers:
+            if place != bucket:
+                yield from _several(held, schema)
+                held, bucket = [], place
+            held.append((number, np.frombuffer(own.as_buffer(), np.uint64), batch.column("owners")[i].as_py()))
+    yield from _several(held, schema)
+
+
+def _several(held: list[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    if not held:
         return
-    hashes = np.concatenate(hashes)
+    hashes = np.concatenate([own for _, own, _ in held])
     order = np.argsort(hashes, kind="stable")
     ordered = hashes[order]
     heads = np.concatenate([[0], np.flatnonzero(ordered[1:] != ordered[:-1]) + 1])
@@ -233,8 +235,8 @@ def _sharer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.empty(len(hashes), "<u4")
     counts[order] = np.repeat(sizes, sizes)
     del ordered, order
-    cuts = np.cumsum(lengths)[:-1]
-    for number, steps, own, count in zip(numbers, owners, np.split(hashes, cuts), np.split(counts, cuts)):
+    cuts = np.cumsum([len(own) for _, own, _ in held])[:-1]
+    for (number, own, steps), count in zip(held, np.split(counts, cuts)):
         several = count > 1
         if several.any():
             places = places_of(steps)[several]

@@ -9,7 +9,7 @@ from collections.abc import Callable
 from functools import wraps
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shopmill import session
 
@@ -51,6 +51,16 @@ def remove(spark: SparkSession, path: str) -> None:
 ROWS_A_BATCH = 500
 
 
+#: Most partitions of one shuffle. More buckets than that share partitions, in which they follow one another.
+PARTITIONS = 1 << 14
+
+
+def deal(sent: DataFrame, buckets: int) -> DataFrame:
+    """The rows by ``bucket``; a partition's rows come bucket after bucket, so that a task holds one of them."""
+    parts = min(buckets, PARTITIONS)
+    return sent.repartitionById(parts, (F.col("bucket") % parts).cast("int")).sortWithinPartitions("bucket")
+
+
 def prepared(query: Callable) -> Callable:
     """The query, with this package on the path of Python workers and small batches for them."""
 

@@ -14,7 +14,7 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 import brute  # noqa: E402
-from shopmill.llm import decontaminate, graph, licenses, quality, repeats, shingle_join, words  # noqa: E402
+from shopmill.llm import decontaminate, graph, licenses, quality, repeats, shingle_join, store, words  # noqa: E402
 from shopmill.llm.occurrence import Search  # noqa: E402
 
 ROWS = brute.awkward()
@@ -48,8 +48,10 @@ def test_words_and_windows_hash_alike():
         assert len(set(runs.values())) == len(runs)
 
 
-@pytest.mark.parametrize("block, common", [(1 << 20, 32), (6000, 1), (3000, 0)])
-def test_shingle_join(docs, monkeypatch, block, common):
+@pytest.mark.parametrize("block, common, bucket, partitions", [(1 << 20, 32, 8 << 20, 9), (6000, 1, 20_000, 3), (3000, 0, 5000, 400)])
+def test_shingle_join(docs, monkeypatch, block, common, bucket, partitions):
+    monkeypatch.setattr(shingle_join, "BUCKET", bucket)
+    monkeypatch.setattr(store, "PARTITIONS", partitions)
     monkeypatch.setattr(shingle_join, "BLOCK", block)
     monkeypatch.setattr(shingle_join, "COMMON", common)
     found = shingle_join.near_duplicates(docs).select("doc_id", "n_shingles", "component_id")
@@ -96,7 +98,10 @@ def test_components_of_chains_and_stars(spark):
     assert graph.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
-def test_repeats(docs):
+@pytest.mark.parametrize("bucket, partitions", [(8 << 20, 9), (20_000, 3), (5000, 400)])
+def test_repeats(docs, monkeypatch, bucket, partitions):
+    monkeypatch.setattr(repeats, "BUCKET", bucket)
+    monkeypatch.setattr(store, "PARTITIONS", partitions)
     found = repeats.remove_repeats(docs, carry=["lang"])
     brute.same(found.select("doc_id", "n_words", "n_removed", "kept_sha256").collect(), brute.without_repeats(ROWS))
     for row in found.collect():
