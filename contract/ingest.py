@@ -734,11 +734,23 @@ def _suite_statement(suite, name=_oracle_name) -> str:
     )
 
 
-def _suite(name: str, suite, prefix: str = "", oracle_name=_oracle_name) -> None:
+def _written(spark: SparkSession, frames: dict[str, DataFrame], root: str) -> dict[str, DataFrame]:
+    """The frames, written once, so that checks read tables and build none of them again."""
+    for name, frame in frames.items():
+        frame.write.parquet(f"{root}/{name}")
+    return {name: spark.read.schema(f.schema).parquet(f"{root}/{name}") for name, f in frames.items()}
+
+
+def _suite(name: str, suite, prefix: str = "", oracle_name=_oracle_name, layer: bool = False) -> None:
+    """``layer``: the tables are written when the query is built, and checked as they stand there."""
+
     def run(spark, folder):
         w = warehouse(spark, folder)
-        used = {c.table for c in suite} | {c.parent for c in suite if c.parent}
-        return quality.run_checks({t: w.table(prefix + t) for t in used}, suite)
+        used = sorted({c.table for c in suite} | {c.parent for c in suite if c.parent})
+        frames = {t: w.table(prefix + t) for t in used}
+        if layer:
+            frames = _written(spark, frames, _fresh(spark, name))
+        return quality.run_checks(frames, suite)
 
     query(name, _suite_statement(suite, oracle_name))(run)
 
@@ -747,8 +759,8 @@ _suite("checks_raw", checks.RAW, "stg_", lambda t: f"s_{t}")
 _suite("checks_raw_strict", checks.RAW_STRICT, "stg_", lambda t: f"s_{t}")
 _suite("checks_staged", checks.STAGED)
 _suite("checks_staged_strict", checks.STAGED_STRICT)
-_suite("checks_normalized", checks.NORMALIZED)
-_suite("checks_marts", checks.MARTS)
+_suite("checks_normalized", checks.NORMALIZED, layer=True)
+_suite("checks_marts", checks.MARTS, layer=True)
 
 # --- earlier definitions ------------------------------------------------------------------
 

@@ -78,100 +78,131 @@ def run_checks(tables: Mapping[str, DataFrame], checks: Iterable[Check]) -> Data
     """One row per check: violations and pass, warn or fail.
 
     ``unique`` counts repeated values, the other two count rows. Table names are
-    matched in any case. All checks of a table share one pass over it.
+    matched in any case. Every table is read once, whatever the number of its
+    checks and of the tables that refer to it, and all values go through one
+    shuffle. Values are counted on the map side first, so neither a frequent
+    value nor a frequent orphan reaches one task as single rows.
     """
+    checks = list(checks)
     frames = {name.lower(): df for name, df in tables.items()}
-    by_table: dict[str, list[Check]] = {}
-    for check in checks:
-        by_table.setdefault(check.table.lower(), []).append(check)
-    results = [_check_table(frames, table, group) for table, group in by_table.items()]
-    return reduce(DataFrame.unionAll, results).withColumn(
-        "status",
-        F.when(F.col("violations") == 0, "pass")
-        .when(F.col("severity") == WARN, "warn")
-        .otherwise("fail"),
+    domains, places = _places(checks)
+    width = max(len(columns) for columns in domains)
+    marked = reduce(DataFrame.unionAll, _marked(frames, domains, checks, places))
+
+    # One row per domain and value: how many rows of each of the domain's columns hold it.
+    held = [f"n_{i}" for i in range(width)]
+    counts = marked.groupBy("domain", "value").agg(
+        *[F.count_if(F.col("place") == i).alias(n) for i, n in enumerate(held)]
     )
-
-
-def _check_table(frames: Mapping[str, DataFrame], table: str, checks: list[Check]) -> DataFrame:
-    """Count the checked columns' values in one pass and read all verdicts off the counts.
-
-    A column that is only checked for NULLs contributes its NULL rows alone.
-    Values are counted on the map side first, so neither a frequent value nor a
-    frequent orphan reaches one task as single rows.
-    """
-    slots = _slots(checks)
-    marks = []
-    for slot, (column, group) in enumerate(slots):
-        value = F.col(column)
-        mark = F.struct(F.lit(slot).alias("slot"), value.cast("string").alias("value"))
-        if all(c.kind == "not_null" for c in group):
-            mark = F.when(value.isNull(), mark)
-        marks.append(mark)
-    counts = (
-        frames[table]
-        .select(F.inline(F.array_compact(F.array(*marks))))
-        .groupBy("slot", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    parents = [
-        frames[check.parent.lower()].select(
-            F.lit(slot).alias("slot"), F.col(check.field).cast("string").alias("value")
-        )
-        for slot, (_, group) in enumerate(slots)
-        for check in group
-        if check.kind == "relationship"
-    ]
-    if parents:
-        known = reduce(DataFrame.unionAll, parents).where("value IS NOT NULL").distinct()
-        counts = counts.join(known.withColumn("known", F.lit(True)), ["slot", "value"], "left")
-    else:
-        counts = counts.withColumn("known", F.lit(True))
-
-    n, absent = F.col("n"), F.col("value").isNull()
-    verdicts = counts.groupBy("slot").agg(
-        F.sum(F.when(absent, n)).alias("not_null"),
-        F.count_if(~absent & (n > 1)).alias("unique"),
-        F.sum(F.when(~absent & F.col("known").isNull(), n)).alias("relationship"),
+    absent, orphan = F.col("value").isNull(), F.col(held[0]) == 0
+    verdicts = counts.groupBy("domain").agg(
+        *[
+            F.struct(
+                F.sum(F.when(absent, F.col(n))).alias("not_null"),
+                F.count_if(~absent & (F.col(n) > 1)).alias("unique"),
+                F.sum(F.when(~absent & orphan, F.col(n))).alias("relationship"),
+            ).alias(n)
+            for n in held
+        ]
     )
     listed = F.array(
         *[
             F.struct(
-                F.lit(slot).alias("slot"),
+                F.lit(domain).alias("domain"),
+                F.lit(place).alias("place"),
                 F.lit(check.table).alias("table_name"),
                 F.lit(check.column).alias("column_name"),
                 F.lit(check.kind).alias("check_name"),
                 F.lit(check.severity).alias("severity"),
             )
-            for slot, (_, group) in enumerate(slots)
-            for check in group
+            for check, (domain, place) in zip(checks, places)
         ]
     )
-    asked = frames[table].sparkSession.range(1).select(F.inline(listed))
+    asked = marked.sparkSession.range(1).select(F.inline(listed))
     violations = F.coalesce(
-        *[F.when(F.col("check_name") == kind, F.col(kind)) for kind in KINDS], F.lit(0)
+        *[
+            F.when((F.col("place") == i) & (F.col("check_name") == kind), F.col(f"{n}.{kind}"))
+            for i, n in enumerate(held)
+            for kind in KINDS
+        ],
+        F.lit(0),
     )
-    return asked.join(verdicts, "slot", "left").select(
+    return asked.join(verdicts, "domain", "left").select(
         "table_name",
         "column_name",
         "check_name",
         "severity",
         violations.cast("bigint").alias("violations"),
+        F.when(violations == 0, "pass")
+        .when(F.col("severity") == WARN, "warn")
+        .otherwise("fail")
+        .alias("status"),
     )
 
 
-def _slots(checks: list[Check]) -> list[tuple[str, list[Check]]]:
-    """Checks by column; a second relationship of a column gets a slot of its own."""
-    slots: list[tuple[str, list[Check]]] = []
-    for check in checks:
-        for column, group in slots:
-            taken = check.kind == "relationship" and any(c.kind == check.kind for c in group)
-            if column == check.column and not taken:
-                group.append(check)
-                break
-        else:
-            slots.append((check.column, [check]))
-    return slots
+Column = tuple[str, str]  # table and column, as matched
+
+
+def _places(checks: list[Check]) -> tuple[list[list[Column]], list[tuple[int, int]]]:
+    """Columns whose values are compared (a domain), and each check's domain and place in it.
+
+    A domain's first column is the parent, or the only one. A column that
+    refers to a parent has its other checks there, too.
+    """
+    domains: list[list[Column]] = []
+    by_parent: dict[Column, int] = {}
+
+    def domain(parent: Column) -> int:
+        if parent not in by_parent:
+            by_parent[parent] = len(domains)
+            domains.append([parent])
+        return by_parent[parent]
+
+    found: dict[int, tuple[int, int]] = {}
+    refers: dict[Column, tuple[int, int]] = {}
+    for number, check in enumerate(checks):
+        if check.kind == "relationship":
+            at, column = domain((check.parent.lower(), check.field)), (check.table.lower(), check.column)
+            if column not in domains[at][1:]:
+                domains[at].append(column)
+            found[number] = at, domains[at].index(column, 1)
+            refers.setdefault(column, found[number])
+    for number, check in enumerate(checks):
+        if number not in found:
+            column = (check.table.lower(), check.column)
+            own = column in by_parent or column not in refers
+            found[number] = (domain(column), 0) if own else refers[column]
+    return domains, [found[number] for number in range(len(checks))]
+
+
+def _marked(
+    frames: Mapping[str, DataFrame],
+    domains: list[list[Column]],
+    checks: list[Check],
+    places: list[tuple[int, int]],
+) -> list[DataFrame]:
+    """Each table's checked values as ``domain, place, value``.
+
+    A column that is only checked for NULLs contributes its NULL rows alone.
+    """
+    kinds: dict[tuple[int, int], set[str]] = {}
+    for check, place in zip(checks, places):
+        kinds.setdefault(place, set()).add(check.kind)
+    marks: dict[str, list] = {}
+    for at, columns in enumerate(domains):
+        for place, (table, column) in enumerate(columns):
+            value = F.col(column)
+            mark = F.struct(
+                F.lit(at).alias("domain"),
+                F.lit(place).alias("place"),
+                value.cast("string").alias("value"),
+            )
+            if len(columns) == 1 and kinds[at, place] == {"not_null"}:
+                mark = F.when(value.isNull(), mark)
+            marks.setdefault(table, []).append(mark)
+    return [
+        frames[table].select(F.inline(F.array_compact(F.array(*own)))) for table, own in marks.items()
+    ]
 
 
 def enforce(results: DataFrame) -> None:

@@ -271,6 +271,26 @@ def test_run_checks_agrees_with_single_checks(shop):
     }
 
 
+def test_checks_read_each_table_once(spark, shop, path):
+    """A parent that several columns refer to and that has checks of its own is one scan, too."""
+    for name, frame in shop.items():
+        frame.write.parquet(f"{path}/{name}")
+    written = {name: spark.read.parquet(f"{path}/{name}") for name in shop}
+    checks = [*CHECKS, quality.relationship("parent", "pid", "child", "pid")]
+    plan = quality.run_checks(written, checks)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == len(shop)
+    found = {(r.table_name, r.check_name, r.violations) for r in quality.run_checks(written, checks[-1:]).collect()}
+    assert found == {("parent", "relationship", 2)}
+
+
+def test_a_hot_value_counts_as_its_rows(spark):
+    child = spark.range(3000).select((F.col("id") % 1000).alias("cid"), F.when(F.col("id") % 3 > 0, "hot").alias("pid"))
+    parent = spark.createDataFrame([("cold",)], "pid string")
+    checks = [quality.relationship("child", "pid", "parent", "pid"), quality.unique("child", "cid"), *quality.not_null("child", "pid")]
+    found = [(r.check_name, r.violations) for r in quality.run_checks({"child": child, "parent": parent}, checks).collect()]
+    assert sorted(found) == [("not_null", 1000), ("relationship", 2000), ("unique", 1000)]
+
+
 def test_enforce_raises_on_errors_only(shop):
     with pytest.raises(ValueError, match="child.cid"):
         quality.enforce(quality.run_checks(shop, CHECKS))
