@@ -78,9 +78,23 @@ def asked_streets(stg_orders: DataFrame) -> DataFrame:
     )
 
 
+def with_street(asked: DataFrame, known: DataFrame) -> DataFrame:
+    """Asked streets with what is known of them; ``known`` has one row per street.
+
+    AQE splits a street that many orders name only where both sides of the join
+    come straight from a shuffle. ``known`` is an aggregate by street, whose own
+    shuffle the join would use; under another expression its few rows are
+    shuffled once more.
+    """
+    street = F.concat("street_address", F.lit("")).alias("known_street")
+    rest = [c for c in known.columns if c != "street_address"]
+    known = known.select(street, *rest)
+    return asked.join(known, F.col("street_address") == F.col("known_street")).drop("known_street")
+
+
 def order_addresses(stg_orders: DataFrame) -> DataFrame:
     """Shipping and billing address of each order; both roles go through one join."""
-    found = asked_streets(stg_orders).join(street_book(stg_orders), "street_address")
+    found = with_street(asked_streets(stg_orders), street_book(stg_orders))
     hit = F.struct("best.address_id", "street_address", "best.city", "best.state")
     per_order = found.groupBy("order_id").agg(
         F.max(F.when(F.col("role") == "shipping", hit)).alias("shipping"),
@@ -144,7 +158,7 @@ def order_address_matches(stg_orders: DataFrame) -> DataFrame:
     once; all of them are found through ``addresses.street_address``.
     """
     known = parsed_addresses(stg_orders).groupBy("street_address").agg(F.count("*").alias("n"))
-    found = asked_streets(stg_orders).join(known, "street_address").select("order_id", "role", "n")
+    found = with_street(asked_streets(stg_orders), known).select("order_id", "role", "n")
     roles = F.explode(F.array(F.lit("shipping"), F.lit("billing"))).alias("role")
     every = stg_orders.where(F.col("order_id").isNotNull()).select("order_id", roles)
     return every.join(found, ["order_id", "role"], "left").select(

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as contract
 import check
 from contract.queries import warehouse
+from shopmill.plans import transactions
 from shopmill.plans.warehouse import MARTS, NORMALIZED, Warehouse
 from shopmill.registry import TABLES, staged_schema
 
@@ -159,20 +160,38 @@ def _skewed_warehouse(spark, n=60_000):
     return Warehouse(lambda t: full(t, frames[t]), "2001-08-01", newest=False)
 
 
+SPLIT = {
+    "spark__sql__shuffle__partitions": "16",
+    "spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes": "50KB",
+    "spark__sql__adaptive__advisoryPartitionSizeInBytes": "20KB",
+    "spark__sql__adaptive__skewJoin__skewedPartitionFactor": "2",
+    # small test data: leave enough map tasks to split by
+    "spark__sql__adaptive__coalescePartitions__enabled": "false",
+}
+
+
 @pytest.mark.parametrize(
     "name", ["order_items", "customer_interactions", "reviews_enriched", "fct_customer_reviews", "fct_order_details"]
 )
 def test_hot_keys_are_split_in_joins(spark, name):
-    with settings(
-        spark,
-        **NO_BROADCAST,
-        spark__sql__shuffle__partitions="16",
-        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="50KB",
-        spark__sql__adaptive__advisoryPartitionSizeInBytes="20KB",
-        spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
-        # small test data: leave enough map tasks to split by
-        spark__sql__adaptive__coalescePartitions__enabled="false",
-    ):
+    with settings(spark, **NO_BROADCAST, **SPLIT):
         df = _skewed_warehouse(spark).table(name)
         assert df.collect()
         assert "skew=true" in plan(df)
+
+
+def test_a_hot_street_is_split(spark):
+    """A third of all orders ship to one street, which is known under several addresses."""
+    number = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 997)
+    place = F.when(F.col("id") % 2 == 0, " Main St, Rome, S1, X").otherwise(" Main St, 1234, Rome, S1, X")
+    orders = spark.range(0, 60_000, 1, 8).select(
+        F.col("id").alias("order_id"), F.concat(number, F.lit(" Main St")).alias("shipping_address"),
+        F.concat(F.col("id") % 997, place).alias("billing_address"),
+    )
+    with settings(spark, **NO_BROADCAST, **SPLIT):
+        df = transactions.order_addresses(orders)
+        found = df.collect()
+        assert "skew=true" in plan(df)
+    assert len(found) == 60_000 and all(r.shipping_city == "Rome" for r in found)
+    assert sum(r.shipping_street == "0 Main St" for r in found) == 20_000 + sum(1 for i in range(0, 60_000, 997) if i % 3)
+    assert len({r.shipping_address_id for r in found if r.shipping_street == "0 Main St"}) == 1
