@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections import Counter
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -80,12 +80,15 @@ def temporal_probe(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     )
 
 
-def parse_temporals(df: DataFrame, table: str | None = None) -> DataFrame:
+def parse_temporals(
+    df: DataFrame, table: str | None = None, verdict: Mapping[str, bool] | None = None
+) -> DataFrame:
     """Turn text columns with temporal names into timestamps.
 
     For a registered table the registry says which ones, at no cost. For an
-    unknown table one aggregate over all candidates decides, and a column with
-    any unparsable value stays text.
+    unknown table ``verdict`` does, as ``temporal_probe`` gives it; without one
+    an aggregate over all candidates is run at once. A column with any
+    unparsable value stays text.
     """
     text = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
     candidates = [c for c in temporal_candidates(df.columns) if c in text]
@@ -94,8 +97,9 @@ def parse_temporals(df: DataFrame, table: str | None = None) -> DataFrame:
         stamps = {n for n, t in BUSINESS_COLUMNS[base_name(table)] if t == STAMP}
         chosen = [c for c in candidates if c.lower() in stamps and c.lower() not in lenient]
     elif candidates:
-        verdict = temporal_probe(df, candidates).first()
-        chosen = [c for c in candidates if verdict[c]]
+        if verdict is None:
+            verdict = temporal_probe(df, candidates).first().asDict()
+        chosen = [c for c in candidates if verdict.get(c)]
     else:
         chosen = []
     return df.withColumns({c: temporal.try_stamp(F.col(c)) for c in chosen})

@@ -90,6 +90,8 @@ def test_unparsable_column_of_unknown_table_stays_text(spark):
     parsed = reshape.parse_temporals(df)
     assert [t for _, t in parsed.dtypes] == ["timestamp_ntz", "string", "timestamp_ntz"]
     assert rows(parsed.select("b_date")) == [("2024-01-01",), ("x",)]
+    told = reshape.parse_temporals(df, verdict={"c_date": True, "b_date": False})
+    assert [t for _, t in told.dtypes] == ["string", "string", "timestamp_ntz"]
 
 
 def test_registered_table_needs_no_probe_and_keeps_lenient_text(spark):
