@@ -101,7 +101,7 @@ class Patterns:
             for begin, own in machine.search(words):
                 items |= {own} if isinstance(own, str) else own
                 if hits and hits[-1][1] >= begin >= hits[-1][0]:
-                    hits[-1] = (hits[-1][0], begin + machine.length)
+                    hits[-1] = (hits[-1][0], max(hits[-1][1], begin + machine.length))
                 else:
                     hits.append((begin, begin + machine.length))
         return hits, items

@@ -124,6 +124,17 @@ def test_contamination(spark, docs, monkeypatch, part):
     brute.same(decontaminate.digest(found).collect(), brute.contamination(ROWS, ITEMS))
 
 
+def test_short_item_inside_a_long_passage(spark):
+    """The short item is searched later; the passage keeps all its words."""
+    passage = [f"p{i}" for i in range(30)]
+    items = [(1, " ".join(passage)), (2, " ".join(passage[5:9])), (3, " ".join(passage[26:]) + " after")]
+    rows = [(1, " ".join(["before"] * 50 + passage + ["after"] * 9)), (2, " ".join(passage[3:12])), (3, " ".join(passage * 2))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = decontaminate.find(docs, spark.createDataFrame(items, "item_id long, text string"))
+    assert [[*zip(r.begins, r.ends)] for r in found.orderBy("doc_id").collect()] == [[(50, 81)], [(2, 6)], [(0, 60)]]
+    brute.same(decontaminate.digest(found).collect(), brute.contamination(rows, items))
+
+
 def test_licenses(spark, docs):
     own = [(1, "The MIT-License. mit license MIT LICENSE"), (2, "Apache Licence, or gnu general publik license"), (3, "submit license"), (4, None)]
     found = {r.doc_id: r for r in licenses.scan(spark.createDataFrame(own, "doc_id long, text string")).collect()}
