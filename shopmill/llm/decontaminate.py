@@ -9,7 +9,9 @@ comparison confirms an occurrence.
 
 The benchmark is a stated query set. It is given to every task in parts of
 bounded size; of several parts each is one pass over the documents, written to
-the shared folder before the next. A null or empty text has no words. An item
+the shared folder before the next. Rows are dealt to parts by their measured
+size, whatever their item_id, and a large text is cut into runs of words that
+overlap by all but one word of a window. A null or empty text has no words. An item
 without item_id takes no part, rows with one item_id are one item, and repeated
 documents are judged alike. Empty tables give no hits or no rows. Columns
 other than ``doc_id``, ``text``, ``item_id`` and those named in ``carry`` are
@@ -18,17 +20,22 @@ not read.
 
 from __future__ import annotations
 
+import re
 from collections import defaultdict
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shopmill.llm import store
+from shopmill.llm.arrow import arrow_schema
 
 WINDOW = 10
 #: Bytes of benchmark text that a task holds at a time; its tables take some 80 times as much memory.
 PART = 8 << 20
+#: A part's rows, placed by the bytes before them in their task.
+PIECES = "item string, text binary, task int, place long"
 #: Every byte that parts words becomes a blank, A to Z their small letters.
 FOLD = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b > 127 else 32 for b in range(256)
@@ -39,6 +46,28 @@ def words_of(text: bytes | None) -> list[bytes]:
     return (text or b"").translate(FOLD).split()
 
 
+def pieces(text: bytes, window: int, size: int) -> Iterator[bytes]:
+    """A text's words in runs of ``size`` bytes, or two windows of longer words; each window is in one of them."""
+    words = re.sub(rb" +", b" ", text.translate(FOLD)).strip()
+    at = 0
+    while at < len(words):
+        end = at
+        for _ in range(2 * window):
+            end = words.find(b" ", end + 1)
+            if end < 0:
+                break
+        if 0 <= end < at + size:
+            end = words.find(b" ", at + size)
+        if end < 0:
+            yield words[at:]
+            return
+        yield words[at:end]
+        at = end
+        for _ in range(window - 1):
+            at = words.rfind(b" ", 0, at)
+        at += 1
+
+
 class WuManber:
     """Occurrences of patterns of one length, each a run of words with its item, or items."""
 
@@ -110,11 +139,10 @@ class Patterns:
 def find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, carry: Sequence[str] = ()) -> DataFrame:
     """Documents with ``n_words``, the intervals of words inside occurrences, and the items, sorted."""
     spark = docs.sparkSession
-    items = benchmark.where("item_id IS NOT NULL").select(
+    items = benchmark.where("item_id IS NOT NULL AND octet_length(text) > 0").select(
         F.col("item_id").cast("string").alias("item"), F.col("text").cast("binary").alias("text")
     )
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = 1 + size // PART
+    parts = _parts(items, window)
     kinds = dict(docs.dtypes)
     schema = ", ".join(
         ["doc_id bigint", "text string", *(f"`{c}` {kinds[c]}" for c in carry),
@@ -122,11 +150,10 @@ def find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, carry: Seq
     )
     none = [F.lit(None).cast(t).alias(c) for c, t in (("begins", "array<int>"), ("ends", "array<int>"), ("items", "array<string>"))]
     found = docs.select("doc_id", "text", *carry, F.lit(0).cast("long").alias("n_words"), *none)
-    for part in range(parts):
-        own = items.where(F.pmod(F.xxhash64("item"), F.lit(parts)) == part).collect()
-        shared = spark.sparkContext.broadcast([(r.item, bytes(r.text or b"")) for r in own])
+    for number, part in enumerate(parts, 1):
+        shared = spark.sparkContext.broadcast([(r.item, bytes(r.text)) for r in part.collect()])
         found = found.mapInArrow(_finder(shared, window, tuple(carry)), schema)
-        if part < parts - 1:
+        if number < len(parts):
             found = store.settle(found, "hits")
     return found
 
@@ -145,6 +172,42 @@ def op2_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return digest(find(docs, benchmark))
 
 
+def _parts(items: DataFrame, window: int) -> list[DataFrame]:
+    """The items by parts: each holds PART bytes and at most one piece more."""
+    size = items.agg(F.sum(F.octet_length("text") + F.octet_length("item"))).first()[0] or 0
+    if size <= PART:
+        return [items]
+    cut = store.settle(items.mapInArrow(_cutter(window, PART), PIECES), "benchmark")
+    # One row per task on the driver: a part begins at the piece that is next after so many bytes.
+    end = F.max(F.col("place") + F.octet_length("text") + F.octet_length("item"))
+    at, total, bounds = F.struct("task", "place"), 0, []
+    for task, own in sorted(cut.groupBy("task").agg(end).collect()):
+        while len(bounds) * PART < total + own:
+            bounds.append(F.struct(F.lit(task), F.lit(len(bounds) * PART - total).cast("long")))
+        total += own
+    parts = [cut.where((at >= a) & (at < b)) for a, b in zip(bounds, bounds[1:])]
+    return [*parts, cut.where(at >= bounds[-1]) if bounds else cut]
+
+
+def _cutter(window: int, part: int):
+    schema = arrow_schema(PIECES)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, place, begin, rows = TaskContext.get().partitionId(), 0, 0, []
+        for batch in batches:
+            for item, text in zip(batch.column("item").to_pylist(), batch.column("text")):
+                for piece in pieces(text.as_py(), window, part // 8):
+                    rows.append((item, piece, task, place))
+                    place += len(piece) + len(item.encode())
+                    if place - begin >= part:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
+                        begin, rows = place, []
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
+
+    return run
+
+
 def _merged(hits: list[tuple[int, int]]) -> list[tuple[int, int]]:
     out: list[tuple[int, int]] = []
     for begin, end in sorted(hits):

@@ -124,6 +124,32 @@ def test_contamination(spark, docs, monkeypatch, part):
     brute.same(decontaminate.digest(found).collect(), brute.contamination(ROWS, ITEMS))
 
 
+def test_benchmark_pieces():
+    rng = random.Random(6)
+    for _ in range(200):
+        text = "".join(rng.choice(["a", "Bc", "déf", " ", "  ", ", ", "-" * 20, "x" * 30]) for _ in range(rng.randrange(80))).encode()
+        window, size = rng.randrange(1, 12), rng.randrange(60)
+        own = decontaminate.words_of(text)
+        runs = [tuple(own[i : i + window]) for i in range(max(1, len(own) - window + 1))] if own else []
+        cut = [p.split() for p in decontaminate.pieces(text, window, size)]
+        assert [tuple(p[i : i + window]) for p in cut for i in range(max(1, len(p) - window + 1))] == runs
+        assert all(len(p) <= 2 * window or len(b" ".join(p[:-1])) <= size for p in cut)
+
+
+def test_parts_are_bounded_whatever_item_holds_the_text(spark, docs, monkeypatch):
+    """One item holds nearly all of the benchmark, half of it in one row."""
+    monkeypatch.setattr(decontaminate, "PART", 2000)
+    long = next(t for _, t in ROWS if t and len(t.split()) > 1000)
+    items = [(5, long[:20_000]), *((5, long[a : a + 500]) for a in range(20_000, 40_000, 500)), (6, "a b c d"), (7, None)]
+    sizes, plain = [], type(spark.sparkContext).broadcast
+    monkeypatch.setattr(
+        type(spark.sparkContext), "broadcast", lambda self, value: (sizes.append(sum(len(i) + len(t) for i, t in value)), plain(self, value))[1]
+    )
+    found = decontaminate.find(docs, spark.createDataFrame(items, "item_id long, text string"))
+    assert max(sizes) < 2000 + 500 + 10 and len(sizes) < 40
+    brute.same(decontaminate.digest(found).collect(), brute.contamination(ROWS, items))
+
+
 def test_short_item_inside_a_long_passage(spark):
     """The short item is searched later; the passage keeps all its words."""
     passage = [f"p{i}" for i in range(30)]
