@@ -191,14 +191,34 @@ def order_address_matches(spark, folder):
     return transactions.order_address_matches(warehouse(spark, folder).staged("orders"))
 
 
-@query("marts_over_written_sales_by_region", table("fct_sales_by_region"))
-def marts_over_written_sales_by_region(spark, folder):
+_CUSTOMER_TABLES = ("customers_enriched", "locations", "education_types", "marital_statuses")
+_PRODUCT_TABLES = ("products_enriched", "categories_enriched", "subcategories_enriched", "brands")
+_ORDER_TABLES = ("orders", "order_statuses", "payment_methods", "addresses")
+
+
+def _over_written(spark, folder, mart, names):
     """A mart over normalized tables that were written first."""
     w, root = warehouse(spark, folder), _fresh(spark, "marts_over_written")
-    for name in ("orders", "customers_enriched", "locations", "education_types", "marital_statuses"):
+    for name in names:
         w.table(name).write.parquet(f"{root}/{name}")
     read = tables.marts_over_tables(lambda name: spark.read.parquet(f"{root}/{name}"), shop.AS_OF)
-    return read["fct_sales_by_region"]()
+    return read[mart]()
+
+
+@query("marts_over_written_sales_by_region", table("fct_sales_by_region"))
+def marts_over_written_sales_by_region(spark, folder):
+    return _over_written(spark, folder, "fct_sales_by_region", ("orders", *_CUSTOMER_TABLES))
+
+
+@query("marts_over_written_customers", table("dim_customers"))
+def marts_over_written_customers(spark, folder):
+    return _over_written(spark, folder, "dim_customers", _CUSTOMER_TABLES)
+
+
+@query("marts_over_written_order_details", table("fct_order_details"))
+def marts_over_written_order_details(spark, folder):
+    names = (*_ORDER_TABLES, "order_items", *_CUSTOMER_TABLES, *_PRODUCT_TABLES, "reviews_enriched")
+    return _over_written(spark, folder, "fct_order_details", names)
 
 
 @query("staged_newest_orders", with_tables("SELECT * FROM s_orders"))

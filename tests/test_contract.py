@@ -75,6 +75,13 @@ def test_query_equals_its_statement(spark, duck, name):
     assert check.rows(found) == check.rows(wanted)
 
 
+@pytest.mark.parametrize("mart, n", [("customers", 4), ("order_details", 14), ("sales_by_region", 5)])
+def test_marts_read_written_tables_only(spark, mart, n):
+    files = contract.queries()[f"marts_over_written_{mart}"](spark, FOLDER).inputFiles()
+    assert all("/marts_over_written/" in f for f in files)
+    assert len({f.rsplit("/", 2)[1] for f in files}) == n
+
+
 def test_entry_runs(spark):
     assert contract.entry(spark).count() > 0
 
