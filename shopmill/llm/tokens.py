@@ -7,7 +7,9 @@ ASCII punctuation, after ASCII punctuation before a blank, letter or digit, and
 before a blank or line break that follows no white space. The parts repeat, so
 each goes to the tokenizers library once per process and is looked up later. A
 text with a part that ends in another white space character (a tab, a no-break
-space) has no certain split there and goes to the library whole.
+space) has no certain split there and goes to the library whole. Added tokens
+that a text holds literally (``<|endoftext|>``) get their own ids, as by the
+library's default; the text is split there first.
 """
 
 from __future__ import annotations
@@ -79,16 +81,23 @@ class Parts(dict):
 
 
 class Encoder:
-    """Ids of texts; strings of special tokens are ordinary text."""
+    """Ids of texts, as the library gives them by default; added tokens in a text are tokens."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = self.tokenizer.get_added_tokens_decoder()
+        # Tokens that match words only, take blanks with them or are sought in normalized text are the library's business.
+        self.plain = all(not (t.single_word or t.lstrip or t.rstrip or t.normalized) for t in added.values())
+        self.added = [t.content for t in added.values()]
+        # At one place the longest of several tokens counts.
+        longest = sorted(self.added, key=len, reverse=True)
+        self.splits = re.compile("|".join(map(re.escape, longest)) or r"(?!)")
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.dtype = np.dtype("<u2") if size <= 1 << 16 else np.dtype("<u4")
+        self.ids = {t.content: np.asarray([i], self.dtype).tobytes() for i, t in added.items()}
         self.parts = Parts(self.tokenizer, "H" if size <= 1 << 16 else "I")
 
     def whole(self, texts: list[str]) -> list[bytes]:
@@ -98,7 +107,19 @@ class Encoder:
 
     def encode(self, text: str | None) -> bytes:
         """Ids of a text, through its parts; none for a null."""
-        return b"".join(self._section(s) for s in _sections(text or ""))
+        text = text or ""
+        if not self.plain:
+            return self.whole([text])[0]
+        if not any(t in text for t in self.added):
+            return b"".join(map(self._section, _sections(text)))
+        # What lies between added tokens is text of its own to the library.
+        ids, at = [], 0
+        for found in self.splits.finditer(text):
+            ids += map(self._section, _sections(text[at : found.start()]))
+            ids.append(self.ids[found.group()])
+            at = found.end()
+        ids += map(self._section, _sections(text[at:]))
+        return b"".join(ids)
 
     def _section(self, text: str) -> bytes:
         try:

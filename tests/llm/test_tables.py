@@ -46,6 +46,20 @@ def test_parts_give_the_ids_of_the_whole(monkeypatch):
         assert [encoder.encode(t) for t in texts] == encoder.whole(texts)
 
 
+def test_added_tokens_as_by_the_library(monkeypatch):
+    """Against a tokenizer straight from the vocabulary's file, with its switches as they are."""
+    from tokenizers import Tokenizer
+
+    plain, encoder, rng = Tokenizer.from_file(tokens.vocabulary()), tokens.encoder(tokens.vocabulary()), random.Random(2)
+    marks = ["<|endoftext|>", "<|endoftext|", "|>", "<", " ", "  ", "\n", "\t", "a", "Bé", "中", "7", ",", "'s", "\u00a0"]
+    texts = ["".join(rng.choice(marks) for _ in range(rng.randrange(14))) for _ in range(5000)] + [t or "" for _, t in ROWS]
+    for section in (1 << 20, 7):
+        monkeypatch.setattr(tokens, "SECTION", section)
+        found = [np.frombuffer(encoder.encode(t), encoder.dtype).tolist() for t in texts]
+        assert found == [e.ids for e in plain.encode_batch(texts, add_special_tokens=False)]
+    assert any(50256 in ids for ids in found)
+
+
 def test_huffman_round_trip():
     rng = np.random.default_rng(1)
     for values in (np.zeros(5, int), rng.integers(0, 2, 9), rng.zipf(1.3, 70_000) % 5000, np.zeros(0, int)):
