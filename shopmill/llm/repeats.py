@@ -8,9 +8,11 @@ are judged on the input, not on what is left.
 
 Map tasks send one row per bucket and slice of texts, with the slice's window
 hashes and places packed, so that a bucket's size follows the number of its
-windows, whatever passage repeats: a passage in a third of all documents adds
-one entry per document to each of its windows' buckets. Two windows are taken
-for equal if their 64-bit hashes are.
+windows. Of equal windows in a slice one is sent, that of the smallest doc_id:
+those of larger ones are marked there, and repeats within its own document
+follow its mark. So a passage in a third of all documents, or one word repeated
+over long texts, adds one entry per slice to each of its windows' buckets. Two
+windows are taken for equal if their 64-bit hashes are.
 
 Words are separated by space and the characters 9 to 13. A null or empty text
 has no words and stays as it is; a text of fewer than 50 words has no window.
@@ -39,9 +41,9 @@ WINDOW = 50
 #: Bytes of text of one slice, and of packed windows in one bucket on average.
 SLICE, BUCKET = 2 << 20, 8 << 20
 
-#: A bucket's windows of a slice; or, without hashes, the slice's documents.
-SENT = "slice long, bucket int, hashes binary, steps binary, sizes binary, doc_ids binary, keys binary"
-MARKED = "slice long, places binary, sizes binary, doc_ids binary, keys binary"
+#: A bucket's windows of a slice; or, with keys, the slice's documents and what the slice tells itself.
+SENT = "slice long, bucket int, hashes binary, steps binary, sizes binary, doc_ids binary, keys binary, known binary"
+MARKED = "slice long, places binary, sizes binary, doc_ids binary, keys binary, known binary"
 CUTS = "doc_id long, key long, begins array<int>, ends array<int>"
 NO_ID = np.iinfo(np.int64).max
 
@@ -119,6 +121,12 @@ def _sender(window: int, buckets: int):
             places = np.flatnonzero(left >= window)
             hashes = hashes[places]
             owners = np.searchsorted(texts.first, places, "right") - 1
+            keys = batch.column("key").to_numpy(zero_copy_only=False)
+            there = np.packbits(batch.column("doc_id").is_valid().to_numpy(zero_copy_only=False))
+            lead, marked, tied = _reduced(hashes, doc_ids[owners])
+            known = np.concatenate([[marked.sum()], places[marked], places[lead[tied]], places[tied]]).astype("<u4")
+            sent = ~(marked | tied)
+            hashes, places, owners = hashes[sent], places[sent], owners[sent]
             bucket = (hashes >> np.uint64(32)).astype(np.int64) * buckets >> 32
             order = np.argsort(bucket.astype(np.uint16) if buckets <= 1 << 16 else bucket, kind="stable")
             hashes, places, owners = hashes[order], places[order], owners[order]
@@ -127,16 +135,27 @@ def _sender(window: int, buckets: int):
                 heads = np.flatnonzero(np.diff(owners[own], prepend=-1))
                 sizes = np.diff(heads, append=own.stop - own.start).astype("<u4")
                 ids = doc_ids[owners[own][heads]]
-                rows.append((number, b, hashes[own].tobytes(), packed_steps(places[own]), sizes.tobytes(), ids.tobytes(), None))
-            keys = batch.column("key").to_numpy(zero_copy_only=False)
-            there = np.packbits(batch.column("doc_id").is_valid().to_numpy(zero_copy_only=False))
-            rows.append((number, number % buckets, None, there.tobytes(), counts.astype("<u4").tobytes(), doc_ids.tobytes(), keys.tobytes()))
+                rows.append((number, b, hashes[own].tobytes(), packed_steps(places[own]), sizes.tobytes(), ids.tobytes(), None, None))
+            own = (there.tobytes(), counts.astype("<u4").tobytes(), doc_ids.tobytes(), keys.tobytes(), known.tobytes())
+            rows.append((number, number % buckets, None, *own))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
             number += 1
 
     return run
 
 
+def _reduced(hashes: np.ndarray, doc_ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each window the first equal one of the smallest doc_id; whether its own is larger; whether it repeats that one."""
+    order = np.lexsort((doc_ids, hashes))
+    ordered = hashes[order]
+    new = np.ones(len(hashes), bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    lead = np.empty(len(hashes), np.int64)
+    lead[order] = order[new][np.cumsum(new) - 1]
+    marked = doc_ids > doc_ids[lead]
+    return lead, marked, ~marked & (lead != np.arange(len(hashes)))
+
+
 def _view(value: pa.Scalar, kind) -> np.ndarray:
     """A binary value's numbers, not copied."""
     return np.frombuffer(value.as_buffer(), kind)
@@ -149,7 +168,7 @@ def _marker(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for i, (number, own) in enumerate(zip(batch.column("slice").to_pylist(), batch.column("bucket").to_pylist())):
             if not batch.column("hashes")[i].is_valid:
-                row = (number, *(batch.column(c)[i].as_py() for c in ("steps", "sizes", "doc_ids", "keys")))
+                row = (number, *(batch.column(c)[i].as_py() for c in ("steps", "sizes", "doc_ids", "keys", "known")))
                 yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, schema.types)], schema=schema)
                 continue
             if own != bucket:
@@ -175,7 +194,7 @@ def _marks(held: list[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     cuts = np.cumsum([len(own) for *_, own, _, _ in held])[:-1]
     for (number, steps, *_), own in zip(held, np.split(marks, cuts)):
         if own.any():
-            row = (number, places_of(steps)[own].astype("<u4").tobytes(), None, None, None)
+            row = (number, places_of(steps)[own].astype("<u4").tobytes(), None, None, None, None)
             yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, schema.types)], schema=schema)
 
 
@@ -190,7 +209,10 @@ def _merger(window: int):
         there = np.unpackbits(np.frombuffer(rows["places"][at], np.uint8))
         first = np.concatenate([[0], np.cumsum(np.frombuffer(rows["sizes"][at], "<u4"), dtype=np.int64)])
         places = [np.frombuffer(p, "<u4") for i, p in enumerate(rows["places"]) if i != at]
-        places = np.sort(np.concatenate([np.zeros(0, "<u4"), *places])).astype(np.int64)
+        places = np.concatenate([np.zeros(0, "<u4"), *places])
+        n, known = np.split(np.frombuffer(rows["known"][at], "<u4"), [1])
+        marked, lead, tied = np.split(known, [n[0], n[0] + (len(known) - n[0]) // 2])
+        places = np.sort(np.concatenate([places, marked, tied[np.isin(lead, places)]])).astype(np.int64)
         owners = np.searchsorted(first, places, "right") - 1
         new = np.ones(len(places), bool)
         new[1:] = (owners[1:] != owners[:-1]) | (places[1:] > places[:-1] + window)

@@ -110,6 +110,22 @@ def test_repeats(docs, monkeypatch, bucket, partitions):
     assert untouched <= set(ROWS)
 
 
+@pytest.mark.parametrize("piece", [2 << 20, 4000])
+def test_a_hot_passage_is_one_entry_per_slice(spark, monkeypatch, piece):
+    """A common passage and one repeated word, in several documents and with repeated and null ids."""
+    monkeypatch.setattr(repeats, "SLICE", piece)
+    passage = " ".join(f"p{i}" for i in range(50))
+    rows = [(i * 7 % 31, f"a{i} {passage} {passage} b{i}") for i in range(40)] + [(50 + i, "the " * (60 + 30 * i)) for i in range(9)]
+    rows += [(None, passage), (None, "the " * 70), rows[3], (rows[4][0], passage), (90, f"{passage} x " * 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    sent = docs.selectExpr("doc_id", "cast(text AS binary) AS text", "xxhash64(text) AS key").mapInArrow(repeats._sender(50, 3), repeats.SENT)
+    sent = [(r.slice, np.frombuffer(r.hashes, np.uint64)) for r in sent.where("hashes IS NOT NULL").collect()]
+    own = [(n, h) for n, hashes in sent for h in hashes.tolist()]
+    assert len(own) == len(set(own))
+    found = repeats.remove_repeats(docs).select("doc_id", "n_words", "n_removed", "kept_sha256")
+    brute.same(found.collect(), brute.without_repeats(rows))
+
+
 ITEMS = [
     (1, " ".join(ROWS[0][1].split()[:30]) if ROWS[0][1] else "a b c d"), (2, "The THE the"), (3, None), (4, ""), (None, "a b"),
     (5, next(t for _, t in ROWS if t and len(t.split()) > 1000)[200:900]), (5, "word1, word2!"), (12, "a b c d"),
