@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from shopmill.llm import (
-    decontaminate, licenses, neighbours, packing, quality, repeats, shingle_join, store, token_counts, token_files, url_rules,
+    decontaminate, licenses, mixing, neighbours, packing, quality, ranked_search, repeats, shingle_join, store, token_counts, token_files, url_rules,
+    vector_codes,
 )
 
 QUERIES = {
@@ -17,6 +18,9 @@ QUERIES = {
     "op8_shingle_join": shingle_join.op8_shingle_join,
     "op9_substring_dedup": repeats.op9_substring_dedup,
     "op10_quality": quality.op10_quality,
+    "op11_mixing": mixing.op11_mixing,
+    "op12_ranked_search": ranked_search.op12_ranked_search,
+    "op13_vector_codes": vector_codes.op13_vector_codes,
 }
 
 QUERIES = {name: store.prepared(query) for name, query in QUERIES.items()}
@@ -25,4 +29,7 @@ STATEMENTS = {
     "op3_url_rules": url_rules.STATEMENT,
     "op4_token_counts": token_counts.STATEMENT,
     "op5_neighbours": neighbours.STATEMENT,
+    "op11_mixing": mixing.STATEMENT,
+    "op12_ranked_search": ranked_search.STATEMENT,
+    "op13_vector_codes": vector_codes.STATEMENT,
 }
