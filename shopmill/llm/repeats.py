@@ -11,8 +11,12 @@ hashes and places packed, so that a bucket's size follows the number of its
 windows. Of equal windows in a slice one is sent, that of the smallest doc_id:
 those of larger ones are marked there, and repeats within its own document
 follow its mark. So a passage in a third of all documents, or one word repeated
-over long texts, adds one entry per slice to each of its windows' buckets. Two
-windows are taken for equal if their 64-bit hashes are.
+over long texts, adds one entry per slice to each of its windows' buckets.
+
+Two windows are taken for equal if two hashes are: one is sent, and one that
+has nothing to do with it deals the buckets, so that the bits which must agree
+grow with the corpus. Both are polynomials over a prime field; words enter them
+by hashes of all their bytes.
 
 Words are separated by space and the characters 9 to 13. A null or empty text
 has no words and stays as it is; a text of fewer than 50 words has no window.
@@ -34,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shopmill.llm import store
 from shopmill.llm.arrow import arrow_schema
-from shopmill.llm.words import Texts, buffers, slices, windows
+from shopmill.llm.words import BASES, Texts, buffers, slices, windows
 
 #: Words of a window.
 WINDOW = 50
@@ -116,18 +120,18 @@ def _sender(window: int, buckets: int):
             texts = Texts(batch.column("text"), lower=False)
             doc_ids = batch.column("doc_id").fill_null(NO_ID).to_numpy(zero_copy_only=False)
             counts = texts.counts()
-            hashes = windows(texts.hashes, window)
+            hashes, second = (windows(texts.hashes, window, base) for base in BASES)
             left = np.repeat(texts.first[1:], counts)[: len(hashes)] - np.arange(len(hashes))
             places = np.flatnonzero(left >= window)
-            hashes = hashes[places]
+            hashes, second = hashes[places], second[places]
             owners = np.searchsorted(texts.first, places, "right") - 1
             keys = batch.column("key").to_numpy(zero_copy_only=False)
             there = np.packbits(batch.column("doc_id").is_valid().to_numpy(zero_copy_only=False))
-            lead, marked, tied = _reduced(hashes, doc_ids[owners])
+            lead, marked, tied = _reduced(hashes, second, doc_ids[owners])
             known = np.concatenate([[marked.sum()], places[marked], places[lead[tied]], places[tied]]).astype("<u4")
             sent = ~(marked | tied)
-            hashes, places, owners = hashes[sent], places[sent], owners[sent]
-            bucket = (hashes >> np.uint64(32)).astype(np.int64) * buckets >> 32
+            hashes, second, places, owners = hashes[sent], second[sent], places[sent], owners[sent]
+            bucket = (second >> np.uint64(32)).astype(np.int64) * buckets >> 32
             order = np.argsort(bucket.astype(np.uint16) if buckets <= 1 << 16 else bucket, kind="stable")
             hashes, places, owners = hashes[order], places[order], owners[order]
             rows = []
@@ -144,7 +148,7 @@ def _sender(window: int, buckets: int):
     return run
 
 
-def _reduced(hashes: np.ndarray, doc_ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _reduced(hashes: np.ndarray, second: np.ndarray, doc_ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For each window the first equal one of the smallest doc_id; whether its own is larger; whether it repeats that one."""
     order = np.lexsort((doc_ids, hashes))
     ordered = hashes[order]
@@ -152,8 +156,8 @@ def _reduced(hashes: np.ndarray, doc_ids: np.ndarray) -> tuple[np.ndarray, np.nd
     new[1:] = ordered[1:] != ordered[:-1]
     lead = np.empty(len(hashes), np.int64)
     lead[order] = order[new][np.cumsum(new) - 1]
-    marked = doc_ids > doc_ids[lead]
-    return lead, marked, ~marked & (lead != np.arange(len(hashes)))
+    marked = (doc_ids > doc_ids[lead]) & (second == second[lead])
+    return lead, marked, ~marked & (lead != np.arange(len(hashes))) & (second == second[lead])
 
 
 def _view(value: pa.Scalar, kind) -> np.ndarray:

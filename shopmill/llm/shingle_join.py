@@ -84,14 +84,16 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) ->
     """The documents, one of each group of near duplicates (the smallest doc_id); empty ones all stay."""
     found = near_duplicates(docs, shingle, percent)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key"))
-    chosen = found.where("root IS NOT NULL").groupBy("root").agg(first["key"].alias("key"))
-    chosen = chosen.select("key", F.lit(False).alias("every"))
-    empty = found.where("root IS NULL").select("key", F.lit(True).alias("every"))
-    chosen = chosen.unionByName(empty).groupBy("key").agg(F.max("every").alias("every"))
-    # The chosen keys grow with the corpus: never broadcast them.
-    row, key = F.struct("*").alias("row"), F.xxhash64("doc_id", "text").alias("key")
-    joined = docs.select(row, key).join(chosen.hint("merge"), "key")
-    number = F.row_number().over(Window.partitionBy("key").orderBy("key"))
+    chosen = found.where("root IS NOT NULL").groupBy("root").agg(first.alias("first"))
+    chosen = chosen.select("first.doc_id", "first.key", F.lit(False).alias("every"))
+    empty = found.where("root IS NULL").select("doc_id", "key", F.lit(True).alias("every"))
+    chosen = chosen.unionByName(empty).groupBy("doc_id", "key").agg(F.max("every").alias("every"))
+    chosen = chosen.select(F.col("doc_id").alias("own"), F.col("key").alias("own_key"), "every")
+    # The chosen rows grow with the corpus: never broadcast them. The hash of a text tells rows of one doc_id apart.
+    key = F.xxhash64("doc_id", "text")
+    rows = docs.select(F.struct("*").alias("row"), "doc_id", key.alias("key"))
+    joined = rows.join(chosen.hint("merge"), F.col("doc_id").eqNullSafe(F.col("own")) & (F.col("key") == F.col("own_key")))
+    number = F.row_number().over(Window.partitionBy("doc_id", "key").orderBy("key"))
     return joined.withColumn("number", number).where("number = 1 OR every").select("row.*")
 
 

@@ -6,14 +6,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 #: Space and the control characters 9 to 13.
 BLANKS = bytes([32, 9, 10, 11, 12, 13])
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
-#: Bytes whose words are hashed at once.
-SEGMENT = 1 << 18
+#: Bytes of a word that are hashed with all others at once; longer words are hashed one by one.
+SHORT = 32
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
+#: Rabin-Karp hashes are polynomials modulo this prime, at two bases that have nothing to do with each other.
+PRIME = (1 << 61) - 1
+BASES = (0x16E8FEB86659FD93, 0x0B9B2D2E6C5A8F47)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -25,20 +29,20 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _byte_values(lower: bool) -> np.ndarray:
-    own = mix(np.arange(1, 257, dtype=np.uint64) * _ODD)
-    return own[np.frombuffer(LOWER, np.uint8)] if lower else own
+def reduced(x: np.ndarray) -> np.ndarray:
+    """64-bit values modulo the prime."""
+    x = (x & np.uint64(PRIME)) + (x >> np.uint64(61))
+    return np.where(x >= np.uint64(PRIME), x - np.uint64(PRIME), x)
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[:1] = 1
-    return np.cumprod(out, dtype=np.uint64)
-
-
-_BASE = 0xD6E8FEB86659FD93
-_INVERSE = pow(_BASE, -1, 1 << 64)
-_UP, _DOWN = _powers(_BASE, SEGMENT + 1), _powers(_INVERSE, SEGMENT + 1)
+def times(x: np.ndarray, factor: int) -> np.ndarray:
+    """Values below the prime times one factor below it, not yet reduced: below 2^64, and right modulo the prime."""
+    half, low = np.uint64(31), np.uint64((1 << 31) - 1)
+    a, b = x >> half, x & low
+    c, d = np.uint64(factor >> 31), np.uint64(factor & int(low))
+    middle = a * d + b * c
+    # 2^61 is 1 here, so 2^62 is 2, and 2^31 times the middle's bits from 30 on are those bits.
+    return ((a * c) << np.uint64(1)) + (middle >> np.uint64(30)) + ((middle & np.uint64((1 << 30) - 1)) << half) + b * d
 
 
 class Texts:
@@ -63,7 +67,7 @@ class Texts:
         closes[edges - 1] = inside[edges - 1]
         self.starts, self.ends = np.flatnonzero(opens), np.flatnonzero(closes) + 1
         self.first = np.searchsorted(self.starts, offsets)
-        self.hashes = self._hash(_byte_values(lower))
+        self.hashes = self._hash(lower)
 
     def __len__(self) -> int:
         return len(self.first) - 1
@@ -71,20 +75,28 @@ class Texts:
     def counts(self) -> np.ndarray:
         return np.diff(self.first)
 
-    def _hash(self, values: np.ndarray) -> np.ndarray:
-        """Polynomial hashes of the words, by segments that end between words."""
-        out, begin = np.empty(len(self.starts), np.uint64), 0
-        while begin < len(self.starts):
-            at = self.starts[begin]
-            end = max(begin + 1, int(np.searchsorted(self.ends, at + SEGMENT, "right")))
-            size = self.ends[end - 1] - at
-            up, down = (_UP, _DOWN) if size <= SEGMENT else (_powers(_BASE, size + 1), _powers(_INVERSE, size + 1))
-            sums = np.zeros(size + 1, np.uint64)
-            np.cumsum(values[self.data[at : at + size]] * up[:size], out=sums[1:])
-            left, right = self.starts[begin:end] - at, self.ends[begin:end] - at
-            out[begin:end] = (sums[right] - sums[left]) * down[left] + (right - left).astype(np.uint64) * _ODD
-            begin = end
-        return mix(out)
+    def _hash(self, lower: bool) -> np.ndarray:
+        """Hashes of the words: eight bytes after another for short ones, xxh3 for long ones."""
+        # A word is read in eights, so the last one needs room behind it.
+        data = np.zeros(len(self.data) + 8, np.uint8)
+        data[: len(self.data)] = np.frombuffer(LOWER, np.uint8)[self.data] if lower else self.data
+        eights = np.ndarray(len(self.data) + 1, "<u8", data, 0, (1,))
+        sizes = self.ends - self.starts
+        out = np.zeros(len(sizes), np.uint64)
+        which = np.flatnonzero(sizes <= SHORT)
+        at, left = self.starts[which], sizes[which]
+        own = left.astype(np.uint64) * _ODD
+        for _ in range(0, SHORT, 8):
+            unused = (8 * (8 - np.minimum(left, 8))).astype(np.uint64)
+            own = mix(own ^ ((eights[at] << unused) >> unused))
+            more = left > 8
+            out[which[~more]] = own[~more]
+            which, at, left, own = which[more], at[more] + 8, left[more] - 8, own[more] * _ODD
+            if not len(which):
+                break
+        for i in np.flatnonzero(sizes > SHORT).tolist():
+            out[i] = xxhash.xxh3_64_intdigest(data[self.starts[i] : self.ends[i]])
+        return out
 
 
 def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -99,20 +111,21 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return own - own[0], np.frombuffer(data, np.uint8)[own[0] : own[-1]]
 
 
-def windows(hashes: np.ndarray, k: int) -> np.ndarray:
-    """Rabin-Karp hashes of all runs of ``k`` values, put together from runs of powers of two."""
+def windows(hashes: np.ndarray, k: int, base: int = BASES[0]) -> np.ndarray:
+    """Rabin-Karp hashes of all runs of ``k`` values, put together from runs of powers of two, spread over 64 bits."""
     n = len(hashes) - k + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    run, size, out, done = hashes, 1, None, 0
+    run, size, out, done = reduced(hashes), 1, None, 0
     while True:
+        power = pow(base, size, PRIME)
         if k & size:
             part = run[done : done + n]
-            out = part.copy() if out is None else out * np.uint64(pow(_BASE, size, 1 << 64)) + part
+            out = part.copy() if out is None else reduced(reduced(times(out, power)) + part)
             done += size
         if 2 * size > k:
             return mix(out)
-        run = run[: len(run) - size] * np.uint64(pow(_BASE, size, 1 << 64)) + run[size:]
+        run = reduced(reduced(times(run[: len(run) - size], power)) + run[size:])
         size *= 2
 
 

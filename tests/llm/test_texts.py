@@ -244,3 +244,46 @@ def test_empty_tables(spark, empty):
 def test_no_benchmark_hits_nothing(spark, docs):
     items = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.digest(decontaminate.find(docs, items)).where("contaminated").count() == 0
+
+
+def mirrored(letters):
+    """Two words that are equal to any polynomial hash modulo 2^64 (the Thue-Morse word and its mirror)."""
+    word = "".join("ab"[bin(i).count("1") & 1] for i in range(letters))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+@pytest.mark.parametrize("letters", [8, 32, 33, 1024, 4096])
+def test_long_words_are_told_apart(spark, letters):
+    one, other = mirrored(letters)
+    tail = " ".join(f"t{i}" for i in range(49))
+    rows = [(1, f"{one} {tail}"), (2, f"{other} {tail}"), (3, one), (4, other), (5, f"{other} {tail} more"), (6, f"x {one.upper()} {tail}"), (7, one.upper())]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = repeats.remove_repeats(docs).select("doc_id", "n_words", "n_removed", "kept_sha256")
+    brute.same(found.collect(), brute.without_repeats(rows))
+    near = shingle_join.near_duplicates(spark.createDataFrame([(1, one), (2, other), (3, f"{one} a b c"), (4, f"{other} a b c"), (5, one.upper())], "doc_id long, text string"))
+    brute.same(near.select("doc_id", "component_id").collect(), [(1, 1), (2, 2), (3, 3), (4, 4), (5, 1)])
+
+
+def test_hashes_are_polynomials_over_the_prime():
+    values = np.random.default_rng(2).integers(0, 1 << 64, 90, np.uint64)
+    values[:3] = [words.PRIME, (1 << 64) - 1, 0]
+    for base in words.BASES:
+        for k in (1, 2, 5, 50):
+            plain = [sum(int(v) * pow(base, k - 1 - j, words.PRIME) for j, v in enumerate(values[i : i + k])) % words.PRIME for i in range(90 - k + 1)]
+            assert (words.windows(values, k, base) == words.mix(np.array(plain, np.uint64))).all()
+
+
+def test_windows_of_mirrored_words():
+    one, other = ([(3 if c == "a" else 5) for c in w] for w in mirrored(2048))
+    a, b = (np.array(w, np.uint64) for w in (one, other))
+    assert (words.windows(a, 2048) != words.windows(b, 2048)).all()
+
+
+def test_one_stays_of_rows_that_share_ids_and_hashes(spark, monkeypatch):
+    """Were the hash of two documents the same, both would stay."""
+    monkeypatch.setattr(shingle_join.F, "xxhash64", lambda *c: shingle_join.F.lit(7).cast("long"))
+    docs = spark.createDataFrame([(1, "a b c d e f"), (2, "q r s t u"), (None, "z"), (None, "z"), (3, "")], "doc_id long, text string")
+    found = spark.createDataFrame([(1, 7, 2, 1, 1), (2, 7, 1, 2, 2), (None, 7, 1, None, 3), (3, 7, 0, 3, None)], "doc_id long, key long, n_shingles long, component_id long, root long")
+    monkeypatch.setattr(shingle_join, "near_duplicates", lambda *a: found)
+    kept = shingle_join.keep_one(docs).select("doc_id").collect()
+    brute.same(kept, [(1,), (2,), (3,), (None,)])
