@@ -16,7 +16,7 @@ one. Columns other than ``doc_id`` and ``text`` are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -60,47 +60,76 @@ class Notice:
         cuts = [n * i // k for i in range(k + 1)]
         return [(a, self.phrase[a:b]) for a, b in zip(cuts, cuts[1:])]
 
-    def pattern(self, flag: int) -> regex.Pattern:
+    def pattern(self, lead: int, flag: int) -> regex.Pattern:
+        """The phrase behind ``lead`` inserted characters, with the edits that are left: the library begins no match with an insertion."""
         body = regex.escape(self.phrase.decode()).encode()
-        return regex.compile(rb"(?<![^ ])(?:" + body + rb"){e<=%d}(?![^ ])" % self.edits, flag)
+        before = b"[^ ]" + b"." * (lead - 1) if lead else b""
+        return regex.compile(rb"(?<![^ ])" + before + rb"(?:" + body + rb"){e<=%d}(?![^ ])" % (self.edits - lead), flag)
+
+
+@dataclass(frozen=True)
+class Found:
+    begin: int
+    end: int
+    edits: int
 
 
 class Matcher:
     """Occurrences of a notice in a region of a text."""
 
     def __init__(self, notice: Notice):
-        self.notice, self.first, self.best = notice, notice.pattern(regex.ENHANCEMATCH), notice.pattern(regex.BESTMATCH)
+        self.notice = notice
+        leads = range(notice.edits + 1)
+        self.first = [notice.pattern(n, regex.ENHANCEMATCH) for n in leads]
+        self.best = [notice.pattern(n, regex.BESTMATCH) for n in leads]
 
-    def find(self, joined: bytes, begin: int, end: int) -> Iterator[regex.Match]:
+    def find(self, joined: bytes, begin: int, end: int) -> Iterator[Found]:
         """One after another; the best match is looked for around the next one only.
 
         That of the whole region would hide worse ones before it, and each search
         would read the region to its end.
         """
         edits, least = self.notice.edits, len(self.notice.phrase) - self.notice.edits
-        while match := self.first.search(joined, begin, end):
-            better = self.best.search(joined, match.start(), _word_end(joined, min(end, match.end() + edits)))
-            if better and better.start() < match.start() + least:  # no occurrence fits in between
-                match = better
+        near: list[Found | None] = [None] * (edits + 1)
+        fresh = [True] * (edits + 1)
+        while True:
+            for lead in range(edits + 1):
+                # A match that lies ahead is still the first one.
+                if fresh[lead] or (near[lead] and near[lead].begin < begin):
+                    near[lead], fresh[lead] = self._one(self.first, lead, joined, begin, end), False
+            if not (known := [f for f in near if f]):
+                return
+            match = min(known, key=lambda f: (f.begin, f.edits, f.end))
+            to = _word_end(joined, min(end, match.end + edits))
+            around = [self._one(self.best, lead, joined, match.begin, to) for lead in range(edits + 1)]
+            # One that begins further on may have another before it.
+            close = [f for f in around if f and f.begin < match.begin + least]
+            match = min([match, *close], key=lambda f: (f.edits, f.begin, f.end))
             yield match
-            begin = match.end()
+            begin = match.end
+
+    @staticmethod
+    def _one(patterns: list[regex.Pattern], lead: int, joined: bytes, begin: int, end: int) -> Found | None:
+        match = patterns[lead].search(joined, begin, end)
+        return match and Found(match.start(), match.end(), lead + sum(match.fuzzy_counts))
 
 
-def notices() -> list[Notice]:
-    return [Notice(p.encode(), label, max(1, len(p) // CHARACTERS_AN_EDIT)) for p, label in NOTICES]
+def notices(known: Sequence[tuple[str, str]] = NOTICES) -> list[Notice]:
+    """Notices of (phrase, label); phrases are lower-case words parted by blanks."""
+    return [Notice(p.encode(), label, max(1, len(p) // CHARACTERS_AN_EDIT)) for p, label in known]
 
 
 class Scanner:
-    def __init__(self):
-        self.notices = [(n, n.seeds(), Matcher(n)) for n in notices()]
+    def __init__(self, known: Sequence[tuple[str, str]] = NOTICES, base: Sequence[tuple[str, str]] = BASE):
+        self.notices, self.base = [(n, n.seeds(), Matcher(n)) for n in notices(known)], base
 
     def scan(self, text: bytes | None) -> tuple:
         """Number of words, base places (label, word), and spans (label, begin, end, edits) of a text."""
         words = words_of(text)
         joined = b" ".join(words)
-        base = [(label, at) for phrase, label in BASE for at in _exact(phrase.encode(), joined)]
+        base = [(label, at) for phrase, label in self.base for at in _exact(phrase.encode(), joined)]
         spans = {
-            (notice.label, match.start(), match.end(), sum(match.fuzzy_counts))
+            (notice.label, match.begin, match.end, match.edits)
             for notice, seeds, matcher in self.notices
             for begin, end in self._regions(joined, notice, seeds)
             for match in matcher.find(joined, begin, end)
@@ -135,10 +164,10 @@ class Scanner:
         return merged
 
 
-def scan(docs: DataFrame) -> DataFrame:
+def scan(docs: DataFrame, known: Sequence[tuple[str, str]] = NOTICES, base: Sequence[tuple[str, str]] = BASE) -> DataFrame:
     """Per document its words, base places, labels, and the spans of all notices found."""
     texts = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
-    return texts.mapInArrow(_scan, FOUND)
+    return texts.mapInArrow(_scanner(known, base), FOUND)
 
 
 def op7_licenses(spark: SparkSession, folder: str) -> DataFrame:
@@ -159,21 +188,24 @@ def _word_end(joined: bytes, at: int) -> int:
     return len(joined) if end < 0 else end
 
 
-def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema, scanner = arrow_schema(FOUND), Scanner()
-    most = max(notice.edits for notice, _, _ in scanner.notices)
-    for batch in batches:
-        rows = []
-        for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-            n, base, spans = scanner.scan(text.as_py())
-            at = [word for _, word in base]
-            own = {label for label, _ in base}
-            score = 1.0 if base else max((1 - edits / (most + 1) for *_, edits in spans), default=0.0)
-            columns = [list(c) for c in zip(*spans)] or [[], [], [], []]
-            rows.append(
-                (
-                    doc_id, n, len(base), min(at, default=None), max(at, default=None), ",".join(sorted(own)),
-                    ",".join(sorted(own.union(columns[0]))), score, *columns,
-                )
-            )
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
+def _scanner(known, base):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema, scanner = arrow_schema(FOUND), Scanner(known, base)
+        most = max((notice.edits for notice, _, _ in scanner.notices), default=0)
+        for batch in batches:
+            rows = []
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
+                n, places, spans = scanner.scan(text.as_py())
+                at = [word for _, word in places]
+                own = {label for label, _ in places}
+                score = 1.0 if places else max((1 - edits / (most + 1) for *_, edits in spans), default=0.0)
+                columns = [list(c) for c in zip(*spans)] or [[], [], [], []]
+                rows.append(
+                    (
+                        doc_id, n, len(places), min(at, default=None), max(at, default=None), ",".join(sorted(own)),
+                        ",".join(sorted(own.union(columns[0]))), score, *columns,
+                    )
+                )
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
+
+    return run

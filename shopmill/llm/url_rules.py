@@ -2,13 +2,15 @@
 
 A rule (host, path) fits its host and all subdomains, if the url's path starts
 with the rule's; of several rules the longest wins. A canonical key is the
-host with its labels reversed, a blank, and the path, so a rule is the interval
-of all keys that begin with its own. A url is looked up under its host and
-each parent domain.
-
-1. Rules become disjoint segments: where an interval opens, its rule is active;
-   where it closes, the one around it is again (the stack of open rules, one
-   row per change).
+host with its labels reversed, a slash (which no host has), and the path, as
+bytes; so a rule is the interval from its own key to that key and a byte which no text
+has. A url is looked up under its host and each parent domain.
+
+1. Intervals are nested or apart. A sweep over their ends keeps the stack of the
+   rules that are open: the number of open ones is a running sum, and a rule
+   that opens as the n-th stands at place n. Where one closes, the rule at the top
+   is the last one that opened at the place below, so rules become disjoint
+   segments.
 2. Segment starts and distinct url keys are sorted together by range
    partitions. A window carries the last segment start on to the urls behind
    it; a partition begins with the last start of the partitions before.
@@ -19,15 +21,15 @@ sweep, and partitions hold ranges of keys, so no host gathers in one task.
 A null url, or one without ``://``, has an empty host and path and no rule. A
 path that is empty starts with no rule's path. Repeated rows are judged
 alike; of rules with one host and path the blocking one counts; rules of null
-host, path or verdict take no part. Empty tables give empty results, no rules
+host, path or verdict take no part, nor do hosts with a slash, which fit nothing. Empty tables give empty results, no rules
 the default verdict. Columns other than ``page_id`` and ``url`` are not read.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from shopmill.llm import store
+from shopmill.llm.ordered import latest, running
 
 #: The rules of the registered query: verdict, host, path.
 RULES = (
@@ -35,10 +37,13 @@ RULES = (
 )
 #: The verdict where no rule fits.
 DEFAULT = "allow"
-#: Sorts behind every continuation of a key.
-LAST = "\U0010ffff"
+#: Parts a key's host from its path.
+PART = "/"
+#: Sorts behind every continuation of a key: no byte of UTF-8.
+LAST = b"\xff"
 #: Marks a segment in which no rule is active.
 NONE = ""
+ACTIVE = "struct<rule:string,size:int,verdict:string>"
 
 
 def lower(text: Column) -> Column:
@@ -59,53 +64,31 @@ def reversed_host(host: Column) -> Column:
     return F.array_join(F.reverse(F.split(host, r"\.")), ".")
 
 
+def key_of(domain: Column) -> Column:
+    return F.concat(domain, F.lit(PART), F.col("path")).cast("binary")
+
+
 def segments(rules: DataFrame) -> DataFrame:
-    """``key, place, rule, size, verdict``: from each key on, which rule is active (none: empty)."""
-    known = rules.where("host IS NOT NULL AND path IS NOT NULL AND verdict IS NOT NULL")
+    """``key, place, active``: from each key on, which rule is active (none: an empty rule)."""
+    known = rules.where("host IS NOT NULL AND path IS NOT NULL AND verdict IS NOT NULL").where(~F.contains("host", F.lit(PART)))
     known = known.groupBy(lower(F.col("host")).alias("host"), "path").agg(F.max("verdict").alias("verdict"))
-    known = known.select(
-        F.concat(reversed_host(F.col("host")), F.lit(" ")).alias("domain"), "path", "verdict",
-        F.concat("host", "path").alias("rule"), (F.length("host") + F.length("path")).alias("size"),
-    )
-    # The rule around a rule: the longest proper prefix of its path that is a rule of the same host.
-    lengths = F.when(F.length("path") > 0, F.sequence(F.lit(0), F.length("path") - 1)).otherwise(F.array().cast("array<int>"))
-    prefixes = known.select("domain", "path", F.explode(lengths).alias("n"))
-    outer = known.select(
-        "domain", F.col("path").alias("outer_path"), F.struct("rule", "size", "verdict").alias("outer")
-    )
-    around = prefixes.join(
-        outer, (prefixes.domain == outer.domain) & (F.substr("path", F.lit(1), F.col("n")) == F.col("outer_path"))
-    ).groupBy(prefixes.domain, "path").agg(F.max_by("outer", "n").alias("outer"))
-    nested = known.join(around, ["domain", "path"], "left")
-    key = F.concat("domain", "path")
-    # At one key the closings come first, inner rules before outer ones; of openings the inner one counts.
-    opens = nested.select(key.alias("key"), F.lit(1).alias("place"), "size", "rule", "verdict", F.col("size").alias("turn"))
-    closes = nested.select(
-        F.concat(key, F.lit(LAST)).alias("key"), F.lit(0).alias("place"), F.coalesce("outer.size", F.lit(0)).alias("size"),
-        F.coalesce("outer.rule", F.lit(NONE)).alias("rule"), F.col("outer.verdict").alias("verdict"), (-F.col("size")).alias("turn"),
-    )
-    return opens.unionByName(closes)
+    active = F.struct(F.concat("host", "path").alias("rule"), (F.length("host") + F.length("path")).alias("size"), "verdict")
+    known = known.select(key_of(reversed_host(F.col("host"))).alias("key"), active.alias("active"))
+    # At one key what closes comes first.
+    opens = known.select("key", F.lit(1).alias("place"), F.lit(1).alias("step"), "active")
+    closes = known.select(F.concat("key", F.lit(LAST)).alias("key"), F.lit(0).alias("place"), F.lit(-1).alias("step"), F.lit(None).cast(ACTIVE).alias("active"))
+    order = [F.col("key"), F.col("place")]
+    ends = running(opens.unionByName(closes), order, before=F.col("step")).withColumn("depth", F.col("before") + F.col("step"))
+    top = latest(ends, order, "active", "top", by=["depth"])
+    none = F.struct(F.lit(NONE).alias("rule"), F.lit(0).alias("size"), F.lit("").alias("verdict"))
+    return top.select("key", "place", F.when(F.col("depth") > 0, F.col("top")).otherwise(none).alias("active"))
 
 
 def sweep(keys: DataFrame, starts: DataFrame) -> DataFrame:
     """For each distinct ``key``, the active segment (``rule``, ``size``, ``verdict``)."""
-    active = F.struct("rule", "size", "verdict")
-    nothing = F.lit(None).cast("struct<rule:string,size:int,verdict:string>")
-    asked = keys.select("key", F.lit(2).alias("place"), F.lit(0).alias("turn"), nothing.alias("active"))
-    events = starts.select("key", "place", "turn", active.alias("active")).unionByName(asked)
-    order = ["key", "place", "turn"]
-    ranged = events.repartitionByRange(*order).withColumn("part", F.spark_partition_id())
-    ranged = store.settle(ranged, "events")
-    # Bounded: one row per partition.
-    last = ranged.groupBy("part").agg(
-        F.max_by("active", F.when(F.col("active").isNotNull(), F.struct(*order))).alias("own")
-    )
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    carried = last.select("part", F.last("own", ignorenulls=True).over(before).alias("carried"))
-    within = Window.partitionBy("part").orderBy(*order)
-    swept = ranged.withColumn("near", F.last("active", ignorenulls=True).over(within)).where("place = 2")
-    swept = swept.join(carried, "part").select("key", F.coalesce("near", "carried").alias("active"))
-    return swept.select("key", "active.*").where(F.col("rule") != NONE)
+    asked = keys.select("key", F.lit(2).alias("place"), F.lit(None).cast(ACTIVE).alias("active"))
+    swept = latest(starts.unionByName(asked), [F.col("key"), F.col("place")], "active", "found")
+    return swept.where("place = 2").select("key", "found.*").where(F.col("rule") != NONE)
 
 
 def judge(pages: DataFrame, rules: DataFrame, default: str = DEFAULT) -> DataFrame:
@@ -116,7 +99,7 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = DEFAULT) -> DataFra
     labels = F.split("host", r"\.")
     parents = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.reverse(F.slice(labels, i, F.size(labels))), "."))
     asked = urls.select("host", "path", F.explode(parents).alias("domain"))
-    asked = asked.withColumn("key", F.concat("domain", F.lit(" "), "path"))
+    asked = asked.withColumn("key", key_of(F.col("domain")))
     found = sweep(asked.select("key").distinct(), segments(rules))
     longest = F.max_by(F.struct("rule", "verdict"), F.struct("size", "rule"))
     best = asked.join(found, "key").groupBy("host", "path").agg(longest.alias("best"))

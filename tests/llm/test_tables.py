@@ -11,12 +11,14 @@ from pathlib import Path
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 import brute  # noqa: E402
 import corpus_pipeline  # noqa: E402
 from shopmill.llm import huffman, neighbours, packing, queries, store, token_counts, token_files, tokens, url_rules  # noqa: E402
+from shopmill.llm.ordered import latest  # noqa: E402
 
 ROWS = brute.awkward(2)
 
@@ -138,12 +140,14 @@ def test_packing(docs, monkeypatch):
 
 def test_url_rules(spark):
     rng = random.Random(5)
-    hosts, paths = ["com", "a.com", "b.a.com", "net", "a", "aa.com", "-.com"], ["/", "/a", "/a/", "/a/b", "", "/ab", "/a!", "/é"]
-    rules = [(rng.choice(["allow", "block"]), rng.choice(hosts), rng.choice(paths)) for _ in range(20)]
+    last = "\U0010ffff"
+    hosts = ["com", "a.com", "b.a.com", "net", "a", "aa.com", "-.com", "a b", f"{last}.net"]
+    paths = ["/", "/a", "/a/", "/a/b", "", "/ab", "/a!", "/é", f"/{last}", f"/a{last}x", "b/"]
+    rules = [(rng.choice(["allow", "block"]), rng.choice(hosts), rng.choice(paths)) for _ in range(40)]
     ends = ["", "?q=/a/", "#f"]
     urls = [
-        rng.choice(["http://", "", "X://"]) + rng.choice([*hosts, "z.b.a.com", "Q.NET"]) + rng.choice([*paths, "/a/b/d"]) + rng.choice(ends)
-        for _ in range(400)
+        rng.choice(["http://", "", "X://"]) + rng.choice([*hosts, "z.b.a.com", "Q.NET"]) + rng.choice([*(p for p in paths if p != "b/"), "/a/b/d", f"/a/{last}x", f"/{last}{last}"]) + rng.choice(ends)
+        for _ in range(900)
     ] + [None, "", "://", "http://", "x://?/a", "http://a.com/a", "http://a.com/a"]
     pages = spark.createDataFrame([(i, u, "x", "y") for i, u in enumerate(urls)], "page_id long, url string, host string, rule string")
     table = spark.createDataFrame([*rules, ("block", None, "/"), (None, "a", "/")], "verdict string, host string, path string")
@@ -162,6 +166,10 @@ def test_url_rules(spark):
         wanted.append((i, host, path, *(max(fit)[1:] if fit else (None, "allow"))))
     brute.same(url_rules.judge(pages, table).collect(), wanted)
     assert url_rules.judge(pages.limit(0), table).count() == 0
+    odd = spark.createDataFrame([(1, f"http://example.net/en/{last}x"), (2, f"http://a.net/{last}"), (3, "http://a b/x")], "page_id long, url string")
+    own = spark.createDataFrame([*url_rules.RULES, ("block", "a", "b/x"), ("block", "a/b", "/")], "verdict string, host string, path string")
+    found = url_rules.judge(odd, own).select("page_id", "rule", "verdict").collect()
+    brute.same(found, [(1, "example.net/en/", "allow"), (2, "net/", "block"), (3, None, "allow")])
     assert {r.verdict for r in url_rules.judge(pages, table.limit(0)).collect()} == {"allow"}
 
 
@@ -171,6 +179,17 @@ def test_url_rules_stay_in_the_jvm(spark):
     assert not re.search("Python|Pandas|Arrow|ExistingRDD|Cartesian|NestedLoop", plan)
 
 
+def test_latest_by_depth(spark):
+    rng = random.Random(3)
+    rows = [(i, rng.randrange(4), rng.choice([None, f"v{i}"])) for i in range(300)]
+    found = latest(spark.createDataFrame(rows, "n long, depth long, value string").repartition(7), [F.col("n")], "value", "top", by=["depth"])
+    seen, wanted = {}, []
+    for n, depth, value in rows:
+        seen[depth] = value or seen.get(depth)
+        wanted.append((n, depth, value, seen[depth]))
+    brute.same(found.collect(), wanted)
+
+
 CHANGES = "doc_id long, change string, source string, lang string, tokenizer string, tokens long, batch string"
 
 

@@ -287,3 +287,59 @@ def test_one_stays_of_rows_that_share_ids_and_hashes(spark, monkeypatch):
     monkeypatch.setattr(shingle_join, "near_duplicates", lambda *a: found)
     kept = shingle_join.keep_one(docs).select("doc_id").collect()
     brute.same(kept, [(1,), (2,), (3,), (None,)])
+
+
+def edit_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        before, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            before, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, before + (x != y))
+    return row[-1]
+
+
+def labels_by_distance(text):
+    """Labels of all runs of words within a notice's edits."""
+    split, found = text.split(" "), set()
+    for notice in licenses.notices():
+        for a in range(len(split)):
+            for b in range(a + 1, len(split) + 1):
+                run = " ".join(split[a:b])
+                if abs(len(run) - len(notice.phrase)) <= notice.edits and edit_distance(run, notice.phrase.decode()) <= notice.edits:
+                    found.add(notice.label)
+    return found
+
+
+def test_every_single_insertion_is_found():
+    scanner = licenses.Scanner()
+    for notice in licenses.notices():
+        phrase = notice.phrase.decode()
+        for at in range(len(phrase) + 1):
+            for letter in "zq":
+                text = f"x {phrase[:at]}{letter}{phrase[at:]} y"
+                assert notice.label in {s[0] for s in scanner.scan(text.encode())[2]}, text
+
+
+def test_fuzzy_labels_equal_a_plain_edit_distance():
+    rng, scanner = random.Random(8), licenses.Scanner()
+    known = licenses.notices()
+    for _ in range(250):
+        parts = []
+        for _ in range(rng.randrange(1, 3)):
+            notice = rng.choice(known)
+            text = list(notice.phrase.decode())
+            for _ in range(rng.randrange(notice.edits + 2)):
+                at = rng.choice([0, 0, len(text), rng.randrange(len(text) + 1), rng.randrange(len(text) + 1)])
+                kind = rng.randrange(3)
+                if kind == 0:
+                    text.insert(at, rng.choice("zqe"))
+                elif at < len(text) and text[at] != " ":
+                    text[at : at + 1] = [] if kind == 1 else [rng.choice("zqe")]
+            parts.append("".join(text).strip())
+        text = " ".join(" ".join([rng.choice(["and", "the", "mit"]), *parts, rng.choice(["of", "license"])]).split())
+        wanted = labels_by_distance(text)
+        spans = scanner.scan(text.encode())[2]
+        assert {s[0] for s in spans} == wanted, text
+        for label, begin, end, edits in spans:
+            run = " ".join(text.split(" ")[begin:end])
+            assert min(edit_distance(run, n.phrase.decode()) for n in known if n.label == label) <= edits
