@@ -15,6 +15,8 @@ from shopmill.registry import date_columns, pick_date_column, primary_keys
 
 PART = "SOURCE_PART"
 HISTORIC, LATEST = "historic", "latest"
+#: Per kept row: how many rows of each part were extracted for it, and the first date of the latest ones.
+EXTRACTED = ("_EXTRACTED_HISTORIC", "_EXTRACTED_LATEST", "_EXTRACTED_FIRST")
 
 
 @dataclass(frozen=True)
@@ -28,17 +30,26 @@ def tag_part(df: DataFrame, part: str) -> DataFrame:
     return df.withColumn(PART, F.lit(part))
 
 
-def drop_repeated_keys(df: DataFrame, table: str) -> DataFrame:
-    """Newest row per primary key; unchanged if a key column is missing."""
+def drop_repeated_keys(df: DataFrame, table: str, counted: bool = False) -> DataFrame:
+    """Newest row per primary key; unchanged if a key column is missing.
+
+    ``counted`` adds what was extracted for each row, so that a batch can be
+    described where its rows are written.
+    """
     keys = [k.upper() for k in primary_keys(table)]
+    part, column = F.col(PART), pick_date_column(df.columns, table)
+    dates = temporal.try_stamp(F.col(column)) if column else F.lit(None).cast("timestamp_ntz")
+    dates = F.when(part == LATEST, dates)
     if not keys or not set(keys) <= set(df.columns):
-        return df
+        own = [(part == p).cast("long") for p in (HISTORIC, LATEST)]
+        return df.withColumns(dict(zip(EXTRACTED, [*own, dates]))) if counted else df
     # 'latest' sorts after 'historic', so at equal load time it wins.
     version = [c for c in ("LOADED_AT", PART) if c in df.columns]
-    return latest_by_key(df, keys, version)
+    also = [F.count_if(part == HISTORIC), F.count_if(part == LATEST), F.min(dates)]
+    return latest_by_key(df, keys, version, [a.alias(n) for a, n in zip(also, EXTRACTED)] if counted else [])
 
 
-def transform(df: DataFrame, table: str, batch: Batch) -> DataFrame:
+def transform(df: DataFrame, table: str, batch: Batch, counted: bool = False) -> DataFrame:
     """Flatten, audit columns, timestamps, NULLs, upper-case names, one row per key."""
     return (
         reshape.flatten_nested(df)
@@ -47,7 +58,7 @@ def transform(df: DataFrame, table: str, batch: Batch) -> DataFrame:
         .transform(reshape.missing_to_null)
         .transform(reshape.upper_names)
         .transform(reshape.require_distinct_names)
-        .transform(drop_repeated_keys, table)
+        .transform(drop_repeated_keys, table, counted)
     )
 
 
@@ -82,21 +93,34 @@ def batch_metadata(
     By default the loaded rows are counted and their first date is given. An
     initial load passes its ``extracted`` rows instead (``tagged_parts``): it
     reports them before repeated keys go, and the first date of the latest part.
+    Rows that are being written are counted on the way instead (``described``).
     """
     counted = loaded if extracted is None else extracted
     column = pick_date_column(counted.columns, table)
-    names = [c for c in loaded.columns if c != PART]
-    types = {name: kind for name, kind in loaded.dtypes if name != PART}
     part = F.col(PART)
     dates = temporal.try_stamp(F.col(column)) if column else F.lit(None).cast("timestamp_ntz")
     if extracted is not None:
         dates = F.when(part == LATEST, dates)
-    return counted.agg(
+    counts = counted.agg(
         F.count_if(part == HISTORIC).alias("historic_records"),
         F.count_if(part == LATEST).alias("latest_records"),
         F.count(F.lit(1)).alias("total_records"),
         F.min(dates).alias("min_date"),
-    ).select(
+    )
+    return _about(counts, loaded, table, batch, column)
+
+
+def described(counts: dict, loaded: DataFrame, table: str, batch: Batch, column: str | None) -> DataFrame:
+    """The same row from what ``sinks.write_counted`` counted."""
+    names = ("historic_records", "latest_records", "total_records")
+    values = [F.lit(counts[n]).cast("long").alias(n) for n in names]
+    first = F.lit(counts["min_date"]).cast("timestamp_ntz").alias("min_date")
+    return _about(loaded.sparkSession.range(1).select(*values, first), loaded, table, batch, column)
+
+
+def _about(counts: DataFrame, loaded: DataFrame, table: str, batch: Batch, column: str | None) -> DataFrame:
+    types = {name: kind for name, kind in loaded.dtypes if name not in (PART, *EXTRACTED)}
+    return counts.select(
         F.lit(table).alias("table_name"),
         F.lit(batch.batch_id).alias("batch_id"),
         temporal.moment(batch.loaded_at).alias("timestamp"),
@@ -104,7 +128,7 @@ def batch_metadata(
         "latest_records",
         "total_records",
         F.lit(column).cast("string").alias("date_column_used"),
-        F.array(*[F.lit(c) for c in names]).alias("columns"),
+        F.array(*[F.lit(c) for c in types]).alias("columns"),
         F.create_map(*[F.lit(x) for pair in types.items() for x in pair]).alias("data_types"),
         "min_date",
     )

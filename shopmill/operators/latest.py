@@ -17,6 +17,7 @@ def latest_by_key(
     df: DataFrame,
     keys: Sequence[str],
     version: Sequence[str] = ("loaded_at",),
+    also: Sequence[Column] = (),
 ) -> DataFrame:
     """One row per key: the highest ``version``, then the highest remaining values.
 
@@ -25,7 +26,8 @@ def latest_by_key(
     with a third of all rows reaches its reducer as one row per map task, where
     a ``row_number`` window would sort the whole group in one task.
 
-    Rows with a NULL key part identify nothing and are all kept.
+    Rows with a NULL key part identify nothing and are all kept. ``also`` are
+    further aggregates over all rows of a key, each added as a column.
     """
     versions = [c for c in version if c not in keys]
     rest = [c for c in df.columns if c not in keys and c not in versions]
@@ -41,8 +43,8 @@ def latest_by_key(
         group.append(ROW)
     names = [c for c in df.columns if c != ROW]
     best = F.max(F.struct(*versions, *rest)).alias("_best")
-    newest = df.groupBy(*group).agg(best)
-    return newest.select(*[c if c in keys else F.col(f"_best.{c}").alias(c) for c in names])
+    newest = df.groupBy(*group).agg(best, *also)
+    return newest.select(*[c if c in keys else F.col(f"_best.{c}").alias(c) for c in names], *newest.columns[len(group) + 1 :])
 
 
 def _all(conditions) -> Column:

@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from shopmill.operators import ingest
 from shopmill.operators.ingest import HISTORIC, LATEST, PART, Batch
 from shopmill.registry import TABLES, pick_date_column
-from shopmill.sources import sinks
+from shopmill.sources import batches, sinks
 from shopmill.sources.raw import read_raw
-from shopmill.sources.sinks import BATCH, CUT, batch_path
+from shopmill.sources.sinks import BATCH
 
 Read = Callable[[str, str], DataFrame]
 STATUS = "table_name string, status string, error string"
@@ -24,11 +24,11 @@ def load_initial(
 ) -> None:
     """Historic and latest part into the raw table; optionally CSV and metadata copies."""
     extracted = ingest.tagged_parts(read(table, HISTORIC), read(table, LATEST))
-    loaded = ingest.transform(extracted, table, batch)
-    sinks.append_batch(loaded, root, table, batch.batch_id)
+    loaded = ingest.transform(extracted, table, batch, counted=True)
+    record = sinks.append_batch(loaded, root, table, batch.batch_id)
     if copies:
-        written = spark.read.parquet(batch_path(root, table, batch.batch_id))
-        write_copies(written.drop(BATCH, CUT), copies, table, batch, extracted)
+        written = spark.read.parquet(batches.rows_path(root, table, record["folder"])).drop(BATCH)
+        write_copies(written, copies, table, batch, record, pick_date_column(extracted.columns, table))
 
 
 def load_increment(
@@ -45,8 +45,9 @@ def load_increment(
     combined = ingest.incremental_load(history, read(table, LATEST), table, batch)
     if copies:
         snapshot = f"{_copy_folder(copies, table, batch)}/rows"
-        combined.write.mode("overwrite").parquet(snapshot)
-        write_copies(spark.read.parquet(snapshot), copies, table, batch)
+        counts = sinks.write_counted(combined, table, snapshot)
+        written = spark.read.parquet(snapshot)
+        write_copies(written, copies, table, batch, counts, pick_date_column(written.columns, table))
     latest = combined.where(F.col(PART) == LATEST)
     column = pick_date_column(latest.columns, table)
     sinks.append_batch(latest, root, table, batch.batch_id, replaces_from=column)
@@ -57,12 +58,12 @@ def _copy_folder(copies: str, table: str, batch: Batch) -> str:
 
 
 def write_copies(
-    rows: DataFrame, copies: str, table: str, batch: Batch, extracted: DataFrame | None = None
+    rows: DataFrame, copies: str, table: str, batch: Batch, counts: dict, date_column: str | None
 ) -> None:
-    """CSV and metadata of already written rows."""
+    """CSV of already written rows, and metadata from what was counted while they were."""
     folder = _copy_folder(copies, table, batch)
     sinks.write_csv(rows.drop(PART), f"{folder}/csv")
-    metadata = ingest.batch_metadata(rows, table, batch, extracted)
+    metadata = ingest.described(counts, rows, table, batch, date_column)
     sinks.write_metadata(metadata, f"{folder}/metadata")
 
 

@@ -43,6 +43,11 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder, wherever it is stored."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -9,7 +9,10 @@ from shopmill.functions import temporal
 from shopmill.operators.ingest import PART
 from shopmill.operators.latest import latest_by_key
 from shopmill.registry import pick_date_column, primary_keys
-from shopmill.sources.sinks import BATCH, CUT, append_batch, raw_path
+from shopmill.sources import batches
+from shopmill.sources.sinks import BATCH, append_batch
+
+_CUTS = "_cuts"
 
 
 def read_raw(
@@ -20,40 +23,36 @@ def read_raw(
     At equal load time the latest part beats the historic one. ``newest=False``
     gives the rows of all batches as they were appended. ``before`` leaves one
     batch out, whose load is being repeated. A column that came with a later
-    batch is NULL in rows of earlier ones.
+    batch is NULL in rows of earlier ones. Only committed batches are read, in
+    one scan with the columns that the list of batches names.
     """
-    df = (
-        spark.read.option("mergeSchema", True)
-        .option("recursiveFileLookup", True)
-        .parquet(raw_path(root, table))
-    )
-    if before is not None:
-        df = df.where(F.col(BATCH) != before)
+    known = [b for b in batches.batches(spark, root, table) if b.batch_id != before]
+    if not known:
+        raise FileNotFoundError(f"no batch of {table} below {root}" + (f" but {before}" if before else ""))
+    schema = batches.columns_of(known)
+    df = spark.read.schema(schema).parquet(*(batches.rows_path(root, table, b.folder) for b in known))
     if newest:
-        df = _without_replaced(df, table)
+        df = _without_replaced(df, table, batches.cuts(spark, known, BATCH, _CUTS))
         keys = [k.upper() for k in primary_keys(table)]
         if keys and set(keys) <= set(df.columns):
             df = latest_by_key(df, keys, ["LOADED_AT", PART])
-    return df.drop(BATCH, PART, CUT)
+    return df.drop(BATCH, PART)
 
 
-def _without_replaced(df: DataFrame, table: str) -> DataFrame:
+def _without_replaced(df: DataFrame, table: str, cuts: DataFrame | None) -> DataFrame:
     """Rows that no batch loaded later replaces: it does so from a date on, and undated ones.
 
-    The cuts are one small row per batch, computed by a scalar subquery.
+    Batches of one load time never replace each other's rows.
     """
     column = pick_date_column(df.columns, table)
-    if column is None or "LOADED_AT" not in df.columns:
+    if cuts is None or column is None or "LOADED_AT" not in df.columns:
         return df
-    batches = df.where(F.col(CUT).isNotNull()).groupBy(BATCH).agg(
-        F.max("LOADED_AT").alias("at"), F.max(CUT).alias("cut")
-    )
-    cuts = batches.select(F.collect_list(F.struct("at", "cut"))).scalar()
     date = temporal.try_stamp(F.col(column))
     replaced = F.exists(
-        CUT, lambda c: (c["at"] > F.col("LOADED_AT")) & F.coalesce(date >= c["cut"], F.lit(True))
+        _CUTS, lambda c: (c["at"] > F.col("LOADED_AT")) & F.coalesce(date >= c["cut"], F.lit(True))
     )
-    return df.withColumn(CUT, cuts).where(~F.coalesce(replaced, F.lit(False)))
+    kept = df.join(cuts, BATCH, "left").where(~F.coalesce(replaced, F.lit(False)))
+    return kept.select(*df.columns)
 
 
 def compact(spark: SparkSession, root: str, table: str, new_root: str, batch_id: str) -> None:

@@ -2,26 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
 from urllib.parse import quote
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shopmill.operators.ingest import PART
-from shopmill.registry import storage_type
+from shopmill import session
+from shopmill.functions import temporal
+from shopmill.operators.ingest import EXTRACTED, HISTORIC, LATEST, PART
+from shopmill.registry import pick_date_column, storage_type
+from shopmill.sources import batches
 
 BATCH = "INGEST_BATCH"
-#: The date from which a batch replaces rows of earlier ones; NULL: from none.
-CUT = "REPLACES_FROM"
-
-
-def raw_path(root: str, table: str) -> str:
-    return f"{root.rstrip('/')}/{table}"
-
-
-def batch_path(root: str, table: str, batch_id: str) -> str:
-    return f"{raw_path(root, table)}/batch-{quote(batch_id, safe='')}"
 
 
 def append_batch(
@@ -31,28 +25,70 @@ def append_batch(
     batch_id: str,
     rows_per_file: int = 0,
     replaces_from: str | None = None,
-) -> str:
-    """Add one batch to a raw table.
-
-    A batch owns its folder and replaces it whole, so a rerun after a failure
-    leaves one copy, also where a part has become empty. ``replaces_from`` names
-    the date column from whose first value on the batch replaces all rows
-    loaded before it; it is stored with each row (``CUT``). The batch id is a
-    text column, whatever it looks like. ``rows_per_file`` bounds the files
-    where a consumer needs it (0: no bound; small files slow every later scan).
+) -> dict:
+    """Add one batch to a raw table and return its row in the list of batches.
+
+    Rows go to a new folder and count once the batch is listed, so a batch is
+    there whole or not at all. A rerun takes the place of the batch with its id, also where a
+    part has become empty. A column whose type differs from that of other batches
+    is an error before anything is written. ``replaces_from`` names the date
+    column from whose first value on the batch replaces all rows loaded before
+    it. The batch id is a text column, whatever it looks like. ``rows_per_file``
+    bounds the files where a consumer needs it (0: no bound; small files slow
+    every later scan).
+    """
+    spark = df.sparkSession
+    known = batches.batches(spark, root, table)
+    stored = df if PART in df.columns else df.withColumn(PART, F.lit(LATEST))
+    stored = stored.withColumn(BATCH, F.lit(batch_id))
+    schema = T.StructType([f for f in stored.schema.fields if f.name not in EXTRACTED])
+    batches.columns_of([b for b in known if b.batch_id != batch_id], schema)
+    folder = f"batch-{quote(batch_id, safe='')}/{uuid.uuid4().hex}"
+    counts = write_counted(
+        stored, table, batches.rows_path(root, table, folder), replaces_from, rows_per_file
+    )
+    record = {"batch_id": batch_id, "folder": folder, "columns": schema.json(), **counts}
+    batches.commit(spark, root, table, record)
+    for old in known:
+        if old.batch_id == batch_id:
+            session.remove(spark, batches.rows_path(root, table, old.folder))
+    return record
+
+
+def write_counted(
+    df: DataFrame, table: str, path: str, replaces_from: str | None = None, rows_per_file: int = 0
+) -> dict:
+    """Write rows with their part, and what was counted on the way.
+
+    The counts are taken where rows are written, in the job's last stage, whose
+    tasks count once however often they run. Rows that carry what was extracted
+    for them (``EXTRACTED``) are counted as that.
     """
-    stored = df if PART in df.columns else df.withColumn(PART, F.lit("latest"))
-    cut = F.lit(None).cast("timestamp_ntz")
-    if replaces_from is not None:
-        cut = df.select(F.min(replaces_from)).scalar()
+    counted = set(EXTRACTED) <= set(df.columns)
+    column, part = pick_date_column(df.columns, table), F.col(PART)
+    dates = temporal.try_stamp(F.col(column)) if column else F.lit(None).cast("timestamp_ntz")
+    loaded = F.col("LOADED_AT") if "LOADED_AT" in df.columns else F.lit(None).cast("timestamp_ntz")
+    cut = F.col(replaces_from).cast("timestamp_ntz") if replaces_from else F.lit(None).cast("timestamp_ntz")
+    historic, latest, first = EXTRACTED
+    seen = Observation()
     (
-        stored.withColumns({BATCH: F.lit(batch_id), CUT: cut.cast("timestamp_ntz")})
+        df.observe(
+            seen,
+            (F.sum(historic) if counted else F.count_if(part == HISTORIC)).alias("historic_records"),
+            (F.sum(latest) if counted else F.count_if(part == LATEST)).alias("latest_records"),
+            (F.sum(F.col(historic) + F.col(latest)) if counted else F.count(F.lit(1))).alias("total_records"),
+            F.min(F.col(first) if counted else dates).cast("string").alias("min_date"),
+            F.min(loaded).cast("string").alias("first_loaded"),
+            F.max(loaded).cast("string").alias("last_loaded"),
+            F.min(cut).cast("string").alias("replaces_from"),
+        )
+        .drop(*EXTRACTED)
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
         .option("maxRecordsPerFile", rows_per_file)
-        .parquet(batch_path(root, table, batch_id))
+        .parquet(path)
     )
-    return raw_path(root, table)
+    found = seen.get
+    return {k: v or 0 if k.endswith("_records") else v for k, v in found.items()}
 
 
 def write_csv(df: DataFrame, path: str, rows_per_file: int = 1_000_000) -> None:

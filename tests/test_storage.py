@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import random
 from pathlib import Path
 
 import pytest
@@ -149,6 +150,65 @@ def test_later_columns_odd_batch_ids_and_emptied_parts(spark, path):
     assert [r.EVENT_ID for r in left.collect()] == ["3"]
 
 
+def test_a_conflicting_type_is_rejected_and_the_table_stays_readable(spark, path):
+    first = ingest.transform(events(spark, ("1", "2024-01-01", "a")), "interactions", FIRST)
+    sinks.append_batch(first, path, "interactions", FIRST.batch_id)
+    odd = first.withColumn("CUSTOMER_ID", F.lit(7))
+    with pytest.raises(ValueError, match="column CUSTOMER_ID is string in batch b1, int in the new batch"):
+        sinks.append_batch(odd, path, "interactions", SECOND.batch_id)
+    assert kinds(raw.read_raw(spark, path, "interactions")) == [("1", "a")]
+    # A batch may change its own types.
+    sinks.append_batch(odd, path, "interactions", FIRST.batch_id)
+    assert raw.read_raw(spark, path, "interactions").schema["CUSTOMER_ID"].dataType.simpleString() == "int"
+
+
+def test_only_committed_batches_are_read(spark, path):
+    """Rows of an append that died before its commit are not there; a rerun keeps one copy on disk."""
+    first = ingest.transform(events(spark, ("1", "2024-01-01", "a")), "interactions", FIRST)
+    for _ in range(2):
+        record = sinks.append_batch(first, path, "interactions", FIRST.batch_id)
+    first.withColumns({"EVENT_ID": F.lit("2"), sinks.BATCH: F.lit("x")}).write.parquet(f"{path}/interactions/rows/batch-x/1")
+    assert kinds(raw.read_raw(spark, path, "interactions")) == [("1", "a")]
+    assert [p.name for p in Path(path, "interactions", "rows", "batch-b1").iterdir()] == [record["folder"].split("/")[1]]
+    assert (record["total_records"], record["first_loaded"], record["min_date"]) == (1, "2024-05-01 10:00:00", "2024-01-01 00:00:00")
+    with pytest.raises(FileNotFoundError):
+        raw.read_raw(spark, path, "interactions", before=FIRST.batch_id)
+
+
+def test_the_raw_table_is_scanned_once(spark, path):
+    for day, batch in enumerate((FIRST, SECOND, THIRD), 1):
+        rows_of = ingest.transform(events(spark, (str(day), f"2024-01-0{day}", "a")), "interactions", batch)
+        sinks.append_batch(rows_of, path, "interactions", batch.batch_id, replaces_from="EVENT_DATE")
+    plan = raw.read_raw(spark, path, "interactions")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("BroadcastHashJoin") == 1
+
+
+def test_mixed_load_times_and_many_cuts(spark, path):
+    """Against a plain version: each row goes if a batch loaded later has a cut at or before its date."""
+    rng, batches_of, wanted = random.Random(4), [], []
+    for number in range(7):
+        times = [f"2024-05-{rng.randrange(1, 9):02d} 10:00:00" for _ in range(rng.choice([1, 1, 3]))]
+        batches_of.append([(f"{number}-{i}", f"2024-01-{rng.randrange(1, 29):02d}", rng.choice(times), rng.choice([True, False])) for i in range(6)])
+    cuts_of = [rng.random() < 0.6 for _ in batches_of]
+    for number, own in enumerate(batches_of):
+        df = ingest.transform(events(spark, *((i, d if dated else None, "a") for i, d, _, dated in own)), "interactions", FIRST)
+        at = F.create_map(*[F.lit(x) for i, _, t, _ in own for x in (i, t)])[F.col("EVENT_ID")]
+        sinks.append_batch(
+            df.withColumn("LOADED_AT", at.cast("timestamp_ntz")), path, "interactions", f"n{number}",
+            replaces_from="EVENT_DATE" if cuts_of[number] else None,
+        )
+    marks = []
+    for own, cutting in zip(batches_of, cuts_of):
+        dates = [d for _, d, _, dated in own if dated]
+        if cutting and dates:
+            marks.append((max(t for *_, t, _ in own), min(dates)))
+    for own in batches_of:
+        for i, d, t, dated in own:
+            if not any(at > t and (not dated or d >= cut) for at, cut in marks):
+                wanted.append(i)
+    assert sorted(r.EVENT_ID for r in raw.read_raw(spark, path, "interactions").collect()) == sorted(wanted)
+
+
 def test_the_whole_error_is_kept(spark, path):
     def read(table, part):
         raise OSError("x" * 2000 + " the cause")
