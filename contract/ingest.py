@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -191,6 +192,23 @@ def order_address_matches(spark, folder):
     return transactions.order_address_matches(warehouse(spark, folder).staged("orders"))
 
 
+@query(
+    "order_address_members",
+    with_tables(
+        """, matches AS (
+               SELECT r.role, o.order_id, a.address_id, a.street_address
+               FROM s_orders o CROSS JOIN (VALUES ('shipping'), ('billing')) r(role)
+                    JOIN addresses a ON a.street_address =
+                        CASE r.role WHEN 'shipping' THEN o.shipping_address ELSE o.billing_address END)
+           SELECT DISTINCT street_address, role AS kind, order_id AS member_id FROM matches
+           UNION ALL SELECT DISTINCT street_address, 'address', address_id FROM matches"""
+    ),
+)
+def order_address_members(spark, folder):
+    """All matches as streets with their orders and addresses; the statement builds the pairs."""
+    return transactions.order_address_members(warehouse(spark, folder).staged("orders"))
+
+
 _CUSTOMER_TABLES = ("customers_enriched", "locations", "education_types", "marital_statuses")
 _PRODUCT_TABLES = ("products_enriched", "categories_enriched", "subcategories_enriched", "brands")
 _ORDER_TABLES = ("orders", "order_statuses", "payment_methods", "addresses")
@@ -221,6 +239,71 @@ def marts_over_written_order_details(spark, folder):
     return _over_written(spark, folder, "fct_order_details", names)
 
 
+def _layers(*names: str) -> list[str]:
+    """Names of databases that no other call uses."""
+    return [f"{name}_{uuid.uuid4().hex}" for name in names]
+
+
+@query("layers_as_tables_sales_by_region", table("fct_sales_by_region"))
+def layers_as_tables_sales_by_region(spark, folder):
+    """Normalized tables in one database, the mart over them in another, read through a view."""
+    w, (normalized, marts) = warehouse(spark, folder), _layers("normalized", "marts")
+    tables.create_layers(spark, _fresh(spark, "layers"), (normalized, marts))
+    tables.refresh(w.table, normalized, ("orders", *_CUSTOMER_TABLES))
+    built = tables.marts_over_tables(lambda name: spark.table(f"`{normalized}`.`{name}`"), shop.AS_OF)
+    for _ in range(2):  # a refresh replaces the table
+        tables.write_table(built["fct_sales_by_region"](), marts, "fct_sales_by_region")
+    tables.write_view(spark.table(f"`{marts}`.fct_sales_by_region"), f"view_of_{marts}")
+    return spark.table(f"view_of_{marts}")
+
+
+@query(
+    "load_created_table_orders",
+    with_tables(
+        "SELECT * REPLACE ('batch-2' AS batch_id, timestamp '2001-08-02' AS loaded_at)"
+        f" FROM s_orders WHERE order_date >= date '{LATEST_FROM}'"
+        f" UNION ALL SELECT * FROM s_orders WHERE order_date < date '{LATEST_FROM}'"
+    ),
+)
+def load_created_table_orders(spark, folder):
+    """A table created by its first load and extended by a second one, which runs twice."""
+    (database,) = _layers("raw")
+    tables.create_layers(spark, _fresh(spark, "layers"), [database])
+    for batch, part in ((FIRST, HISTORIC), (SECOND, LATEST), (SECOND, LATEST)):
+        read = lambda name, _, part=part: _orders_of(spark, folder, part)
+        loads.load_into_table(spark, read, "orders", database, batch)
+    return stage(loads.read_loaded(spark, "orders", database), "orders")
+
+
+@query(
+    "load_status_one_failing",
+    with_tables(
+        """SELECT 'orders' AS table_name, 'loaded' AS status, CAST(NULL AS varchar) AS error, count(*) AS n_rows FROM s_orders
+           UNION ALL SELECT 'reviews', 'failed', 'OSError: no reviews today', 0
+           UNION ALL SELECT 'customers', 'loaded', NULL, count(*) FROM s_customers"""
+    ),
+)
+def load_status_one_failing(spark, folder):
+    """A run in which one source is down: the other tables are there."""
+    root = _fresh(spark, "load_status_one_failing")
+
+    def read(name, part):
+        if name == "reviews":
+            raise OSError("no reviews today")
+        return _landed(spark, folder, name).where(F.lit(part == LATEST))
+
+    names = ("orders", "reviews", "customers")
+    status = loads.run_loads(spark, loads.load_initial, read, root, FIRST, names)
+    there = [r.table_name for r in status.where("status = 'loaded'").collect()]
+    counts = [
+        raw.read_raw(spark, root, name).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("own"), "n_rows")
+        for name in there
+    ]
+    known = reduce(DataFrame.unionByName, counts)
+    found = status.join(known, F.col("table_name") == F.col("own"), "left").drop("own")
+    return found.withColumn("n_rows", F.coalesce("n_rows", F.lit(0).cast("long")))
+
+
 @query("staged_newest_orders", with_tables("SELECT * FROM s_orders"))
 def staged_newest_orders(spark, folder):
     """Staging a raw table with repeated keys, older rows among them."""
@@ -542,6 +625,20 @@ def metadata_initial_orders(spark, folder):
     return _flat_metadata(ingest.batch_metadata(loaded, "orders", FIRST, extracted))
 
 
+@query("metadata_written_orders", STATEMENTS["metadata_initial_orders"])
+def metadata_written_orders(spark, folder):
+    """The description that a written load leaves, counted while its rows were written."""
+    root = _fresh(spark, "metadata_written_orders")
+    read = lambda name, part: _orders_of(spark, folder, part)
+    loads.load_initial(spark, read, "orders", f"{root}/raw", FIRST, f"{root}/copies")
+    about = spark.read.schema(
+        "table_name string, batch_id string, timestamp timestamp_ntz, historic_records long, latest_records long,"
+        " total_records long, date_column_used string, columns array<string>, data_types map<string, string>,"
+        " min_date timestamp_ntz"
+    )
+    return _flat_metadata(about.json(f"{root}/copies/orders/{FIRST.batch_id}/metadata"))
+
+
 @query(
     "metadata_incremental_orders",
     _metadata_statement(

@@ -8,7 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopmill.operators import ingest
+from shopmill.operators import ingest, reshape
 from shopmill.operators.ingest import HISTORIC, LATEST, PART, Batch
 from shopmill.registry import TABLES, pick_date_column
 from shopmill.sources import batches, sinks
@@ -53,6 +53,26 @@ def load_increment(
     sinks.append_batch(latest, root, table, batch.batch_id, replaces_from=column)
 
 
+def load_into_table(
+    spark: SparkSession, read: Read, table: str, database: str, batch: Batch
+) -> None:
+    """The latest part appended to a table of a catalog, which is created at the first load.
+
+    The table's columns follow the first batch. Timestamps and dates go through
+    the text form that a warehouse loader takes. A batch that is loaded again is
+    appended again: readers take the newest row per key (``read_loaded``).
+    """
+    rows = ingest.transform(ingest.tag_part(read(table, LATEST), LATEST), table, batch).drop(PART)
+    name = f"`{database}`.`{table}`"
+    sinks.create_table(rows, name)
+    sinks.append_rows(reshape.normalize_temporals(rows, spark.table(name).schema), name)
+
+
+def read_loaded(spark: SparkSession, table: str, database: str) -> DataFrame:
+    """The newest row per key of a table that ``load_into_table`` filled."""
+    return ingest.drop_repeated_keys(spark.table(f"`{database}`.`{table}`"), table)
+
+
 def _copy_folder(copies: str, table: str, batch: Batch) -> str:
     return f"{copies.rstrip('/')}/{table}/{batch.batch_id}"
 

@@ -166,6 +166,28 @@ def order_address_matches(stg_orders: DataFrame) -> DataFrame:
     )
 
 
+def order_address_members(stg_orders: DataFrame) -> DataFrame:
+    """Every match of an order's address with known addresses, as classes and their members.
+
+    A class is a street; its members are the orders that name it, per role, and
+    the addresses on it: ``street_address, kind (shipping, billing, address),
+    member_id``. All matches are the pairs of an order and an address of one class; a
+    street with n orders and m addresses has n + m rows here instead of n times m.
+    Streets that only one side has are left out.
+    """
+    asked = asked_streets(stg_orders)
+    known = parsed_addresses(stg_orders).select("street_address", "address_id")
+    named = asked.groupBy("street_address").agg(F.lit(True).alias("named"))
+    there = known.groupBy("street_address").agg(F.lit(True).alias("there"))
+    orders_of = with_street(asked, there).select(
+        "street_address", F.col("role").alias("kind"), F.col("order_id").alias("member_id")
+    )
+    addresses_of = with_street(known, named).select(
+        "street_address", F.lit("address").alias("kind"), F.col("address_id").alias("member_id")
+    )
+    return orders_of.unionByName(addresses_of)
+
+
 def newest_scores(stg_reviews: DataFrame) -> DataFrame:
     """Score of the newest rated review per order and product; ties: highest review id.
 
