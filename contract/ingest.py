@@ -20,7 +20,7 @@ from shopmill.plans.staging import stage
 from shopmill.plans.warehouse import Warehouse
 from shopmill.registry import landing_schema, staged_schema
 from shopmill.sources import files, raw, shop, sinks
-from shopmill.streaming.ingest import stream_into_raw
+from shopmill.streaming.ingest import read_streamed, stream_into_raw, stream_into_table
 
 QUERIES: dict[str, Query] = {}
 STATEMENTS: dict[str, str] = {}
@@ -741,13 +741,13 @@ def upsert_table_customer_activity(spark, folder):
     return tables.read_upserted(spark, path)
 
 
-@query(
-    "stream_interactions",
-    with_tables(
-        "SELECT * REPLACE ('stream' AS batch_id, CASE WHEN event_date >= timestamp '2024-01-03'"
-        " THEN 'late' ELSE 'early' END AS device_type) FROM s_interactions"
-    ),
+_STREAMED = with_tables(
+    "SELECT * REPLACE ('stream' AS batch_id, CASE WHEN event_date >= timestamp '2024-01-03'"
+    " THEN 'late' ELSE 'early' END AS device_type) FROM s_interactions"
 )
+
+
+@query("stream_interactions", _STREAMED)
 def stream_interactions(spark, folder):
     """Two deliveries through the file stream; the second corrects later events."""
     root = _fresh(spark, "stream_interactions")
@@ -773,6 +773,27 @@ def stream_interactions(spark, folder):
     )
 
 
+@query("stream_table_interactions", _STREAMED)
+def stream_table_interactions(spark, folder):
+    """Two deliveries into a table with one row per key; the second corrects later events."""
+    root = _fresh(spark, "stream_table_interactions")
+    events = _landed(spark, folder, "interactions")
+    late = events.where(F.col("event_date") >= "2024-01-03").withColumn("device_type", F.lit("late"))
+    for rows in (events.withColumn("device_type", F.lit("early")), late):
+        rows.write.mode("append").json(f"{root}/landing")
+        stream_into_table(
+            spark,
+            f"{root}/landing",
+            f"{root}/table",
+            "interactions",
+            f"{root}/checkpoint",
+            buckets=16,
+        ).awaitTermination()
+    return stage(read_streamed(spark, f"{root}/table"), "interactions").withColumns(
+        {"batch_id": F.lit("stream"), "loaded_at": temporal.moment(shop.LOADED_AT)}
+    )
+
+
 # --- checks -------------------------------------------------------------------------------
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -39,7 +41,19 @@ def newer_than(df: DataFrame, target: DataFrame, column: str) -> DataFrame:
     return df.where(F.col(column) > mark)
 
 
-def upsert(existing: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """``new`` replaces the rows of equal key; all other rows stay."""
+def upsert(
+    existing: DataFrame, new: DataFrame, keys: list[str], again: Column | None = None
+) -> DataFrame:
+    """``new`` replaces the rows of equal key; all other rows stay.
+
+    Rows without key equal no other row. ``again`` says which of those that exist
+    came with an earlier attempt at ``new`` and go.
+    """
     kept = existing.join(new.select(*keys), keys, "left_anti")
+    if again is not None:
+        kept = kept.where(has_key(keys) | ~F.coalesce(again, F.lit(False)))
     return kept.unionByName(new)
+
+
+def has_key(keys: list[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])

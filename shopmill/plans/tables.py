@@ -7,11 +7,11 @@ from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopmill import session
-from shopmill.operators.combine import upsert
+from shopmill.operators.combine import has_key, upsert
 from shopmill.plans import dimensions, facts, named
 
 LAYERS = ("raw", "staging", "normalized", "marts")
@@ -86,12 +86,21 @@ def refresh_customer_activity(
 
 
 def upsert_path(
-    new: DataFrame, path: str, keys: list[str], partition: str | None = None, buckets: int = 256
+    new: DataFrame,
+    path: str,
+    keys: list[str],
+    partition: str | None = None,
+    buckets: int = 256,
+    spread: Iterable[str] = (),
+    again: Column | None = None,
 ) -> None:
     """Replace the rows of equal key in a parquet table, rewriting touched partitions only.
 
     ``partition`` must be a key column, so that a key never moves between
-    partitions. Without one, rows are spread over hash buckets of the key.
+    partitions. Without one, rows are spread over hash buckets of the key; keep their
+    number the same for one table. ``spread`` are the columns by which rows without key are
+    dealt to buckets instead (all of them to one otherwise), and ``again`` tells which of
+    those came with an earlier attempt at the same rows.
 
     The merged partitions are first written to the shared folder and then
     replace the old ones from there, partition by partition. A run that dies
@@ -102,7 +111,10 @@ def upsert_path(
     if partition is not None and partition not in keys:
         raise ValueError(f"{partition} is not part of the key {keys}")
     spark, by = new.sparkSession, partition or BUCKET
-    rows = new if partition else new.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)))
+    dealt = F.xxhash64(*keys)
+    if spread:
+        dealt = F.when(has_key(keys), dealt).otherwise(F.xxhash64(*spread))
+    rows = new if partition else new.withColumn(BUCKET, F.pmod(dealt, F.lit(buckets)))
 
     scratch = session.work_path(spark, "upsert", uuid.uuid4().hex)
     rows.write.partitionBy(by).parquet(f"{scratch}/new")
@@ -111,7 +123,7 @@ def upsert_path(
     existing = _read_if_present(spark, path, rows)
     if existing is not None:
         touched = existing.join(rows.select(by).distinct(), by, "left_semi")
-        upsert(touched, rows, keys).write.partitionBy(by).parquet(f"{scratch}/merged")
+        upsert(touched, rows, keys, again).write.partitionBy(by).parquet(f"{scratch}/merged")
         rows = spark.read.schema(rows.schema).parquet(f"{scratch}/merged")
     (
         rows.write.mode("overwrite")

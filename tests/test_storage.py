@@ -16,7 +16,8 @@ from shopmill.plans import loads, tables
 from shopmill.plans.staging import stage
 from shopmill.registry import landing_schema, staged_schema
 from shopmill.sources import database, files, raw, sinks
-from shopmill.streaming.ingest import stream_into_raw
+from shopmill.streaming import ingest as stream
+from shopmill.streaming.ingest import read_streamed, stream_into_raw, stream_into_table
 
 FIRST = Batch("b1", "2024-05-01 10:00:00")
 SECOND = Batch("b2", "2024-05-02 10:00:00")
@@ -302,6 +303,53 @@ def test_stream_equals_batch_and_restarts(spark, path):
     assert rows(streamed.select(same)) == rows(batched.select(same))
 
 
+def test_stream_table_holds_one_row_per_key(spark, path, monkeypatch):
+    """Corrections replace, a replay after a crash changes nothing, rows without key stay once each."""
+    deliveries = [
+        [("a", "2024-01-01", "view"), ("b", "2024-01-01", "view"), (None, "2024-01-01", "lost")],
+        [("b", "2024-01-02", "purchase"), ("c", "2024-01-02", "view"), (None, "2024-01-01", "lost")],
+        [("a", "2024-01-03", "cart_add"), ("a", "2024-01-03", "cart_add"), (None, "2024-01-03", "lost")],
+    ]
+    clock = iter(range(60))
+
+    def run():
+        stream_into_table(
+            spark, f"{path}/in", f"{path}/t", "interactions", f"{path}/ck", 1,
+            lambda n: f"2024-05-01 10:00:{next(clock):02d}", 8,
+        ).awaitTermination()
+
+    def found():
+        return kinds(read_streamed(spark, f"{path}/t"))
+
+    wanted, unkeyed = {}, []
+    for number, data in enumerate(deliveries):
+        events(spark, *data).coalesce(1).write.mode("append").json(f"{path}/in")
+        if number == 1:
+            # Dies when the table is written and the micro-batch is not yet committed.
+            with monkeypatch.context() as patch:
+                patch.setattr(stream, "upsert_path", lambda *a, **k: [tables.upsert_path(*a, **k), 1 / 0])
+                with pytest.raises(Exception, match="division by zero"):
+                    run()
+        run()
+        wanted |= {k: kind for k, _, kind in data if k}
+        unkeyed += [(None, kind) for k, _, kind in data if k is None]
+        assert found() == sorted([*wanted.items(), *unkeyed], key=repr)
+    done = found()
+    for commit in Path(path, "ck", "commits").glob("*2*"):
+        commit.unlink()
+    run()
+    assert found() == done
+    ids = {r.BATCH_ID.rsplit("-", 1)[0] for r in read_streamed(spark, f"{path}/t").collect()}
+    assert len(ids) == 1 and "None" not in ids
+
+    # A new checkpoint is another stream: its rows without key are not taken for a replay.
+    events(spark, (None, "2024-01-01", "lost"), ("d", "2024-01-01", "view")).write.json(f"{path}/in2")
+    stream_into_table(spark, f"{path}/in2", f"{path}/t", "interactions", f"{path}/ck2", 9, buckets=8).awaitTermination()
+    assert found() == sorted([*done, (None, "lost"), ("d", "view")], key=repr)
+    with pytest.raises(ValueError, match="no key"):
+        stream_into_table(spark, f"{path}/in", f"{path}/u", "unknown", f"{path}/ck3")
+
+
 # --- staging and tables -------------------------------------------------------------------
 
 
