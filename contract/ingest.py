@@ -664,6 +664,26 @@ def newer_than_orders(spark, folder):
     return combine.newer_than(orders, orders.where(f"o_orderdate < '{LATEST_FROM}'"), "o_orderdate")
 
 
+@query(
+    "newer_than_written_customer_orders",
+    with_tables(
+        "SELECT * FROM fct_customer_orders WHERE order_date >"
+        f" (SELECT max(order_date) FROM s_orders WHERE order_date < date '{LATEST_FROM}')"
+    ),
+)
+def newer_than_written_customer_orders(spark, folder):
+    """An incremental run over tables that are sorted by the date that its mark is on."""
+    w, (normalized, marts) = warehouse(spark, folder), _layers("normalized", "marts")
+    tables.create_layers(spark, _fresh(spark, "layers"), (normalized, marts))
+    names = ("orders", "order_items", "reviews_enriched")
+    tables.refresh(w.table, normalized, names, by_mark=True)
+    orders, lines, reviews = (spark.table(f"`{normalized}`.`{n}`") for n in names)
+    held = facts.fct_customer_orders(orders.where(f"order_date < '{LATEST_FROM}'"), lines, reviews)
+    tables.write_table(held, marts, "fct_customer_orders", sorted_by="order_date")
+    held = spark.table(f"`{marts}`.fct_customer_orders")
+    return facts.new_customer_orders(orders, lines, reviews, held)
+
+
 @query(
     "newer_than_customer_orders",
     with_tables(

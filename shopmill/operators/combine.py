@@ -29,16 +29,26 @@ def replace_overlap(historic: DataFrame, latest: DataFrame, date_column: str) ->
     return union_parts(outside_overlap(historic, latest, date_column), latest)
 
 
+#: The day of the column by which a written table is sorted (``plans.tables.write_table``).
+MARK_DAY = "_mark_day"
+
+
 def newer_than(df: DataFrame, target: DataFrame, column: str) -> DataFrame:
     """Dated rows past the target's high-water mark; all of them if it is empty.
 
-    The bare comparison with a scalar subquery is pushed into the scan, so
-    files and row groups that are already loaded are skipped.
+    The bare comparison with a scalar subquery is pushed into the scan. Parquet row
+    groups are skipped by it where ``column`` is a date; Spark does not compare timestamps with
+    their minima and maxima. So where the frame has a ``MARK_DAY``, that is compared as well.
     """
     # Fixed value: an earlier day than any date of a shop.
     never = F.lit("0001-01-01").cast(df.schema[column].dataType)
-    mark = target.select(F.coalesce(F.max(column), never)).scalar()
-    return df.where(F.col(column) > mark)
+    mark = F.coalesce(F.max(column), never)
+    if MARK_DAY in df.columns:
+        # The filter takes no dated row away. Without it Spark would compute both marks in one
+        # subquery, and compare parts of its result only after the scan.
+        day = target.where(F.col(column) >= never).select(mark.cast("date")).scalar()
+        df = df.where(F.col(MARK_DAY) >= day).drop(MARK_DAY)
+    return df.where(F.col(column) > target.select(mark).scalar())
 
 
 def upsert(

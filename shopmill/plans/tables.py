@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopmill import session
-from shopmill.operators.combine import has_key, upsert
+from shopmill.operators.combine import MARK_DAY, has_key, upsert
 from shopmill.plans import dimensions, facts, named
 
 LAYERS = ("raw", "staging", "normalized", "marts")
@@ -39,14 +39,40 @@ CLUSTER_KEYS = {
 }
 
 
+# The column whose high-water mark an incremental run of what is built on a table starts from.
+MARK_COLUMNS = {
+    "orders": "order_date",
+    "fct_customer_orders": "order_date",
+    "customer_interactions": "event_date",
+    "reviews_enriched": "created_at",
+}
+
+
 def write_table(
-    df: DataFrame, layer: str, name: str, key: str | None = None, buckets: int = 0
+    df: DataFrame,
+    layer: str,
+    name: str,
+    key: str | None = None,
+    buckets: int = 0,
+    sorted_by: str | None = None,
 ) -> None:
-    """Full refresh, on request bucketed by a key with one file per bucket."""
+    """Full refresh, on request bucketed by a key with one file per bucket, or sorted by a column.
+
+    The files of a sorted table hold ranges of the column, so that the minima and maxima of
+    their row groups tell a reader who asks for rows past a mark which ones to skip. These work for
+    dates and not for timestamps, so the table gets a column ``MARK_DAY``, which ``newer_than`` compares
+    and leaves out. A hash of the row parts a value that many rows share.
+    """
+    if sorted_by and buckets:
+        raise ValueError("a table is either bucketed or sorted")
     writer = df.write
     if key and buckets:
         # one task per bucket, so that a bucket is one file
         writer = df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
+    elif sorted_by:
+        ranged = df.repartitionByRange(sorted_by, F.xxhash64(*df.columns))
+        ranged = ranged.sortWithinPartitions(sorted_by)
+        writer = ranged.withColumn(MARK_DAY, F.col(sorted_by).cast("date")).write
     writer.mode("overwrite").format("parquet").saveAsTable(f"`{layer}`.`{name}`")
 
 
@@ -56,18 +82,21 @@ def refresh(
     names: Iterable[str],
     buckets: int = 0,
     parallel: int = 4,
+    by_mark: bool = False,
 ) -> None:
     """Write the named tables of a layer, ``parallel`` at a time.
 
     They must not be built on each other. ``buckets`` buckets the large tables
     by their join key. All of them must use the same number; aim at some hundred
     MB per bucket. Leave it out if a single key holds a large share of a table:
-    its bucket would be one task.
+    its bucket would be one task. ``by_mark`` sorts them by ``MARK_COLUMNS`` instead, for
+    incremental runs that read what is past a mark (``combine.newer_than``).
     """
     frames = {name: build(name) for name in names}
 
     def write(name: str) -> None:
-        write_table(frames[name], layer, name, CLUSTER_KEYS.get(name), buckets)
+        mark = MARK_COLUMNS.get(name) if by_mark else None
+        write_table(frames[name], layer, name, CLUSTER_KEYS.get(name), buckets, mark)
 
     with ThreadPoolExecutor(parallel) as pool:
         list(pool.map(write, frames))

@@ -10,7 +10,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from shopmill import session
-from shopmill.operators import ingest
+from shopmill.operators import combine, ingest
 from shopmill.operators.ingest import HISTORIC, LATEST, Batch
 from shopmill.plans import loads, tables
 from shopmill.plans.staging import stage
@@ -422,3 +422,47 @@ def test_layers_tables_and_views(spark, path):
 def test_shared_folder_comes_from_the_session(spark):
     assert session.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     assert session.work_path(spark, "x").startswith(session.shared_folder(spark))
+
+
+def scanned(df):
+    """Rows that a frame's result takes, and rows that its scans hand on."""
+    count = len(df.collect())
+    plan, found = df._jdf.queryExecution().executedPlan(), 0
+    while (kind := plan.getClass().getSimpleName()) in ("AdaptiveSparkPlanExec", "ResultQueryStageExec"):
+        plan = plan.executedPlan() if kind.startswith("Adaptive") else plan.plan()
+    leaves = plan.collectLeaves()
+    for i in range(leaves.size()):
+        found += leaves.apply(i).metrics().apply("numOutputRows").value()
+    return count, found
+
+
+def test_rows_past_a_mark_are_found_by_ranges(spark, path):
+    """Of a table sorted by date only the files past the mark give rows; a hot day is parted."""
+    tables.create_layers(spark, path, ["mark_test"])
+    day = F.when(F.col("id") % 3 == 0, 50).otherwise(F.col("id") % 100).cast("int")
+    orders = spark.range(0, 40_000, 1, 8).select(
+        F.col("id").alias("order_id"), F.date_add(F.lit("2024-01-01"), day).cast("timestamp_ntz").alias("order_date")
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        tables.refresh(lambda _: orders, "mark_test", ["orders"], by_mark=True)
+        orders.write.parquet(f"{path}/plain")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    table, plain = spark.table("mark_test.orders"), spark.read.parquet(f"{path}/plain")
+    held = plain.where("order_date <= '2024-03-21'")
+    assert rows(table.drop(combine.MARK_DAY)) == rows(orders)
+    files = table.groupBy(F.input_file_name().alias("f")).agg(F.min("order_date").alias("lo"), F.max("order_date").alias("hi"), F.count("*").alias("n"))
+    files = files.collect()
+    hot = [f for f in files if f.lo == f.hi == dt.datetime(2024, 2, 20)]
+    assert len(files) == 16 and len(hot) >= 4 and max(f.n for f in files) < 5000
+    wanted = orders.where("order_date > '2024-03-21'").count()
+    past = sum(f.n for f in files if f.hi >= dt.datetime(2024, 3, 21))
+    assert scanned(combine.newer_than(table, held, "order_date")) == (wanted, past) and past < 10_000
+    assert scanned(combine.newer_than(plain, held, "order_date")) == (wanted, 40_000)
+    assert scanned(combine.newer_than(table, held.where("false"), "order_date")) == (40_000, 40_000)
+    assert combine.newer_than(table, held, "order_date").columns == orders.columns
+    with pytest.raises(ValueError, match="either"):
+        tables.write_table(orders, "mark_test", "orders", "order_id", 4, "order_date")
