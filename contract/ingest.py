@@ -384,6 +384,23 @@ def parse_temporals(spark, folder):
     return reshape.parse_temporals(_texts(spark, folder))
 
 
+@query(
+    "load_unknown_table",
+    with_tables(
+        "SELECT customer_id, signup_date, last_login AS login_time, last_login AS login_text FROM raw_customers"
+    ),
+)
+def load_unknown_table(spark, folder):
+    """Two loads of a table that the registry does not know; its dates are found while it is written."""
+    root, texts = _fresh(spark, "load_unknown_table"), _texts(spark, folder).drop("loaded_at")
+    early = F.coalesce(F.col("signup_date") < "2000-01-01", F.lit(False))
+    first = {HISTORIC: texts.where(early), LATEST: texts.where("false")}
+    loads.load_initial(spark, lambda _, part: first[part], "visitors", root, FIRST)
+    loads.load_increment(spark, lambda *_: texts.where(~early), "visitors", root, SECOND)
+    found = raw.read_raw(spark, root, "visitors")
+    return found.select(*[F.col(c.upper()).alias(c) for c in texts.columns])
+
+
 @query(
     "missing_to_null",
     """SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_extendedprice,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -49,12 +50,21 @@ def drop_repeated_keys(df: DataFrame, table: str, counted: bool = False) -> Data
     return latest_by_key(df, keys, version, [a.alias(n) for a, n in zip(also, EXTRACTED)] if counted else [])
 
 
-def transform(df: DataFrame, table: str, batch: Batch, counted: bool = False) -> DataFrame:
-    """Flatten, audit columns, timestamps, NULLs, upper-case names, one row per key."""
+def transform(
+    df: DataFrame,
+    table: str,
+    batch: Batch,
+    counted: bool = False,
+    verdict: Mapping[str, bool] | None = None,
+) -> DataFrame:
+    """Flatten, audit columns, timestamps, NULLs, upper-case names, one row per key.
+
+    ``verdict`` says which text columns of an unknown table are timestamps (``reshape.parse_temporals``).
+    """
     return (
         reshape.flatten_nested(df)
         .transform(reshape.with_audit, batch.batch_id, batch.loaded_at, batch.data_source)
-        .transform(reshape.parse_temporals, table)
+        .transform(reshape.parse_temporals, table, verdict)
         .transform(reshape.missing_to_null)
         .transform(reshape.upper_names)
         .transform(reshape.require_distinct_names)
@@ -72,11 +82,15 @@ def initial_load(historic: DataFrame, latest: DataFrame, table: str, batch: Batc
 
 
 def incremental_load(
-    historic: DataFrame, latest: DataFrame, table: str, batch: Batch
+    historic: DataFrame,
+    latest: DataFrame,
+    table: str,
+    batch: Batch,
+    verdict: Mapping[str, bool] | None = None,
 ) -> DataFrame:
     """Daily load: each part transformed, the overlap replaced by the latest part."""
-    old = transform(tag_part(historic, HISTORIC), table, batch)
-    new = transform(tag_part(latest, LATEST), table, batch)
+    old = transform(tag_part(historic, HISTORIC), table, batch, verdict=verdict)
+    new = transform(tag_part(latest, LATEST), table, batch, verdict=verdict)
     column = pick_date_column(new.columns, table)
     if column is not None:
         old, new = (reshape.coerce_stamps(side, [column]) for side in (old, new))

@@ -69,15 +69,14 @@ def temporal_candidates(columns: Iterable[str]) -> list[str]:
 
 def temporal_probe(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """One row, one boolean per column: does every non-NULL value parse?"""
-    return df.agg(
-        *[
-            F.coalesce(
-                F.bool_and(temporal.try_stamp(F.col(c)).isNotNull() | F.col(c).isNull()),
-                F.lit(True),
-            ).alias(c)
-            for c in columns
-        ]
-    )
+    columns = list(columns)
+    return df.agg(*[found.alias(c) for c, found in zip(columns, all_stamps(columns))])
+
+
+def all_stamps(columns: Iterable[str]) -> list[Column]:
+    """The aggregates of ``temporal_probe``; those of parts of a table are combined by AND."""
+    stamps = [temporal.try_stamp(F.col(c)).isNotNull() | F.col(c).isNull() for c in columns]
+    return [F.coalesce(F.bool_and(stamp), F.lit(True)) for stamp in stamps]
 
 
 def parse_temporals(

@@ -22,9 +22,13 @@ STATUS = "table_name string, status string, error string"
 def load_initial(
     spark: SparkSession, read: Read, table: str, root: str, batch: Batch, copies: str | None = None
 ) -> None:
-    """Historic and latest part into the raw table; optionally CSV and metadata copies."""
+    """Historic and latest part into the raw table; optionally CSV and metadata copies.
+
+    Nothing is computed before the batch is written: which columns of an unknown
+    table are dates is found on the way, and applied by readers.
+    """
     extracted = ingest.tagged_parts(read(table, HISTORIC), read(table, LATEST))
-    loaded = ingest.transform(extracted, table, batch, counted=True)
+    loaded = ingest.transform(extracted, table, batch, counted=True, verdict={})
     record = sinks.append_batch(loaded, root, table, batch.batch_id)
     if copies:
         written = spark.read.parquet(batches.rows_path(root, table, record["folder"])).drop(BATCH)
@@ -41,8 +45,8 @@ def load_increment(
     optional copy is the whole combined table and gets a new folder per batch,
     because the history it is made of must stay readable while it is written.
     """
-    history = read_raw(spark, root, table, before=batch.batch_id)
-    combined = ingest.incremental_load(history, read(table, LATEST), table, batch)
+    history = read_raw(spark, root, table, before=batch.batch_id, typed=False)
+    combined = ingest.incremental_load(history, read(table, LATEST), table, batch, verdict={})
     if copies:
         snapshot = f"{_copy_folder(copies, table, batch)}/rows"
         counts = sinks.write_counted(combined, table, snapshot)

@@ -22,7 +22,8 @@ from shopmill import session
 # Times are text as Spark writes them, so that no time is beyond the driver's types.
 RECORD = (
     "batch_id string, folder string, columns string, first_loaded string, last_loaded string,"
-    " replaces_from string, historic_records long, latest_records long, total_records long, min_date string"
+    " replaces_from string, historic_records long, latest_records long, total_records long, min_date string,"
+    " temporals string"
 )
 FIELDS = [f.split()[0] for f in RECORD.split(",")]
 
@@ -66,6 +67,15 @@ def columns_of(known: list[Row], new: T.StructType | None = None) -> T.StructTyp
     return T.StructType([field for field, _ in fields.values()])
 
 
+def temporals(known: list[Row]) -> dict[str, bool]:
+    """Which text columns of an unknown table hold timestamps alone, in every batch that has them."""
+    found: dict[str, bool] = {}
+    for batch in known:
+        for name, holds in json.loads(batch.temporals or "{}").items():
+            found[name] = found.get(name, True) and holds
+    return found
+
+
 def cuts(spark: SparkSession, known: list[Row], key: str, name: str) -> DataFrame | None:
     """Per batch id the cuts of batches that were loaded after its first row; None without any.
 

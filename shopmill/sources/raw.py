@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopmill.functions import temporal
+from shopmill.operators import reshape
 from shopmill.operators.ingest import PART
 from shopmill.operators.latest import latest_by_key
 from shopmill.registry import pick_date_column, primary_keys
@@ -16,7 +17,12 @@ _CUTS = "_cuts"
 
 
 def read_raw(
-    spark: SparkSession, root: str, table: str, newest: bool = True, before: str | None = None
+    spark: SparkSession,
+    root: str,
+    table: str,
+    newest: bool = True,
+    before: str | None = None,
+    typed: bool = True,
 ) -> DataFrame:
     """The current rows: without what later batches replaced, one per key, the newest load first.
 
@@ -24,7 +30,9 @@ def read_raw(
     gives the rows of all batches as they were appended. ``before`` leaves one
     batch out, whose load is being repeated. A column that came with a later
     batch is NULL in rows of earlier ones. Only committed batches are read, in
-    one scan with the columns that the list of batches names.
+    one scan with the columns that the list of batches names. Text columns of an unknown
+    table that the list says are timestamps in every batch are returned as such; ``typed=False``
+    leaves them text, as they are stored.
     """
     known = [b for b in batches.batches(spark, root, table) if b.batch_id != before]
     if not known:
@@ -36,7 +44,8 @@ def read_raw(
         keys = [k.upper() for k in primary_keys(table)]
         if keys and set(keys) <= set(df.columns):
             df = latest_by_key(df, keys, ["LOADED_AT", PART])
-    return df.drop(BATCH, PART)
+    stamps = batches.temporals(known) if typed else {}
+    return reshape.parse_temporals(df, verdict=stamps).drop(BATCH, PART)
 
 
 def _without_replaced(df: DataFrame, table: str, cuts: DataFrame | None) -> DataFrame:
@@ -60,4 +69,4 @@ def compact(spark: SparkSession, root: str, table: str, new_root: str, batch_id:
 
     Rows keep their load time, so batches appended later still supersede them.
     """
-    append_batch(read_raw(spark, root, table), new_root, table, batch_id)
+    append_batch(read_raw(spark, root, table, typed=False), new_root, table, batch_id)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import uuid
+from collections.abc import Sequence
 from urllib.parse import quote
 
 from pyspark.sql import DataFrame, Observation
@@ -11,8 +13,9 @@ from pyspark.sql import types as T
 
 from shopmill import session
 from shopmill.functions import temporal
+from shopmill.operators import reshape
 from shopmill.operators.ingest import EXTRACTED, HISTORIC, LATEST, PART
-from shopmill.registry import pick_date_column, storage_type
+from shopmill.registry import BUSINESS_COLUMNS, base_name, pick_date_column, storage_type
 from shopmill.sources import batches
 
 BATCH = "INGEST_BATCH"
@@ -35,17 +38,21 @@ def append_batch(
     column from whose first value on the batch replaces all rows loaded before
     it. The batch id is a text column, whatever it looks like. ``rows_per_file``
     bounds the files where a consumer needs it (0: no bound; small files slow
-    every later scan).
+    every later scan). Of a table that the registry does not know, columns named
+    like dates are kept as text; whether all their values are timestamps is found while the batch is
+    written and goes to the list, from which readers type them.
     """
     spark = df.sparkSession
     known = batches.batches(spark, root, table)
     stored = df if PART in df.columns else df.withColumn(PART, F.lit(LATEST))
     stored = stored.withColumn(BATCH, F.lit(batch_id))
+    probed = undeclared_temporals(stored, table)
+    stored = stored.withColumns({c: F.col(c).cast("string") for c in probed}) if probed else stored
     schema = T.StructType([f for f in stored.schema.fields if f.name not in EXTRACTED])
     batches.columns_of([b for b in known if b.batch_id != batch_id], schema)
     folder = f"batch-{quote(batch_id, safe='')}/{uuid.uuid4().hex}"
     counts = write_counted(
-        stored, table, batches.rows_path(root, table, folder), replaces_from, rows_per_file
+        stored, table, batches.rows_path(root, table, folder), replaces_from, rows_per_file, probed
     )
     record = {"batch_id": batch_id, "folder": folder, "columns": schema.json(), **counts}
     batches.commit(spark, root, table, record)
@@ -55,20 +62,35 @@ def append_batch(
     return record
 
 
+def undeclared_temporals(df: DataFrame, table: str) -> list[str]:
+    """Text and timestamp columns of an unknown table that are named like dates."""
+    if base_name(table) in BUSINESS_COLUMNS:
+        return []
+    kinds = dict(df.dtypes)
+    named = reshape.temporal_candidates(df.columns)
+    return [c for c in named if kinds[c] in ("string", "timestamp_ntz") and c != "LOADED_AT"]
+
+
 def write_counted(
-    df: DataFrame, table: str, path: str, replaces_from: str | None = None, rows_per_file: int = 0
+    df: DataFrame,
+    table: str,
+    path: str,
+    replaces_from: str | None = None,
+    rows_per_file: int = 0,
+    probed: Sequence[str] = (),
 ) -> dict:
     """Write rows with their part, and what was counted on the way.
 
     The counts are taken where rows are written, in the job's last stage, whose
     tasks count once however often they run. Rows that carry what was extracted
-    for them (``EXTRACTED``) are counted as that.
+    for them (``EXTRACTED``) are counted as that. Of each ``probed`` column it is found
+    whether all values are timestamps (``temporals``, as JSON).
     """
     counted = set(EXTRACTED) <= set(df.columns)
     column, part = pick_date_column(df.columns, table), F.col(PART)
     dates = temporal.try_stamp(F.col(column)) if column else F.lit(None).cast("timestamp_ntz")
     loaded = F.col("LOADED_AT") if "LOADED_AT" in df.columns else F.lit(None).cast("timestamp_ntz")
-    cut = F.col(replaces_from).cast("timestamp_ntz") if replaces_from else F.lit(None).cast("timestamp_ntz")
+    cut = temporal.try_stamp(F.col(replaces_from)) if replaces_from else F.lit(None).cast("timestamp_ntz")
     historic, latest, first = EXTRACTED
     seen = Observation()
     (
@@ -81,6 +103,7 @@ def write_counted(
             F.min(loaded).cast("string").alias("first_loaded"),
             F.max(loaded).cast("string").alias("last_loaded"),
             F.min(cut).cast("string").alias("replaces_from"),
+            *(c.alias(f"temporal_{i}") for i, c in enumerate(reshape.all_stamps(probed))),
         )
         .drop(*EXTRACTED)
         .write.mode("overwrite")
@@ -88,6 +111,8 @@ def write_counted(
         .parquet(path)
     )
     found = seen.get
+    holds = {c: found.pop(f"temporal_{i}") for i, c in enumerate(probed)}
+    found["temporals"] = json.dumps(holds) if holds else None
     return {k: v or 0 if k.endswith("_records") else v for k, v in found.items()}
 
 

@@ -278,6 +278,34 @@ def test_incremental_load_can_be_repeated(spark, path):
     assert kinds(copy) == final
 
 
+def test_dates_of_an_unknown_table_are_found_while_it_is_written(spark, path):
+    """A column is a timestamp as long as every batch's values are; no job runs before the write."""
+    kind = "id string, seen_date string, ship_time string, note string, created_at string"
+    first = [("1", "2024-01-01", "2024-01-02 03:04:05", "2024-01-01", "2024-01-01"), ("2", None, None, "x", "2024-02-01")]
+    second = [("3", "2024-03-01", "soon", None, "2024-03-01")]
+    parts = {HISTORIC: first[:1], LATEST: first[1:]}
+
+    def load(run, batch, data):
+        run(spark, lambda _, part: spark.createDataFrame(data[part], kind), "visits", path, batch)
+
+    def kinds_now():
+        return {n: k for n, k in raw.read_raw(spark, path, "visits").dtypes if n.endswith(("DATE", "TIME", "_AT")) or n == "NOTE"}
+
+    load(loads.load_initial, FIRST, parts)
+    stamps = dict.fromkeys(("SEEN_DATE", "SHIP_TIME", "CREATED_AT", "LOADED_AT"), "timestamp_ntz") | {"NOTE": "string"}
+    assert kinds_now() == stamps
+    load(loads.load_increment, SECOND, {LATEST: second})
+    assert kinds_now() == stamps | {"SHIP_TIME": "string"}
+    found = raw.read_raw(spark, path, "visits").select("ID", "SEEN_DATE", "SHIP_TIME")
+    assert rows(found) == [
+        ("1", dt.datetime(2024, 1, 1), "2024-01-02 03:04:05"), ("2", None, None), ("3", dt.datetime(2024, 3, 1), "soon"),
+    ]
+    raw.compact(spark, path, "visits", f"{path}/new", "all")
+    assert rows(raw.read_raw(spark, f"{path}/new", "visits").select("ID", "SEEN_DATE", "SHIP_TIME")) == rows(found)
+    load(loads.load_increment, SECOND, {LATEST: [("3", "2024-03-01", "2024-03-02", None, "2024-03-01")]})
+    assert kinds_now() == stamps
+
+
 def test_stream_equals_batch_and_restarts(spark, path):
     deliveries = [PARTS[HISTORIC], PARTS[LATEST], NEXT]
 
