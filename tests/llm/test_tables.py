@@ -18,7 +18,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 import brute  # noqa: E402
 import corpus_pipeline  # noqa: E402
-from shopmill.llm import huffman, neighbours, packing, queries, store, token_counts, token_files, tokens, url_rules  # noqa: E402
+from shopmill.llm import huffman, neighbours, packing, quality, queries, store, token_counts, token_files, tokens, url_rules  # noqa: E402
 from shopmill.llm.ordered import latest  # noqa: E402
 
 ROWS = brute.awkward(2)
@@ -324,7 +324,11 @@ def test_pipeline_stages_against_brute_force(spark, tmp_path):
         if stage is not corpus_pipeline.packing_stage:
             assert found.columns == corpus_pipeline.COLUMNS
             after = [(r.doc_id, r.text) for r in found.collect()]
-        if name == "n-gram Jaccard join":
+        if name == "quality classifier":
+            scores = brute.quality_scores(before, [label[:2] for label in labels], quality.SHRINKAGE, quality.FLOOR)
+            assert min(abs(p - quality.THRESHOLD) for p in scores) > 1e-5
+            brute.same(after, [row for row, p in zip(before, scores) if p >= quality.THRESHOLD])
+        elif name == "n-gram Jaccard join":
             roots, sets = brute.groups(before)
             assert len(after) == len({r for r in roots if sets[r]}) + sum(not s for s in sets)
         elif name == "substring dedup":

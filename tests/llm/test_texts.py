@@ -232,6 +232,27 @@ def test_quality(spark, docs):
     assert quality.fit(table, labels.where("quality = 1")).scores(np.zeros((2, 3))).tolist() == [1.0, 1.0]
 
 
+def test_statistics_equal_counted_ones():
+    texts = [t for _, t in ROWS] + ["A!B c 1 ... Cc cc CC\n\n(x) $#@ _ ~ É É 中", "!", "aa bb"]
+    found = quality.statistics(pa.array(texts, pa.string()))
+    assert np.allclose(found, [brute.statistics(t) for t in texts], rtol=0, atol=1e-6)
+
+
+def test_scores_equal_written_out_densities(spark, docs):
+    """The whole query's scores: repeated rows and doc_ids, null ids, several labels, labels of unknown documents."""
+    rng = random.Random(5)
+    labels = [(i, int(len(t or "") % 3 > 0)) for i, t in ROWS] + [(i, rng.choice([0, 1, None])) for i, _ in ROWS[:40]] + [(99991, 1), (None, 0)]
+    model = quality.fit(docs, spark.createDataFrame(labels, "doc_id long, quality int"))
+    found = quality.score(docs, model, carry=["text"]).collect()
+    wanted = brute.quality_scores(ROWS, labels, quality.SHRINKAGE, quality.FLOOR)
+    by_row = {(i, t): float(p) for (i, t), p in zip(ROWS, wanted)}
+    assert len(found) == len(ROWS) and 5 < sum(p < 0.3 for p in wanted) < len(ROWS) - 5
+    for r in found:
+        score = by_row[(r.doc_id, r.text)]
+        assert abs(r.score - score) < 1e-5
+        assert r.predicted == int(r.score >= 0.3) and (abs(score - 0.3) < 1e-5 or r.predicted == int(score >= 0.3))
+
+
 def test_empty_tables(spark, empty):
     items = spark.createDataFrame([], "item_id long, text string")
     labels = spark.createDataFrame([], "doc_id long, quality int")
