@@ -11,7 +11,10 @@ hashes and places packed, so that a bucket's size follows the number of its
 windows. Of equal windows in a slice one is sent, that of the smallest doc_id:
 those of larger ones are marked there, and repeats within its own document
 follow its mark. So a passage in a third of all documents, or one word repeated
-over long texts, adds one entry per slice to each of its windows' buckets.
+over long texts, adds one entry per slice to each of its windows' buckets. A task
+also remembers windows that came in several of its slices, a bounded number of
+them: where an earlier slice sent one of a smaller doc_id, a later one marks its
+own and sends none. So a hot window costs its bucket a few entries per task.
 
 Two windows are taken for equal if two hashes are: one is sent, and one that
 has nothing to do with it deals the buckets, so that the bits which must agree
@@ -45,6 +48,9 @@ WINDOW = 50
 #: Bytes of text of one slice, and of packed windows in one bucket on average.
 SLICE, BUCKET = 2 << 20, 8 << 20
 
+#: Windows of earlier slices that a task remembers; those it forgets are sent again.
+REMEMBERED = 1 << 18
+
 #: A bucket's windows of a slice; or, with keys, the slice's documents and what the slice tells itself.
 SENT = "slice long, bucket int, hashes binary, steps binary, sizes binary, doc_ids binary, keys binary, known binary"
 MARKED = "slice long, places binary, sizes binary, doc_ids binary, keys binary, known binary"
@@ -115,7 +121,7 @@ def _sender(window: int, buckets: int):
     schema = arrow_schema(SENT)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 32
+        number, earlier = TaskContext.get().partitionId() << 32, Earlier(REMEMBERED)
         for batch in slices(batches, "text", SLICE):
             texts = Texts(batch.column("text"), lower=False)
             doc_ids = batch.column("doc_id").fill_null(NO_ID).to_numpy(zero_copy_only=False)
@@ -127,7 +133,7 @@ def _sender(window: int, buckets: int):
             owners = np.searchsorted(texts.first, places, "right") - 1
             keys = batch.column("key").to_numpy(zero_copy_only=False)
             there = np.packbits(batch.column("doc_id").is_valid().to_numpy(zero_copy_only=False))
-            lead, marked, tied = _reduced(hashes, second, doc_ids[owners])
+            lead, marked, tied = _reduced(hashes, second, doc_ids[owners], earlier)
             known = np.concatenate([[marked.sum()], places[marked], places[lead[tied]], places[tied]]).astype("<u4")
             sent = ~(marked | tied)
             hashes, second, places, owners = hashes[sent], second[sent], places[sent], owners[sent]
@@ -148,16 +154,49 @@ def _sender(window: int, buckets: int):
     return run
 
 
-def _reduced(hashes: np.ndarray, second: np.ndarray, doc_ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each window the first equal one of the smallest doc_id; whether its own is larger; whether it repeats that one."""
+class Earlier:
+    """The least doc_id of windows that a task has met: those of the slice before, and those that came back.
+
+    Of the latter, ``limit`` are kept; when there are more, those of the last slice.
+    """
+
+    def __init__(self, limit: int):
+        self.limit = limit
+        self.before = self.back = (np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64))
+
+    def holds_smaller(self, hashes: np.ndarray, second: np.ndarray, doc_ids: np.ndarray) -> np.ndarray:
+        """Whether each window, by ascending hash, has been met in a document of a smaller doc_id; they are met from now on."""
+        least, met = doc_ids.copy(), np.zeros(len(hashes), bool)
+        for known, other, ids in (self.before, self.back):
+            if len(known):
+                at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+                same = (known[at] == hashes) & (other[at] == second)
+                least[same] = np.minimum(least[same], ids[at[same]])
+                met |= same
+        self.before, again = (hashes, second, least), (hashes[met], second[met], least[met])
+        # Of equal hashes the last slice's come first and stay.
+        both = [np.concatenate(pair) for pair in zip(again, self.back)]
+        _, first = np.unique(both[0], return_index=True)
+        kept = first if len(first) <= self.limit else np.arange(min(len(again[0]), self.limit))
+        self.back = tuple(values[kept] for values in both)
+        return least < doc_ids
+
+
+def _reduced(
+    hashes: np.ndarray, second: np.ndarray, doc_ids: np.ndarray, earlier: Earlier
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each window the first equal one of the smallest doc_id; whether its own is larger than that or an earlier slice's; whether it repeats that one."""
     order = np.lexsort((doc_ids, hashes))
     ordered = hashes[order]
     new = np.ones(len(hashes), bool)
     new[1:] = ordered[1:] != ordered[:-1]
+    heads = order[new]
     lead = np.empty(len(hashes), np.int64)
-    lead[order] = order[new][np.cumsum(new) - 1]
-    marked = (doc_ids > doc_ids[lead]) & (second == second[lead])
-    return lead, marked, ~marked & (lead != np.arange(len(hashes))) & (second == second[lead])
+    lead[order] = heads[np.cumsum(new) - 1]
+    same, gone = second == second[lead], np.zeros(len(hashes), bool)
+    gone[heads] = earlier.holds_smaller(hashes[heads], second[heads], doc_ids[heads])
+    marked = same & (gone[lead] | (doc_ids > doc_ids[lead]))
+    return lead, marked, same & ~marked & (lead != np.arange(len(hashes)))
 
 
 def _view(value: pa.Scalar, kind) -> np.ndarray:

@@ -4,7 +4,9 @@ Two documents link when 75 percent or more of their distinct 5-grams are
 common; the result has for each document the smallest doc_id that links reach.
 
 1. All 5-gram hashes are dealt over buckets and counted, in how many documents
-   each stands. A hash of one document cannot be common. A set of ``n`` needs
+   each stands; a hash that several documents of a slice hold goes there once,
+   with their number, and its documents stay with the slice. A hash of one
+   document cannot be common. A set of ``n`` needs
    ``T = ceil(0.75 n)`` common elements to link at all; sets with fewer shared
    hashes are done. The others keep their shared hashes, rarest first.
 2. Equal sets become one class (a hash of the set tells).
@@ -48,9 +50,14 @@ SHINGLE, PERCENT = 5, 75
 SLICE, BUCKET, BLOCK = 2 << 20, 8 << 20, 1 << 20
 #: Classes that all blocks of a group have in common, on average.
 COMMON = 32
-
-SENT = "slice long, bucket int, hashes binary, owners binary, counts binary, doc_ids binary, keys binary, sets binary"
-SHARED = "slice long, hashes binary, owners binary, counts binary, doc_ids binary, keys binary, sets binary"
+#: Numbers of documents from here on count as this when hashes are ordered.
+MOST = (1 << 32) - 1
+
+#: A bucket's hashes of a slice: those of one document with it, those of several (``many``) with their number
+#: (``times``). Or, with sets, the slice's documents, and of which (``owners``) those of several are.
+SENT = "slice long, bucket int, hashes binary, steps binary, many binary, times binary, owners binary, there binary, counts binary, doc_ids binary, keys binary, sets binary"
+#: The same without buckets; ``counts`` and ``times`` are then numbers of documents of the whole corpus.
+SHARED = SENT.replace("bucket int, ", "")
 SETS = "doc_id long, key long, n_shingles long, set_a long, set_b long, prefix int, shared binary"
 POSTINGS = "element long, class long"
 STARS = "a long, b long"
@@ -184,24 +191,36 @@ def _sender(shingle: int, buckets: int):
                 if len(few):
                     hashes = np.concatenate([hashes, windows(texts.hashes, k)[texts.first[few]] ^ np.uint64(k)])
                     owners = np.concatenate([owners, few])
-            order = np.lexsort((hashes, owners))
+            order = np.lexsort((owners, hashes))
             hashes, owners = hashes[order], owners[order]
             new = np.ones(len(hashes), bool)
             new[1:] = (hashes[1:] != hashes[:-1]) | (owners[1:] != owners[:-1])
             hashes, owners = hashes[new], owners[new]
+            heads = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1])[: len(hashes)])
+            sizes = np.diff(heads, append=len(hashes))
+            several = np.repeat(sizes > 1, sizes)
+            many, times = hashes[heads[sizes > 1]], sizes[sizes > 1].astype("<u4")
+            shared_by = owners[several].astype("<u4")
+            order = np.argsort(owners.astype(np.uint16) if len(texts) <= 1 << 16 else owners, kind="stable")
+            hashes, owners, single = hashes[order], owners[order], ~several[order]
             bounds = np.searchsorted(owners, np.arange(len(texts) + 1))
             sets = b"".join(xxhash.xxh3_128_digest(hashes[a:b].tobytes()) for a, b in zip(bounds[:-1], bounds[1:]))
-            bucket = (hashes >> np.uint64(32)).astype(np.int64) * buckets >> 32
+            hashes, owners = hashes[single], owners[single]
+            bucket, many_bucket = ((h >> np.uint64(32)).astype(np.int64) * buckets >> 32 for h in (hashes, many))
             order = np.argsort(bucket.astype(np.uint16) if buckets <= 1 << 16 else bucket, kind="stable")
-            by_bucket, owners = hashes[order], owners[order]
-            rows = []
-            for b, own in runs(bucket[order]):
-                rows.append((number, b, by_bucket[own].tobytes(), packed_steps(owners[own]), None, None, None, None))
+            hashes, owners = hashes[order], owners[order]
+            alone, together = dict(runs(bucket[order])), dict(runs(many_bucket))
+            none, rows = slice(0, 0), []
+            for b in sorted(alone.keys() | together.keys()):
+                own, others = alone.get(b, none), together.get(b, none)
+                packed = (hashes[own].tobytes(), packed_steps(owners[own]), many[others].tobytes(), times[others].tobytes())
+                rows.append((number, b, *packed, None, None, None, None, None, None))
             doc_ids = batch.column("doc_id")
             there = np.packbits(doc_ids.is_valid().to_numpy(zero_copy_only=False)).tobytes()
             ids = doc_ids.fill_null(0).to_numpy(zero_copy_only=False).astype("<i8").tobytes()
             keys = batch.column("key").to_numpy().tobytes()
-            rows.append((number, number % buckets, None, there, np.diff(bounds).astype("<u4").tobytes(), ids, keys, sets))
+            own = (many.tobytes(), times.tobytes(), shared_by.tobytes(), there, np.diff(bounds).astype("<u4").tobytes(), ids, keys, sets)
+            rows.append((number, number % buckets, None, None, *own))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
             number += 1
 
@@ -214,35 +233,38 @@ def _sharer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held, bucket = [], None
     for batch in batches:
         for i, (number, place) in enumerate(zip(batch.column("slice").to_pylist(), batch.column("bucket").to_pylist())):
-            own = batch.column("hashes")[i]
-            if not own.is_valid:
-                row = (number, None, *(batch.column(c)[i].as_py() for c in ("owners", "counts", "doc_ids", "keys", "sets")))
+            if batch.column("sets")[i].is_valid:
+                row = [batch.column(c)[i].as_py() for c in schema.names]
                 yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, schema.types)], schema=schema)
                 continue
             if place != bucket:
                 yield from _several(held, schema)
                 held, bucket = [], place
-            held.append((number, np.frombuffer(own.as_buffer(), np.uint64), batch.column("owners")[i].as_py()))
+            views = (np.frombuffer(batch.column(c)[i].as_buffer(), k) for c, k in (("hashes", np.uint64), ("many", np.uint64), ("times", "<u4")))
+            held.append((number, batch.column("steps")[i].as_py(), *views))
     yield from _several(held, schema)
 
 
 def _several(held: list[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     if not held:
         return
-    hashes = np.concatenate([own for _, own, _ in held])
+    hashes = np.concatenate([own for *_, single, many, _ in held for own in (single, many)])
+    times = np.concatenate([own for *_, single, many, n in held for own in (np.ones(len(single), "<u4"), n)])
     order = np.argsort(hashes, kind="stable")
     ordered = hashes[order]
     heads = np.concatenate([[0], np.flatnonzero(ordered[1:] != ordered[:-1]) + 1])
-    sizes = np.diff(heads, append=len(hashes))
+    totals = np.minimum(np.add.reduceat(times[order].astype(np.int64), heads), MOST)
     counts = np.empty(len(hashes), "<u4")
-    counts[order] = np.repeat(sizes, sizes)
+    counts[order] = np.repeat(totals, np.diff(heads, append=len(hashes)))
     del ordered, order
-    cuts = np.cumsum([len(own) for _, own, _ in held])[:-1]
-    for (number, own, steps), count in zip(held, np.split(counts, cuts)):
-        several = count > 1
-        if several.any():
-            places = places_of(steps)[several]
-            row = (number, own[several].tobytes(), packed_steps(places), count[several].tobytes(), None, None, None)
+    at = 0
+    for number, steps, single, many, _ in held:
+        own, among = counts[at : at + len(single)], counts[at + len(single) : at + len(single) + len(many)]
+        at += len(single) + len(many)
+        several = own > 1
+        if several.any() or len(many):
+            places = packed_steps(places_of(steps)[several])
+            row = (number, single[several].tobytes(), places, many.tobytes(), among.tobytes(), None, None, own[several].tobytes(), None, None, None)
             yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, schema.types)], schema=schema)
 
 
@@ -255,12 +277,18 @@ def _ranker(percent: int):
         at = next(i for i, sets in enumerate(rows["sets"]) if sets is not None)
         doc_ids, keys = (np.frombuffer(rows[c][at], "<i8") for c in ("doc_ids", "keys"))
         sizes = np.frombuffer(rows["counts"][at], "<u4").astype(np.int64)
-        there = np.unpackbits(np.frombuffer(rows["owners"][at], np.uint8))[: len(doc_ids)] == 0
+        there = np.unpackbits(np.frombuffer(rows["there"][at], np.uint8))[: len(doc_ids)] == 0
         sets = np.frombuffer(rows["sets"][at], "<i8").reshape(-1, 2)
+        # Hashes of several documents of the slice: their totals come from the buckets, in ascending order of hashes.
+        many, times, shared_by = (np.frombuffer(rows[c][at], k) for c, k in (("many", np.uint64), ("times", "<u4"), ("owners", "<u4")))
+        totals = np.zeros(len(many), "<u4")
         others = [i for i in range(table.num_rows) if i != at]
-        hashes = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(rows["hashes"][i], np.int64) for i in others)])
-        owners = np.concatenate([np.zeros(0, np.int64), *(places_of(rows["owners"][i]) for i in others)])
-        counts = np.concatenate([np.zeros(0, "<u4"), *(np.frombuffer(rows["counts"][i], "<u4") for i in others)])
+        for i in others:
+            totals[np.searchsorted(many, np.frombuffer(rows["many"][i], np.uint64))] = np.frombuffer(rows["times"][i], "<u4")
+        hashes = [np.repeat(many.view(np.int64), times), *(np.frombuffer(rows["hashes"][i], np.int64) for i in others)]
+        owners = [shared_by.astype(np.int64), *(places_of(rows["steps"][i]) for i in others)]
+        counts = [np.repeat(totals, times), *(np.frombuffer(rows["counts"][i], "<u4") for i in others)]
+        hashes, owners, counts = (np.concatenate(c) for c in (hashes, owners, counts))
         order = np.lexsort((hashes, counts, owners))
         hashes, owners = hashes[order], owners[order]
         bounds = np.searchsorted(owners, np.arange(len(doc_ids) + 1))

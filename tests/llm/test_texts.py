@@ -58,6 +58,36 @@ def test_shingle_join(docs, monkeypatch, block, common, bucket, partitions):
     brute.same(found.collect(), brute.components(ROWS))
 
 
+@pytest.mark.parametrize("piece", [2 << 20, 700])
+def test_a_hot_shingle_is_one_entry_per_slice(spark, monkeypatch, piece):
+    """One passage in most documents, among copies, near copies, and rows that share or lack an id."""
+    monkeypatch.setattr(shingle_join, "SLICE", piece)
+    base = " ".join(f"w{i}" for i in range(40))
+    rows = [(i * 7 % 61, f"{base} own{i} tail{i}" if i % 3 else f"x{i} y{i} one two three four five z{i}") for i in range(60)]
+    rows += [(None, base), (70, base), (70, base), (71, f"{base} {base}"), (72, "one two three four five"), (73, "one"), (74, ""), (75, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    sent = docs.selectExpr("doc_id", "xxhash64(doc_id, text) AS key", "cast(text AS binary) AS text")
+    sent = sent.mapInArrow(shingle_join._sender(5, 3), shingle_join.SENT).where("sets IS NULL").collect()
+    own = [(r.slice, h) for r in sent for c in (r.hashes, r.many) for h in np.frombuffer(c, np.uint64).tolist()]
+    assert len(own) == len(set(own)) and sum(len(r.many) for r in sent)
+    found = shingle_join.near_duplicates(docs).select("doc_id", "n_shingles", "component_id")
+    brute.same(found.collect(), brute.components(rows))
+
+
+def test_totals_of_hashes_order_them_alike(spark, monkeypatch):
+    """Each document's shared hashes come rarest first by their number of documents, whichever slice holds it."""
+    monkeypatch.setattr(shingle_join, "SLICE", 300)
+    rows = [(i, " ".join([*"abcdefg"[: 1 + i % 7], *"hijklmnopqr"])) for i in range(40)]
+    sets = shingle_join._sets(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), 5, 75).collect()
+    places = {}
+    for row in sets:
+        hashes = np.frombuffer(row.shared, np.int64).tolist()
+        assert len(hashes) == len(set(hashes)) == row.n_shingles
+        places[row.doc_id] = hashes
+    number = {h: sum(h in own for own in places.values()) for own in places.values() for h in own}
+    assert all(own == sorted(own, key=lambda h: (number[h], h)) for own in places.values())
+
+
 def test_one_of_each_group_stays(docs):
     kept = shingle_join.keep_one(docs)
     assert kept.columns == docs.columns
@@ -110,10 +140,11 @@ def test_repeats(docs, monkeypatch, bucket, partitions):
     assert untouched <= set(ROWS)
 
 
-@pytest.mark.parametrize("piece", [2 << 20, 4000])
-def test_a_hot_passage_is_one_entry_per_slice(spark, monkeypatch, piece):
+@pytest.mark.parametrize("piece, remembered", [(2 << 20, 1 << 18), (4000, 1 << 18), (900, 1 << 18), (900, 7), (900, 0)])
+def test_a_hot_passage_is_few_entries_per_task(spark, monkeypatch, piece, remembered):
     """A common passage and one repeated word, in several documents and with repeated and null ids."""
     monkeypatch.setattr(repeats, "SLICE", piece)
+    monkeypatch.setattr(repeats, "REMEMBERED", remembered)
     passage = " ".join(f"p{i}" for i in range(50))
     rows = [(i * 7 % 31, f"a{i} {passage} {passage} b{i}") for i in range(40)] + [(50 + i, "the " * (60 + 30 * i)) for i in range(9)]
     rows += [(None, passage), (None, "the " * 70), rows[3], (rows[4][0], passage), (90, f"{passage} x " * 5)]
@@ -122,6 +153,9 @@ def test_a_hot_passage_is_one_entry_per_slice(spark, monkeypatch, piece):
     sent = [(r.slice, np.frombuffer(r.hashes, np.uint64)) for r in sent.where("hashes IS NOT NULL").collect()]
     own = [(n, h) for n, hashes in sent for h in hashes.tolist()]
     assert len(own) == len(set(own))
+    hot = max(np.unique([h for _, h in own], return_counts=True)[1])
+    if piece == 900 and remembered > 1000:  # sent where the least doc_id so far stands, or stands again
+        assert max(n for n, _ in sent) > 30 and hot < 12
     found = repeats.remove_repeats(docs).select("doc_id", "n_words", "n_removed", "kept_sha256")
     brute.same(found.collect(), brute.without_repeats(rows))
 
