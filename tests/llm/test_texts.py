@@ -155,7 +155,7 @@ def test_a_hot_passage_is_few_entries_per_task(spark, monkeypatch, piece, rememb
     assert len(own) == len(set(own))
     hot = max(np.unique([h for _, h in own], return_counts=True)[1])
     if piece == 900 and remembered > 1000:  # sent where the least doc_id so far stands, or stands again
-        assert max(n for n, _ in sent) > 30 and hot < 12
+        assert max(n for n, _ in sent) >= 20 and hot < 12
     found = repeats.remove_repeats(docs).select("doc_id", "n_words", "n_removed", "kept_sha256")
     brute.same(found.collect(), brute.without_repeats(rows))
 
