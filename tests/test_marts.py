@@ -315,3 +315,41 @@ def test_fan_out_is_multiplied_not_joined(spark):
         "a": (1, 21, True), "b": (1, 4, False), "c": (0, None, False),
     }
     assert {r.order_id: r.avg_review_score for r in orders}["a"] == 8 / 3
+
+
+def test_each_line_gets_the_scores_of_its_order_and_product(spark):
+    """Newest score per line; one row of details per line and review, NULL scores and equal ones included."""
+    frames = {t: order_rows(spark, t) for t in TABLES}
+    place = {"city": "Rome", "state": "S", "country": "X"}
+    frames["customers"] = order_rows(spark, "customers", {"customer_id": "u", "email": "e", **place, "loaded_at": LOADED})
+    frames["categories"] = order_rows(spark, "categories", {"category_id": "c", "category_name": "C", "loaded_at": LOADED})
+    frames["products"] = order_rows(
+        spark, "products", *[{"product_id": p, "category_id": "c", "brand": "b", "loaded_at": LOADED} for p in "pqr"]
+    )
+    frames["orders"] = order_rows(
+        spark, "orders", *[{"order_id": o, "customer_id": "u", "loaded_at": LOADED} for o in "ab"]
+    )
+    frames["order_items"] = order_rows(
+        spark,
+        "order_items",
+        *[
+            {"order_item_id": str(i), "order_id": o, "product_id": p, "quantity": i, "loaded_at": LOADED}
+            for i, (o, p) in enumerate([("a", "p"), ("a", "p"), ("a", "q"), ("b", "p"), ("b", "r"), (None, "p"), ("a", None)])
+        ],
+    )
+    given = [("a", "p", 4, 0), ("a", "p", 4, 1), ("a", "p", 2, 2), ("a", "p", None, 3), ("b", "r", None, 0), (None, "p", 5, 0), ("a", None, 5, 0)]
+    frames["reviews"] = order_rows(
+        spark,
+        "reviews",
+        *[
+            {"review_id": str(i), "order_id": o, "product_id": p, "review_score": s, "loaded_at": LOADED + dt.timedelta(days=d)}
+            for i, (o, p, s, d) in enumerate(given)
+        ],
+    )
+    w = Warehouse(frames.__getitem__, AS_OF)
+    lines = {r.order_item_id: r.review_score for r in w.table("order_items").collect()}
+    assert lines == {"0": 2, "1": 2, "2": None, "3": None, "4": None, "5": None}
+    details = sorted(((r.quantity, r.review_score) for r in w.table("fct_order_details").collect()), key=repr)
+    each = [4, 4, 2, None]
+    wanted = [(line, s) for line in (0, 1) for s in each] + [(2, None), (3, None), (4, None)]
+    assert details == sorted(wanted, key=repr)
