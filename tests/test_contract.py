@@ -118,6 +118,28 @@ def test_no_distinct_aggregate_expands_rows(spark):
         assert "Expand" not in plan(w.table(name)), name
 
 
+def shuffles_above(text, column):
+    """How often the rows of the one scan that reads a column are shuffled."""
+    lines = text.splitlines()
+    (at,) = [i for i, line in enumerate(lines) if "FileScan" in line and f"{column}#" in line]
+    depth, found = re.search(r"[A-Z]", lines[at]).start(), 0
+    for line in reversed(lines[:at]):
+        own = re.search(r"[A-Z]", line).start()
+        if own < depth:
+            depth, found = own, found + ("Exchange" in line)
+    return found
+
+
+def test_lines_are_shuffled_once_by_order(spark):
+    """For order and scores alike, and once more for the product; products and units of an order in one go."""
+    with settings(spark, **NO_BROADCAST):
+        w = warehouse(spark, FOLDER)
+        assert shuffles_above(plan(w.table("order_items")), "l_extendedprice") == 2
+        assert shuffles_above(plan(w.table("orders")), "l_quantity") == 1
+        details = w.table("fct_order_details").select("order_id", "quantity", "item_total", "email", "product_name", "review_score")
+        assert shuffles_above(plan(details), "l_quantity") == 2
+
+
 def _skewed_warehouse(spark, n=60_000):
     """A third of all lines, reviews and events on one product and one customer."""
 
