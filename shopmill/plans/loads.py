@@ -46,13 +46,17 @@ def load_increment(
     because the history it is made of must stay readable while it is written.
     """
     history = read_raw(spark, root, table, before=batch.batch_id, typed=False)
-    combined = ingest.incremental_load(history, read(table, LATEST), table, batch, verdict={})
+    recent = read(table, LATEST)
     if copies:
+        combined = ingest.incremental_load(history, recent, table, batch, verdict={})
         snapshot = f"{_copy_folder(copies, table, batch)}/rows"
         counts = sinks.write_counted(combined, table, snapshot)
         written = spark.read.parquet(snapshot)
         write_copies(written, copies, table, batch, counts, pick_date_column(written.columns, table))
-    latest = combined.where(F.col(PART) == LATEST)
+    # Of the history the batch takes columns and types alone. Rows could not be left out by their part:
+    # it comes out of an aggregate, behind which all of them would be read, shuffled and sorted first.
+    columns = history.where(F.lit(False))
+    latest = ingest.incremental_load(columns, recent, table, batch, verdict={})
     column = pick_date_column(latest.columns, table)
     sinks.append_batch(latest, root, table, batch.batch_id, replaces_from=column)
 

@@ -278,6 +278,27 @@ def test_incremental_load_can_be_repeated(spark, path):
     assert kinds(copy) == final
 
 
+def test_an_increment_without_copies_reads_no_history(spark, path, monkeypatch):
+    """The batch takes the history's columns and types, none of its rows, whether the table has a key or not."""
+    kinds_of = {HISTORIC: "id string, n int, extra int", LATEST: "id string, n int, extra int", "next": "id string, n bigint"}
+    parts = {HISTORIC: [("1", 1, 1)], LATEST: [("2", 2, 2)], "next": [("2", 3), ("3", 4)]}
+    read = lambda _, part: spark.createDataFrame(parts[part], kinds_of[part])
+    loads.load_initial(spark, read, "visits", path, FIRST)
+    loads.load_initial(spark, lambda _, part: events(spark, *PARTS[part]), "interactions", path, FIRST)
+    appended, append = [], sinks.append_batch
+    monkeypatch.setattr(sinks, "append_batch", lambda df, *a, **k: appended.append(df))
+    read_next = lambda _, part: read(_, "next")
+    loads.load_increment(spark, read_next, "visits", path, SECOND)
+    loads.load_increment(spark, lambda *_: events(spark, *NEXT), "interactions", path, SECOND)
+    df, keyed = appended
+    assert keyed.inputFiles() == [] and keyed.count() == 2 and raw.read_raw(spark, path, "interactions").inputFiles()
+    assert df.inputFiles() == [] and raw.read_raw(spark, path, "visits").inputFiles()
+    assert rows(df.select("ID", "N", "EXTRA")) == [("2", 3, None), ("3", 4, None)]
+    assert [dict(df.dtypes)[c] for c in ("N", "EXTRA")] == ["bigint", "int"]
+    with pytest.raises(ValueError, match="column N is int in batch b1, bigint"):
+        append(df, path, "visits", SECOND.batch_id)
+
+
 def test_dates_of_an_unknown_table_are_found_while_it_is_written(spark, path):
     """A column is a timestamp as long as every batch's values are; no job runs before the write."""
     kind = "id string, seen_date string, ship_time string, note string, created_at string"
