@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 import re
+import uuid
 from contextlib import contextmanager
 
 import pandas as pd
 import pytest
+from conftest import rows
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 import check
 from contract.queries import warehouse
-from shopmill.plans import transactions
+from shopmill.operators import combine
+from shopmill.plans import facts, tables, transactions
 from shopmill.plans.warehouse import MARTS, NORMALIZED, Warehouse
 from shopmill.registry import TABLES, staged_schema
 
@@ -140,6 +143,31 @@ def test_lines_are_shuffled_once_by_order(spark):
         assert shuffles_above(plan(details), "l_quantity") == 2
 
 
+def test_lines_are_bucketed_by_order_without_a_shuffle_of_their_own(spark, path):
+    """Of an incremental run's tables lines are bucketed, in the shuffle that gave them their order."""
+    layer = f"mark_and_buckets_{uuid.uuid4().hex}"
+    tables.create_layers(spark, path, [layer])
+    with settings(spark, **NO_BROADCAST):
+        w = warehouse(spark, FOLDER)
+        built = w.table("order_items").repartition(4, "order_id")  # as many as shuffles have here
+        assert shuffles_above(plan(built), "l_extendedprice") == 2
+        tables.refresh(w.table, layer, ["orders", "order_items"], 4, by_mark=True)
+        orders, lines = (spark.table(f"`{layer}`.{n}") for n in ("orders", "order_items"))
+        assert combine.MARK_DAY in orders.columns and combine.MARK_DAY not in lines.columns
+        assert rows(lines) == rows(w.table("order_items"))
+        new = facts.new_customer_orders(orders, lines, w.staged("reviews"), orders.where("order_date < '2001-05-01'"))
+        assert shuffles_above(plan(new), "quantity") == 0
+        assert rows(new) == rows(w.table("fct_customer_orders").where("order_date >= '2001-05-01'"))
+
+
+def test_derived_reviews_are_shuffled_once_by_order(spark):
+    """Their join with the orders leaves them where sums and scores of an order need them."""
+    with settings(spark, **NO_BROADCAST):
+        reviews = warehouse(spark, FOLDER).staged("reviews")
+        for build in (transactions.reviews_per_order, transactions.scores_per_order):
+            assert shuffles_above(plan(build(reviews)), "l_linenumber") == 1
+
+
 def _skewed_warehouse(spark, n=60_000):
     """A third of all lines, reviews and events on one product and one customer."""
 
