@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import time
 import uuid
 from contextlib import contextmanager
 
@@ -160,6 +161,32 @@ def test_lines_are_bucketed_by_order_without_a_shuffle_of_their_own(spark, path)
         assert rows(new) == rows(w.table("fct_customer_orders").where("order_date >= '2001-05-01'"))
 
 
+@pytest.mark.parametrize("name", ["checks_marts", "checks_normalized"])
+def test_a_checked_layer_leaves_no_shuffles_behind(spark, name):
+    """Its tables are whole, compressed by zstd, and the shuffles that made them are gone before they are checked."""
+
+    def shuffles():
+        files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {f.getName() for f in (files.apply(i) for i in range(files.size())) if f.getName().startswith("shuffle_")}
+
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    kept, before = spark.conf.get(key), shuffles()
+    checked = contract.queries()[name](spark, FOLDER)
+    until = time.monotonic() + 30
+    while shuffles() - before and time.monotonic() < until:
+        time.sleep(0.2)
+    assert not shuffles() - before
+    assert spark.conf.get(key) == kept
+    files = checked.inputFiles()
+    assert files and all(f.endswith(".zstd.parquet") for f in files)
+    layer = MARTS if name == "checks_marts" else NORMALIZED
+    folders = {f.rsplit("/", 1)[0] for f in files}
+    assert {f.rsplit("/", 1)[1] for f in folders} == set(layer)
+    for folder in folders:
+        table = folder.rsplit("/", 1)[1]
+        assert spark.read.parquet(folder).columns == warehouse(spark, FOLDER).table(table).columns
+
+
 def test_derived_reviews_are_shuffled_once_by_order(spark):
     """Their join with the orders leaves them where sums and scores of an order need them."""
     with settings(spark, **NO_BROADCAST):
