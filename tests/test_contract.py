@@ -161,6 +161,14 @@ def test_lines_are_bucketed_by_order_without_a_shuffle_of_their_own(spark, path)
         assert rows(new) == rows(w.table("fct_customer_orders").where("order_date >= '2001-05-01'"))
 
 
+def test_lines_of_monthly_sales_are_shuffled_by_order_and_twice_by_product(spark):
+    """Orders of a product and month are counted as they lie by order, without a shuffle that tells them apart."""
+    with settings(spark, **NO_BROADCAST):
+        w = warehouse(spark, FOLDER)
+        for name in ("fct_product_performance", "fct_sales_by_product"):
+            assert shuffles_above(plan(w.table(name)), "l_quantity") == 3, name
+
+
 @pytest.mark.parametrize("name", ["checks_marts", "checks_normalized"])
 def test_a_checked_layer_leaves_no_shuffles_behind(spark, name):
     """Its tables are whole, compressed by zstd, and the shuffles that made them are gone before they are checked."""

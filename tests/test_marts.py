@@ -14,10 +14,11 @@ from decimal import Decimal
 import duckdb
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from check import rows as frame_rows
 from contract import oracle
-from shopmill.plans import tables, transactions
+from shopmill.plans import facts, tables, transactions
 from shopmill.plans.warehouse import MARTS, NORMALIZED, VARIANTS, Warehouse
 from shopmill.registry import TABLES, staged_schema
 
@@ -353,3 +354,45 @@ def test_each_line_gets_the_scores_of_its_order_and_product(spark):
     each = [4, 4, 2, None]
     wanted = [(line, s) for line in (0, 1) for s in each] + [(2, None), (3, None), (4, None)]
     assert details == sorted(wanted, key=repr)
+
+
+def test_monthly_sales_of_repeated_orders_and_lines_without_one(spark):
+    """An order that is held twice, in two months and in one, a hot order, lines without order, product or price."""
+    month = {"o1": ["2001-01-05", "2001-02-05"], "o2": ["2001-01-07", "2001-01-08"], "o3": [None], "hot": ["2001-03-01"]}
+    orders = [(order, dt.datetime.fromisoformat(d) if d else None) for order, dates in month.items() for d in dates]
+    lines = [(o, p, n + 1, Decimal(n), Decimal("1.10")) for n, o in enumerate([*month, "unknown", None]) for p in ("p1", "p2", None)]
+    lines += [("hot", "p1", 1, None, None)] * 500 + [("o1", "p3", None, None, Decimal("0.01")), ("o1", "p1", 2, Decimal(3), None)]
+    tables_ = {
+        "products": (spark.createDataFrame([("p1", "c1"), ("p2", None), ("p4", "c1")], "product_id string, category_id string")),
+        "orders": spark.createDataFrame(orders, "order_id string, order_date timestamp_ntz"),
+        "lines": spark.createDataFrame(lines, "order_id string, product_id string, quantity int, unit_price decimal(12,2), total_price decimal(12,2)"),
+        "reviews": spark.createDataFrame([("p1", 3), ("p1", None), ("p9", 1)], "product_id string, review_score int"),
+    }
+    for name, frame in tables_.items():
+        frame.createOrReplaceTempView(f"given_{name}")
+    performance = spark.sql(
+        """SELECT p.product_id, s.month, coalesce(s.n, 0) total_orders, s.units * greatest(coalesce(r.n, 1), 1) units_sold,
+                  s.sold * greatest(coalesce(r.n, 1), 1) revenue, r.mean avg_rating, coalesce(r.kinds, 0) review_count
+           FROM given_products p LEFT JOIN
+                (SELECT product_id, trunc(order_date, 'MM') month, count(DISTINCT o.order_id) n, sum(quantity) units, sum(total_price) sold
+                 FROM given_lines l LEFT JOIN given_orders o ON o.order_id = l.order_id GROUP BY 1, 2) s USING (product_id)
+                LEFT JOIN (SELECT product_id, count(*) n, avg(review_score) mean, count(DISTINCT review_score) kinds
+                           FROM given_reviews GROUP BY 1) r USING (product_id)"""
+    )
+    by_product = spark.sql(
+        """SELECT product_id, category_id, trunc(order_date, 'MM') sales_month, count(DISTINCT order_id) total_orders,
+                  sum(quantity) units_sold, sum(total_price) revenue, avg(double(unit_price)) avg_selling_price
+           FROM given_lines JOIN given_orders USING (order_id) JOIN given_products USING (product_id) GROUP BY 1, 2, 3"""
+    )
+    t = tables_
+    built = {
+        "performance": (facts.fct_product_performance(t["products"], t["lines"], t["orders"], t["reviews"]), performance),
+        "by product": (facts.fct_sales_by_product(t["products"], t["lines"], t["orders"]), by_product),
+    }
+    for name, (frame, wanted) in built.items():
+        month = "month" if name == "performance" else "sales_month"
+        frame, wanted = (
+            f.withColumns({month: F.col(month).cast("date"), "units_sold": F.col("units_sold").cast("decimal(38,0)"), "revenue": F.col("revenue").cast("decimal(38,2)")})
+            for f in (frame, wanted)
+        )
+        assert found(frame) == found(wanted.select(frame.columns)), name
